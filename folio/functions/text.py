@@ -79,7 +79,7 @@ def truncate_text(col: Column, max_length: int = 100, suffix: str = "...") -> Co
     """Cut at ``max_length - len(suffix)``, back off to a late space, add suffix."""
     head = F.substring(col, 1, max_length - len(suffix))
     # 0-based index of the last space in head, -1 when none
-    last_space = F.when(F.instr(head, " ") > 0, F.length(head) - F.instr(F.reverse(head), " ")).otherwise(-1)
+    last_space = F.when(F.instr(head, " ") > 0, F.length(F.regexp_replace(head, r" [^ ]*\z", ""))).otherwise(-1)
     cut = F.when(last_space > F.lit(max_length * 0.7), F.substring(head, 1, last_space)).otherwise(head)
     return F.when(F.length(col) <= max_length, col).otherwise(F.concat(cut, F.lit(suffix)))
 

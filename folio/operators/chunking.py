@@ -38,6 +38,17 @@ def _as_col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Higher-order functions re-evaluate any outer expression they mention for
+    every element, and the optimizer may inline helper columns back into
+    them; binding through a one-element ``transform`` pins a single
+    evaluation per row.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def sentence_units(text: Column, budget, tokens: TokenFn = token_count) -> Column:
     """Units of the sentence chunker.
 
@@ -105,54 +116,48 @@ def _with_cost(units: Column, cost: Column | None = None) -> Column:
     )
 
 
-def _materialized(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """Add helper columns one projection at a time.
+def sentence_chunks(text: Column, budget, tokens: TokenFn = token_count) -> Column:
+    """D2 + D3: greedy sentence packing with word fallback; an array of chunk texts.
 
-    Lambdas re-evaluate any expression they reference for every element, so
-    the unit array, the fold result and per-row budgets must be columns of
-    their own; Spark keeps a multiply-referenced, non-trivial alias instead
-    of inlining it (CollapseProject), so each is computed once per row.
+    A new chunk starts when the unit group changes (entering or leaving an
+    over-long sentence, whose word tail is never merged with what follows) or
+    when the running token sum would pass ``budget``.  Text with no sentence at
+    all gives one chunk of its first ``budget`` characters.
     """
-    for name, col in cols.items():
-        df = df.withColumn(name, col)
-    return df
+    def with_budget(b: Column) -> Column:
+        def with_units(u: Column) -> Column:
+            starts = _starts(u, lambda acc, x: (x["grp"] != acc["grp"]) | (acc["total"] + x["tok"] > b))
+            chunks = let(starts, lambda st: _cut(u, st, lambda sl: F.array_join(F.transform(sl, lambda x: x["text"]), " ")))
+            return F.when(F.size(u) > 0, chunks).otherwise(F.array(text.substr(F.lit(1), b)))
+        return let(_with_cost(sentence_units(text, b, tokens)), with_units)
+    return let(_as_col(budget).cast("int"), with_budget)
 
 
 def add_sentence_chunks(df: DataFrame, text: str, budget, out: str = "chunks",
                         tokens: TokenFn = token_count, only: Column | None = None) -> DataFrame:
-    """D2 + D3: greedy sentence packing with word fallback into array column ``out``.
+    """DataFrame form of :func:`sentence_chunks`; rows where ``only`` is false get NULL."""
+    col = sentence_chunks(F.col(text), budget, tokens)
+    return df.withColumn(out, col if only is None else F.when(only, col))
 
-    A new chunk starts when the unit group changes (entering or leaving an
-    over-long sentence, whose word tail is never merged with what follows) or
-    when the running token sum would pass ``budget``.  Text with no sentence at
-    all gives one chunk of its first ``budget`` characters.  Rows where
-    ``only`` is false skip the work (their ``out`` is meaningless).
-    """
-    b = F.col("_cb")
-    df = _materialized(df, {"_cb": _as_col(budget).cast("int")})
-    units = _with_cost(sentence_units(F.col(text), b, tokens))
-    if only is not None:
-        units = F.when(only, units)
-    df = _materialized(df, {"_cu": F.coalesce(units, F.array().cast(
-        "array<struct<text:string,tok:int,grp:int,cost:int>>"))})
-    df = _materialized(df, {"_cs": _starts(F.col("_cu"), lambda acc, u: (u["grp"] != acc["grp"]) | (acc["total"] + u["tok"] > b))})
-    chunks = _cut(F.col("_cu"), F.col("_cs"), lambda sl: F.array_join(F.transform(sl, lambda u: u["text"]), " "))
-    df = df.withColumn(out, F.when(F.size("_cu") > 0, chunks).otherwise(F.array(F.col(text).substr(F.lit(1), b))))
-    return df.drop("_cb", "_cu", "_cs")
+
+def pack(units: Column, budget, sep: str = "\n\n") -> Column:
+    """greedy packing of counted pieces ``struct(text, tok)`` in order."""
+    b = _as_col(budget)
+
+    def with_units(u: Column) -> Column:
+        starts = _starts(u, lambda acc, x: acc["total"] + x["tok"] > b)
+        return let(starts, lambda st: _cut(u, st, lambda sl: F.struct(
+            F.array_join(F.transform(sl, lambda x: x["text"]), sep).alias("text"),
+            F.aggregate(sl, F.lit(0), lambda a, x: a + x["tok"]).alias("tok"),
+            F.size(sl).alias("n"),
+        )))
+
+    return let(F.transform(units, lambda x: F.struct(
+        x["text"].alias("text"), x["tok"].alias("tok"), F.lit(0).alias("grp"), F.lit(0).alias("cost"))), with_units)
 
 
 def add_packs(df: DataFrame, units: str, budget, out: str = "packs", sep: str = "\n\n") -> DataFrame:
-    """greedy packing of already-counted pieces ``struct(text, tok)`` (array column ``units``)."""
-    b = _as_col(budget)
-    df = _materialized(df, {"_pu": F.transform(F.col(units), lambda u: F.struct(
-        u["text"].alias("text"), u["tok"].alias("tok"), F.lit(0).alias("grp"), F.lit(0).alias("cost")))})
-    df = _materialized(df, {"_ps": _starts(F.col("_pu"), lambda acc, u: acc["total"] + u["tok"] > b)})
-    packs = _cut(F.col("_pu"), F.col("_ps"), lambda sl: F.struct(
-        F.array_join(F.transform(sl, lambda u: u["text"]), sep).alias("text"),
-        F.aggregate(sl, F.lit(0), lambda a, u: a + u["tok"]).alias("tok"),
-        F.size(sl).alias("n"),
-    ))
-    return df.withColumn(out, packs).drop("_pu", "_ps")
+    return df.withColumn(out, pack(F.col(units), budget, sep))
 
 
 def paragraph_units(content: Column, limit, tokens: TokenFn = token_count) -> Column:
@@ -184,8 +189,8 @@ def paragraph_units(content: Column, limit, tokens: TokenFn = token_count) -> Co
     return F.flatten(nested)
 
 
-def add_paragraph_chunks(df: DataFrame, content: str, max_tokens=ANALYSIS_MAX_TOKENS, out: str = "chunks",
-                         tokens: TokenFn = token_count, reserve: int = ANALYSIS_RESERVE) -> DataFrame:
+def paragraph_chunks(content: Column, max_tokens=ANALYSIS_MAX_TOKENS, tokens: TokenFn = token_count,
+                     reserve: int = ANALYSIS_RESERVE) -> Column:
     """Pack paragraphs on blank lines; an over-long paragraph packs on ``". "``.
 
     Effective limit is ``max_tokens - reserve``.  A long paragraph first closes
@@ -195,61 +200,70 @@ def add_paragraph_chunks(df: DataFrame, content: str, max_tokens=ANALYSIS_MAX_TO
     as it is.  Empty chunks are not emitted, so an empty text gives none, and
     a paragraph whose pieces were all emitted is not emitted again.
     """
-    limit = F.col("_pl")
-    df = _materialized(df, {"_pl": (_as_col(max_tokens) - F.lit(reserve)).cast("int")})
-    df = _materialized(df, {"_pu": paragraph_units(F.col(content), limit, tokens)})
+    def render(sl: Column) -> Column:
+        def body(flags: Column) -> Column:
+            first = F.array_position(flags, True)  # 1-based, 0 when none
+            pieces = F.transform(
+                sl,
+                lambda x, j: F.concat(F.when((first > 0) & (j + 1 > first), x["sep"]).otherwise(F.lit("")), x["text"]),
+            )
+            return F.array_join(pieces, "")
+        return let(F.transform(sl, lambda x: x["text"] != ""), body)
 
-    def new_chunk(acc: Column, u: Column) -> Column:
-        with_sep = acc["total"] + u["tok"] + u["cost"] * acc["nonempty"].cast("int")
-        return (u["grp"] == 1) | (with_sep > limit)
+    def with_limit(limit: Column) -> Column:
+        def new_chunk(acc: Column, x: Column) -> Column:
+            with_sep = acc["total"] + x["tok"] + x["cost"] * acc["nonempty"].cast("int")
+            return (x["grp"] == 1) | (with_sep > limit)
 
-    df = _materialized(df, {"_ps": _starts(F.col("_pu"), new_chunk)})
+        def with_units(u: Column) -> Column:
+            return let(_starts(u, new_chunk), lambda st: F.filter(_cut(u, st, render), lambda c: c != ""))
 
-    def render(sl: Column) -> Column:
-        flags = F.transform(sl, lambda u: u["text"] != "")
-        first = F.array_position(flags, True)  # 1-based, 0 when none
-        pieces = F.transform(
-            sl,
-            lambda u, j: F.concat(F.when((first > 0) & (j + 1 > first), u["sep"]).otherwise(F.lit("")), u["text"]),
-        )
-        return F.array_join(pieces, "")
+        return let(paragraph_units(content, limit, tokens), with_units)
+
+    return let((_as_col(max_tokens) - F.lit(reserve)).cast("int"), with_limit)
 
-    chunks = _cut(F.col("_pu"), F.col("_ps"), render)
-    return df.withColumn(out, F.filter(chunks, lambda c: c != "")).drop("_pl", "_pu", "_ps")
+
+def add_paragraph_chunks(df: DataFrame, content: str, max_tokens=ANALYSIS_MAX_TOKENS, out: str = "chunks",
+                         tokens: TokenFn = token_count, reserve: int = ANALYSIS_RESERVE,
+                         only: Column | None = None) -> DataFrame:
+    """DataFrame form of :func:`paragraph_chunks`; rows where ``only`` is false get NULL."""
+    col = paragraph_chunks(F.col(content), max_tokens, tokens, reserve)
+    return df.withColumn(out, col if only is None else F.when(only, col))
 
 
 def store_records(articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, tokens: TokenFn = token_count,
                   id_col: str = "id") -> DataFrame:
     """D1 + D4: one store record per article, or one per chunk when it is too long.
 
-    ``title\n\ncontent`` of at most ``max_tokens`` tokens is stored whole under
-    the article id.  Otherwise the content alone is chunked with budget
-    ``max_tokens - tokens(title) - 10`` and every chunk is stored as
-    ``title\n\nchunk`` under ``<id>_chunk_<i>``.  Adds ``article_id``,
-    ``chunk_index``, ``total_chunks`` and ``document``.
+    ``title + blank line + content`` of at most ``max_tokens`` tokens is stored
+    whole under the article id.  Otherwise the content alone is chunked with
+    budget ``max_tokens - tokens(title) - 10`` and every chunk is stored as
+    ``title + blank line + chunk`` under ``<id>_chunk_<i>``.  Adds
+    ``article_id``, ``chunk_index``, ``total_chunks`` and ``document``.
     """
-    title = F.col("title")
-    df = _materialized(articles, {"_tt": tokens(title), "_ct": tokens(F.col("content"))})
-    # the default counter is additive over the "\n\n" join, so no second pass
-    whole = (F.col("_tt") + F.col("_ct")) <= max_tokens if tokens is token_count else (
-        tokens(F.concat(title, F.lit("\n\n"), F.col("content"))) <= max_tokens)
-    df = _materialized(df, {"_whole": whole})
-    budget = F.lit(max_tokens) - F.col("_tt") - F.lit(TITLE_MARGIN)
-    both = add_sentence_chunks(df, "content", budget, "_chunks", tokens, only=~F.col("_whole"))
-    docs = F.when(F.col("_whole"), F.array(F.concat(title, F.lit("\n\n"), F.col("content")))).otherwise(
-        F.transform(F.col("_chunks"), lambda c: F.concat(title, F.lit("\n\n"), c))
-    )
+    title, content = F.col("title"), F.col("content")
+    sep = F.lit("\n\n")
+
+    def with_title_tokens(tt: Column) -> Column:
+        # the default counter is additive over the blank-line join: no second pass
+        full_tokens = (tt + tokens(content)) if tokens is token_count else tokens(F.concat(title, sep, content))
+        budget = F.lit(max_tokens) - tt - F.lit(TITLE_MARGIN)
+        return F.when(full_tokens <= max_tokens, F.struct(F.lit(True).alias("whole"), F.array(F.concat(title, sep, content)).alias("docs"))) \
+            .otherwise(F.struct(F.lit(False).alias("whole"), F.transform(
+                sentence_chunks(content, budget, tokens), lambda c: F.concat(title, sep, c)).alias("docs")))
+
+    plan = let(tokens(title), with_title_tokens)
     out = (
-        both.withColumn("_docs", docs)
-        .select("*", F.posexplode("_docs").alias("chunk_index", "document"))
-        .withColumn("total_chunks", F.size("_docs"))
+        articles.withColumn("_plan", plan)
+        .select("*", F.posexplode("_plan.docs").alias("chunk_index", "document"))
+        .withColumn("total_chunks", F.size("_plan.docs"))
         .withColumn("article_id", F.col(id_col))
         .withColumn(
             id_col,
-            F.when(F.col("_whole"), F.col(id_col)).otherwise(
+            F.when(F.col("_plan.whole"), F.col(id_col)).otherwise(
                 F.concat(F.col(id_col), F.lit("_chunk_"), F.col("chunk_index").cast("string"))
             ),
         )
-        .drop("_whole", "_docs", "_chunks", "_tt", "_ct")
+        .drop("_plan")
     )
     return out

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.functions.text import token_count
-from folio.operators.chunking import add_packs
+from folio.operators.chunking import pack
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_K = 10          # library search
@@ -190,8 +190,8 @@ def context_pack(hits: DataFrame, budget: int, text: str = "document", sep: str
         F.sort_array(F.collect_list(F.struct(F.col("rank").alias("r"), F.col(text).alias("text"),
                                              token_count(F.col(text)).alias("tok")))).alias("_hits")
     )
-    return add_packs(per_q, "_hits", budget, "_packs", sep).select(
-        "qid", F.posexplode("_packs").alias("pack_no", "_p")
+    return per_q.select(
+        "qid", F.posexplode(pack(F.col("_hits"), budget, sep)).alias("pack_no", "_p")
     ).select(
         "qid", F.col("pack_no").cast("int").alias("pack_no"), F.col("_p.n").cast("int").alias("n_hits"),
         F.col("_p.tok").cast("int").alias("tokens"), F.col("_p.text").alias("context"),

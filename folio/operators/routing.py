@@ -81,5 +81,5 @@ def analysis_route(articles: DataFrame, model: Column, content: str = "content",
         "route",
         F.when(F.col("n_tokens") <= F.col("context_limit") - F.lit(reserve), F.lit("single")).otherwise(F.lit("parts")),
     )
-    routed = add_paragraph_chunks(routed, content, F.col("context_limit"), "_parts", tokens, reserve)
-    return routed.withColumn("parts", F.when(F.col("route") == "parts", F.col("_parts"))).drop("_parts")
+    return add_paragraph_chunks(routed, content, F.col("context_limit"), "parts", tokens, reserve,
+                                only=F.col("route") == "parts")
