@@ -34,6 +34,18 @@ def prep(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
 
 
+def parse(url: Column) -> Column:
+    """All parts of a URL in one struct (the split regex runs once per part on one bound value)."""
+    def body(u: Column) -> Column:
+        g = lambda i: F.regexp_extract(u, _SPLIT, i)
+        return F.struct(
+            F.lower(g(1)).alias("scheme"), (g(2) != "").alias("has_netloc"), g(3).alias("netloc"),
+            g(4).alias("path"), (g(5) != "").alias("has_query"), g(6).alias("query"),
+            (g(7) != "").alias("has_fragment"), g(8).alias("fragment"),
+        )
+    return F.transform(F.array(prep(url)), body)[0]
+
+
 def _part(url: Column, idx: int) -> Column:
     return F.regexp_extract(prep(url), _SPLIT, idx)
 
@@ -98,15 +110,17 @@ def normalize(url: Column, tracking: tuple[str, ...] = TRACKING_PARAMS) -> Colum
     nothing is left.
     """
     track = F.array(*[F.lit(t) for t in tracking])
-    kept = F.filter(
-        F.split(query(url), "&"),
-        lambda p: (F.instr(p, "=") > 0) & ~F.array_contains(track, F.lower(F.substring_index(p, "=", 1))),
-    )
-    q = F.array_join(kept, "&")
-    base = F.concat(scheme(url), F.lit("://"), netloc(url), _drop_params(path(url)))
-    return F.when(url.isNull(), F.lit(None)).otherwise(
-        F.when(has_query(url) & (q != ""), F.concat(base, F.lit("?"), q)).otherwise(base)
-    )
+
+    def body(p: Column) -> Column:
+        kept = F.filter(
+            F.split(p["query"], "&"),
+            lambda x: (F.instr(x, "=") > 0) & ~F.array_contains(track, F.lower(F.substring_index(x, "=", 1))),
+        )
+        q = F.array_join(kept, "&")
+        base = F.concat(p["scheme"], F.lit("://"), p["netloc"], _drop_params(p["path"]))
+        return F.when(p["has_query"] & (q != ""), F.concat(base, F.lit("?"), q)).otherwise(base)
+
+    return F.when(url.isNull(), F.lit(None)).otherwise(F.transform(F.array(parse(url)), body)[0])
 
 
 def _remove_dot_segments(segments: Column) -> Column:
@@ -127,34 +141,14 @@ def resolve(base: Column, href: Column) -> Column:
     Cases: empty href; other scheme (kept as is); network location present
     (``//host`` or same scheme); empty path (``?q`` / ``#f``); absolute path
     ``/p``; relative path with ``.`` and ``..`` segments removed.  Empty query
-    and fragment markers are dropped on rebuild.
+    and fragment markers are dropped on rebuild.  Each URL is parsed once.
     """
-    b_scheme, b_net, b_path = scheme(base), netloc(base), path(base)
-    h_path, h_query, h_frag = path(href), query(href), fragment(href)
-    b_query, b_frag = query(base), fragment(base)
-
     def q(x: Column) -> Column:
         return F.when(x != "", F.concat(F.lit("?"), x)).otherwise(F.lit(""))
 
     def f(x: Column) -> Column:
         return F.when(x != "", F.concat(F.lit("#"), x)).otherwise(F.lit(""))
 
-    prefix = F.concat(b_scheme, F.lit("://"), b_net)
-
-    abs_segs = F.split(h_path, "/")
-    b_segs = F.split(b_path, "/")
-    b_dir = F.when(F.try_element_at(b_segs, F.lit(-1)) != "", F.slice(b_segs, 1, F.size(b_segs) - 1)).otherwise(b_segs)
-    rel_all = F.concat(b_dir, F.split(h_path, "/"))
-    n = F.size(rel_all)
-    rel_segs = F.when(
-        n > 2,
-        F.concat(
-            F.slice(rel_all, 1, 1),
-            F.filter(F.slice(rel_all, 2, F.greatest(n - 2, F.lit(1))), lambda s: s != ""),
-            F.slice(rel_all, -1, 1),
-        ),
-    ).otherwise(rel_all)
-
     def _join(segs: Column) -> Column:
         resolved = _remove_dot_segments(segs)
         tail_dot = F.try_element_at(segs, F.lit(-1)).isin(".", "..")
@@ -163,23 +157,39 @@ def resolve(base: Column, href: Column) -> Column:
         joined = F.when(joined == "", F.lit("/")).otherwise(joined)
         return F.when(F.substring(joined, 1, 1) != "/", F.concat(F.lit("/"), joined)).otherwise(joined)
 
-    h_scheme = F.lower(F.regexp_extract(prep(href), _SCHEME, 1))
-    eff_scheme = F.when(h_scheme != "", h_scheme).otherwise(b_scheme)
-    empty_path_q = F.when(h_query != "", h_query).otherwise(b_query)
-    empty_path_f = F.when((h_query != "") | (h_frag != ""), h_frag).otherwise(b_frag)
-    return (
-        F.when(href.isNull() | (href == ""), base)
-        .when((h_scheme != "") & (h_scheme != b_scheme), href)
-        .when(has_netloc(href), F.concat(eff_scheme, F.lit("://"), netloc(href), h_path, q(h_query), f(h_frag)))
-        .when(h_path == "", F.concat(prefix, b_path, q(empty_path_q), f(empty_path_f)))
-        .when(h_path.startswith("/"), F.concat(prefix, _join(abs_segs), q(h_query), f(h_frag)))
-        .otherwise(F.concat(prefix, _join(rel_segs), q(h_query), f(h_frag)))
-    )
+    def body(b: Column, h: Column) -> Column:
+        prefix = F.concat(b["scheme"], F.lit("://"), b["netloc"])
+        h_path = h["path"]
+        b_segs = F.split(b["path"], "/")
+        b_dir = F.when(F.try_element_at(b_segs, F.lit(-1)) != "", F.slice(b_segs, 1, F.size(b_segs) - 1)).otherwise(b_segs)
+        rel_all = F.concat(b_dir, F.split(h_path, "/"))
+        n = F.size(rel_all)
+        rel_segs = F.when(
+            n > 2,
+            F.concat(
+                F.slice(rel_all, 1, 1),
+                F.filter(F.slice(rel_all, 2, F.greatest(n - 2, F.lit(1))), lambda s: s != ""),
+                F.slice(rel_all, -1, 1),
+            ),
+        ).otherwise(rel_all)
+        eff_scheme = F.when(h["scheme"] != "", h["scheme"]).otherwise(b["scheme"])
+        empty_path_q = F.when(h["query"] != "", h["query"]).otherwise(b["query"])
+        empty_path_f = F.when((h["query"] != "") | (h["fragment"] != ""), h["fragment"]).otherwise(b["fragment"])
+        return (
+            F.when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), href)
+            .when(h["has_netloc"], F.concat(eff_scheme, F.lit("://"), h["netloc"], h_path, q(h["query"]), f(h["fragment"])))
+            .when(h_path == "", F.concat(prefix, b["path"], q(empty_path_q), f(empty_path_f)))
+            .when(h_path.startswith("/"), F.concat(prefix, _join(F.split(h_path, "/")), q(h["query"]), f(h["fragment"])))
+            .otherwise(F.concat(prefix, _join(rel_segs), q(h["query"]), f(h["fragment"])))
+        )
+
+    resolved = F.zip_with(F.array(parse(base)), F.array(parse(href)), body)[0]
+    return F.when(href.isNull() | (href == ""), base).otherwise(resolved)
 
 
 def is_article_url(url: Column) -> Column:
     """Lower-cased path: excluded sections first, then an article shape."""
-    p = F.lower(path(url))
+    p = F.lower(parse(url)["path"])
     excluded = None
     for e in ARTICLE_EXCLUDE:
         c = F.instr(p, e) > 0

@@ -252,18 +252,22 @@ def store_records(articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, token
             .otherwise(F.struct(F.lit(False).alias("whole"), F.transform(
                 sentence_chunks(content, budget, tokens), lambda c: F.concat(title, sep, c)).alias("docs")))
 
-    plan = let(tokens(title), with_title_tokens)
-    out = (
-        articles.withColumn("_plan", plan)
-        .select("*", F.posexplode("_plan.docs").alias("chunk_index", "document"))
-        .withColumn("total_chunks", F.size("_plan.docs"))
+    def records(p: Column) -> Column:
+        return F.transform(p["docs"], lambda d, i: F.struct(
+            i.alias("chunk_index"), F.size(p["docs"]).alias("total_chunks"), d.alias("document"),
+            p["whole"].alias("_whole"),
+        ))
+
+    # inline is a generator, so the fold runs once per article whatever the later projections need
+    recs = let(tokens(title), lambda tt: let(with_title_tokens(tt), records))
+    return (
+        articles.select("*", F.inline(recs))
         .withColumn("article_id", F.col(id_col))
         .withColumn(
             id_col,
-            F.when(F.col("_plan.whole"), F.col(id_col)).otherwise(
+            F.when(F.col("_whole"), F.col(id_col)).otherwise(
                 F.concat(F.col(id_col), F.lit("_chunk_"), F.col("chunk_index").cast("string"))
             ),
         )
-        .drop("_plan")
+        .drop("_whole")
     )
-    return out

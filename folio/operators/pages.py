@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from folio.functions import html as H
 from folio.functions import urls as U
 from folio.functions.text import py_strip, word_count
+from folio.operators.common import computed
 
 ARTICLE_COLUMNS = (
     "id", "url", "title", "content", "authors", "publish_date", "scraped_at", "top_image",
@@ -119,11 +120,13 @@ def article_links(links: DataFrame, key: str = "page_id", same_domain_only: bool
     (page, link) before the shuffle, so a page with a huge link list only
     ships its distinct links).
     """
-    resolved = resolve_links(links)
+    resolved = computed(links, link=U.resolve(F.col("url"), F.col("href")))
+    resolved = computed(resolved, _host=U.netloc(F.col("link")), _page_host=U.netloc(F.col("url")),
+                        _article=U.is_article_url(F.col("link")))
     if same_domain_only:
-        resolved = same_domain_links(resolved)
+        resolved = resolved.where(F.col("_host") == F.col("_page_host"))
     return (
-        resolved.where(U.is_article_url(F.col("link")))
+        resolved.where(F.col("_article"))
         .groupBy(key, "link")
         .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n_refs"))
     )

@@ -340,7 +340,8 @@ def context_pack(spark, sf):
 def _store(spark, sf, version: str = "a"):
     arts = _doc_articles(spark, sf)
     if version == "b":
-        arts = arts.withColumn("content", F.upper("content"))
+        # a re-scrape whose text gained a sentence
+        arts = arts.withColumn("content", F.concat(F.col("content"), F.lit(" Updated.")))
     return store_records(arts, max_tokens=STORE_TEST_MAX_TOKENS)
 
 
