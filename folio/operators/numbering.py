@@ -20,6 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark import cloudpickle
+
+# executors need not have this package installed: ship its task code by value
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
 
 
 def _local_numbers(group_col: str):

@@ -33,16 +33,16 @@ def url_list_scan(lines: DataFrame, value: str = "value", line_no: str = "line_n
 def page_fields(pages: DataFrame) -> DataFrame:
     """A2 + A3: extracted, not yet stripped article fields of every page."""
     html = F.col("html")
-    return pages.select(
-        "page_id",
-        "url",
-        H.title(html).alias("raw_title"),
-        H.body_text(html).alias("raw_text"),
-        H.authors(html).alias("authors"),
-        H.top_image(html).alias("top_image"),
-        H.meta_description(html).alias("meta_description"),
-        H.meta_keywords(html).alias("meta_keywords"),
-    )
+    # computed(): the later emptiness filter must not re-run the extraction
+    return computed(
+        pages.select("page_id", "url", "html"),
+        raw_title=H.title(html),
+        raw_text=H.body_text(html),
+        authors=H.authors(html),
+        top_image=H.top_image(html),
+        meta_description=H.meta_description(html),
+        meta_keywords=H.meta_keywords(html),
+    ).drop("html")
 
 
 def fetchable(pages: DataFrame) -> DataFrame:

@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.functions.text import token_count
+from pyspark import cloudpickle
+
+# executors need not have this package installed: ship its task code by value
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
 from folio.operators.chunking import pack
 
 # --- fixed values -----------------------------------------------------------
@@ -105,15 +109,19 @@ def _local_topk(bq, qids: np.ndarray, k: int, metric: str, id_field: str, vec_fi
                     cand_d, cand_i = cand_d[keep], cand_i[keep]
                 order = np.lexsort((cand_i, cand_d))[:k]
                 best_d[j], best_ids[j] = cand_d[order], cand_i[order]
-        rows_q, rows_i, rows_d = [], [], []
-        for j, qid in enumerate(qids):
-            if best_d[j] is None:
-                continue
-            rows_q.extend([qid] * len(best_d[j]))
-            rows_i.extend(best_ids[j].tolist())
-            rows_d.extend(best_d[j].tolist())
-        yield pd.DataFrame({"qid": pd.Series(rows_q, dtype="int64"), id_field: rows_i,
-                            "distance": pd.Series(rows_d, dtype="float64")})
+        # one small frame per block of queries keeps every Arrow batch small
+        step = max(1, 4096 // max(k, 1))
+        for s in range(0, len(qids), step):
+            rows_q, rows_i, rows_d = [], [], []
+            for j in range(s, min(s + step, len(qids))):
+                if best_d[j] is None:
+                    continue
+                rows_q.append(np.full(len(best_d[j]), qids[j], dtype=np.int64))
+                rows_i.append(best_ids[j])
+                rows_d.append(best_d[j])
+            if rows_q:
+                yield pd.DataFrame({"qid": np.concatenate(rows_q), id_field: np.concatenate(rows_i),
+                                    "distance": np.concatenate(rows_d).astype(np.float64)})
     return fn
 
 

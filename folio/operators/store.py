@@ -5,11 +5,15 @@ document, <metadata columns>, embedding)``.  These functions are pure: they
 take the current store and return the new one (or a lookup result);
 :mod:`folio.sources.store` persists them as snapshots.
 
-Joins against the store are keyed on ``id``.  Request sides (ids to get,
-delete, or newly arriving records) are broadcast only after their size has
-been checked against ``max_broadcast_rows``; above it Spark's shuffle join is
-used.  A store written by :mod:`folio.sources.store` is partitioned by a
-hash bucket of the article id, so a lookup with a few ids reads few folders.
+Joins against the store are keyed on ``id``.  The request side (ids to get
+or delete, newly arriving records) has no size bound of its own, so no
+broadcast is forced: with adaptive execution Spark measures the request
+side's shuffle output at run time and switches to a broadcast hash join when
+it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the
+sort-merge join otherwise.  That is the size check, made on real data
+instead of a second pass over it.  A store written by
+:mod:`folio.sources.store` is partitioned by a hash bucket of the article id,
+so a lookup with a few ids reads few folders.
 """
 
 from __future__ import annotations
@@ -29,8 +33,8 @@ def bucket_of(article_id: Column, buckets: int = STORE_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(article_id), F.lit(buckets)).cast("int")
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is under the bound (one cheap count)."""
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint after an explicit row count, for callers that want the check up front."""
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -70,19 +74,13 @@ def metadata(records: DataFrame) -> DataFrame:
     )
 
 
-def insert_new(store: DataFrame, incoming: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def insert_new(store: DataFrame, incoming: DataFrame) -> DataFrame:
     """Records whose id is not stored yet (an existing id is ignored, not replaced).
 
-    When the batch is small, the store's ids are first semi-joined against the
-    broadcast batch ids, so the big store is scanned but never shuffled.
+    The store side is reduced to its ids before the anti join, so only ids
+    cross the shuffle (or, for a small batch, AQE broadcasts the batch side).
     """
-    ids = incoming.select("id").distinct()
-    n = ids.count()
-    if n <= max_broadcast_rows:
-        # existing ids are a subset of the batch ids, so the same bound holds
-        existing = store.select("id").join(F.broadcast(ids), "id", "left_semi")
-        return incoming.join(F.broadcast(existing), "id", "left_anti")
-    return incoming.join(store.select("id"), "id", "left_anti")
+    return incoming.join(store.select("id").distinct(), "id", "left_anti")
 
 
 def outcome(incoming_articles: DataFrame, new_records: DataFrame | None = None) -> DataFrame:
@@ -97,9 +95,9 @@ def outcome(incoming_articles: DataFrame, new_records: DataFrame | None = None)
     )
 
 
-def get(store: DataFrame, ids: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def get(store: DataFrame, ids: DataFrame) -> DataFrame:
     """Records with exactly these ids (no row for an unknown id)."""
-    return store.join(small_side(ids.select("id").distinct(), max_broadcast_rows), "id", "left_semi")
+    return store.join(ids.select("id"), "id", "left_semi")
 
 
 def exists(ids: DataFrame, store: DataFrame) -> DataFrame:
@@ -116,12 +114,12 @@ def list_records(store: DataFrame, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit is not None else out
 
 
-def delete(store: DataFrame, ids: DataFrame, by: str = "id", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def delete(store: DataFrame, ids: DataFrame, by: str = "id") -> DataFrame:
     """The store without the given ids (absent ids are not an error).
 
     ``by="article_id"`` deletes every chunk of the given articles.
     """
-    return store.join(small_side(ids.select(F.col(by)).distinct(), max_broadcast_rows), by, "left_anti")
+    return store.join(ids.select(F.col(by)), by, "left_anti")
 
 
 def count(store: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@ from folio.operators import pages as P
 from folio.operators import reports as R
 from folio.operators import retrieval as Q
 from folio.operators import store as S
-from folio.operators.chunking import add_paragraph_chunks, add_sentence_chunks, store_records
+from folio.operators.chunking import paragraph_chunks as paragraph_chunks_col
+from folio.operators.chunking import sentence_chunks as sentence_chunks_col
+from folio.operators.chunking import store_records
 from folio.operators.keywords import keywords
 from folio.operators.routing import analysis_route, context_limit
 from folio.plans import derived as D
@@ -182,8 +184,10 @@ def storage_gate(spark, sf):
 
 def sentence_chunks(spark, sf):
     docs = _t(spark, sf, "documents").select("doc_id", "text")
-    ch = add_sentence_chunks(docs, "text", CHUNK_BUDGET, "chunks")
-    return ch.select("doc_id", F.posexplode("chunks").alias("chunk_index", "chunk")).select(
+    # explode the expression itself: exploding a bound column lets Spark infer a
+    # size() > 0 filter that re-runs the whole fold below the projection
+    ch = docs.select("doc_id", F.posexplode(sentence_chunks_col(F.col("text"), CHUNK_BUDGET)).alias("chunk_index", "chunk"))
+    return ch.select(
         "doc_id", "chunk_index", "chunk", X.token_count(F.col("chunk")).alias("tokens"))
 
 
@@ -194,8 +198,8 @@ def chunk_records(spark, sf):
 
 def paragraph_chunks(spark, sf):
     texts = D.long_texts(_t(spark, sf, "conversations"))
-    ch = add_paragraph_chunks(texts, "content", LONG_TEXT_MAX_TOKENS, "chunks")
-    return ch.select("conv_id", F.posexplode("chunks").alias("chunk_index", "chunk"))
+    return texts.select("conv_id", F.posexplode(paragraph_chunks_col(F.col("content"), LONG_TEXT_MAX_TOKENS)).alias(
+        "chunk_index", "chunk"))
 
 
 def _model_of(doc_id) -> F.Column:
@@ -237,8 +241,8 @@ def parse_single(spark, sf):
 
 def _part_responses(spark, sf):
     docs = _t(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-    ch = add_sentence_chunks(docs, "text", CHUNK_BUDGET, "chunks")
-    parts = ch.select("doc_id", "lang", "source", F.posexplode("chunks").alias("_i", "_c")).withColumn(
+    parts = docs.select("doc_id", "lang", "source", F.posexplode(
+        sentence_chunks_col(F.col("text"), CHUNK_BUDGET)).alias("_i", "_c")).withColumn(
         "part", (F.col("_i") + 1).cast("int"))
     return parts.select("doc_id", "part",
                         D.planted_body(F.col("doc_id"), F.col("part"), F.col("lang"), F.col("source")).alias("body"))

@@ -16,10 +16,28 @@ from folio.functions.text import first_line
 from folio.operators import pages as P
 
 RUN_START = "2025-01-01 00:00:00"
+# Inputs below this size are spread round-robin over the cluster's cores after
+# the scan: a file with one row group is otherwise read by a single task.
+# Large inputs are never shuffled for layout; their row groups parallelise.
+SMALL_INPUT_BYTES = 256 << 20
+
+
+def input_bytes(spark: SparkSession, df: DataFrame) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if cores > 1 and input_bytes(spark, df) <= SMALL_INPUT_BYTES:
+        return df.repartition(cores)
+    return df
 
 
 def url_lines(pages: DataFrame) -> DataFrame:
