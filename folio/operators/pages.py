@@ -88,6 +88,16 @@ def articles_from_pages(pages: DataFrame, scraped_at: Column) -> DataFrame:
     return assemble(drop_incomplete(page_fields(fetchable(pages))), scraped_at)
 
 
+def one_per_id(arts: DataFrame, order: str = "page_id") -> DataFrame:
+    """One article per id (= normalised URL): the copy with the smallest ``order`` wins.
+
+    ``min_by`` is combined map-side, so a URL crawled very many times costs one
+    row per map task in the shuffle, not all of its copies in one task.
+    """
+    cols = [c for c in arts.columns if c != "id"]
+    return arts.groupBy("id").agg(F.min_by(F.struct(*cols), F.col(order)).alias("_a")).select("id", "_a.*")
+
+
 def ingest_outcome(pages: DataFrame) -> DataFrame:
     """Attempted vs kept pages of a run (one row, partial aggregates only)."""
     html = F.col("html")

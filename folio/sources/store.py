@@ -78,8 +78,8 @@ class ChunkStore:
         n = self.current_snapshot()
         if n is None:
             n = 0
-            new = records.dropDuplicates(["id"])
-            self._write(new, n, "overwrite")
+            # callers hand in one record per id (see pages.one_per_id)
+            self._write(records, n, "overwrite")
             self._switch(n)
         else:
             new = S.insert_new(self.df().drop("bucket"), records)

@@ -33,7 +33,8 @@ def page_stream(spark: SparkSession, folder: str, glob: str = "*.parquet", files
 
 def ingest_batch(store: ChunkStore, max_tokens: int = STORE_MAX_TOKENS):
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        arts = P.articles_from_pages(batch, F.current_timestamp().cast("timestamp_ntz"))
+        fields = P.drop_incomplete(P.page_fields(P.fetchable(batch)))
+        arts = P.one_per_id(P.assemble(fields, F.current_timestamp().cast("timestamp_ntz"), keep=("page_id",)))
         records = store_records(arts, max_tokens=max_tokens).select(*RECORD_COLUMNS)
         store.append(records)
     return fn
