@@ -11,6 +11,7 @@ that started before the switch keep reading the old snapshot.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,7 +62,10 @@ class ChunkStore:
         """The live records (an empty frame with the schema when none were written)."""
         n = self.current_snapshot()
         if n is not None and path_exists(self.spark, self._snapshot_path(n)):
-            return self.spark.read.parquet(self._snapshot_path(n))
+            try:
+                return self.spark.read.parquet(self._snapshot_path(n))
+            except AnalysisException:
+                pass  # an empty snapshot has no data files, only its commit marker
         if self.schema is None:
             raise ValueError("empty store without a schema")
         return self.spark.createDataFrame([], self.schema)
@@ -99,6 +103,7 @@ class ChunkStore:
         """An empty snapshot with the same schema."""
         n = self.current_snapshot()
         base = self.df()
+        self.schema = base.drop("bucket").schema
         self._write(base.limit(0), (n or 0) + 1, "overwrite")
         self._switch((n or 0) + 1)
 
