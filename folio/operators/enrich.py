@@ -137,17 +137,47 @@ def merge_topics(parts: DataFrame, key: str = "request_id", part: str = "part")
     )
 
 
+def _dedup_ci(topics: Column) -> Column:
+    """Case-insensitive distinct keeping the first spelling, in order (bounded arrays)."""
+    def body(lows: Column) -> Column:
+        return F.filter(topics, lambda t, i: F.array_position(lows, F.lower(t)) == i + 1)
+    return F.transform(F.array(F.transform(topics, F.lower)), body)[0]
+
+
 def enrich(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Request table + response table -> one (summary, topics) per article.
 
-    Requests without a response count as failed calls (left join).
+    Requests without a response count as failed calls (left join).  One pass:
+    every reply is parsed once under both rules, then a single aggregate per
+    request orders its parts (a group holds one article's parts) and merges
+    summaries and topics inside the row.
     """
     joined = requests.join(responses, ["request_id", "part"], "left")
-    single = parse_single(joined.where(F.col("route") == "single")).select(
-        "request_id", "route", "summary", "topics")
-    parted = parse_part(joined.where(F.col("route") == "parts"))
-    merged = merge_summaries(parted).join(merge_topics(parted), "request_id", "left").select(
-        "request_id", F.lit("parts").alias("route"), "summary",
-        F.coalesce(F.col("topics"), F.array().cast("array<string>")).alias("topics"),
+    both = _parse_both(joined)
+    per_req = both.groupBy("request_id").agg(
+        F.first("route").alias("route"),
+        F.sort_array(F.collect_list(F.struct("part", "summary", "topics"))).alias("_xs"),
+    )
+    xs = F.col("_xs")
+    merged_summary = py_strip(F.array_join(F.transform(xs, lambda x: x["summary"]), " "))
+    merged_topics = _dedup_ci(F.flatten(F.transform(xs, lambda x: x["topics"])))
+    single_route = F.col("route") == "single"
+    return per_req.select(
+        "request_id", "route",
+        F.when(single_route, xs[0]["summary"]).otherwise(merged_summary).alias("summary"),
+        F.when(single_route, xs[0]["topics"]).otherwise(merged_topics).alias("topics"),
+    )
+
+
+def _parse_both(joined: DataFrame) -> DataFrame:
+    """Per reply row: the single-request parse for single routes, the part parse otherwise."""
+    single = parse_single(joined)
+    cols = [c for c in joined.columns]
+    s_sum, s_top = single["summary"], single["topics"]
+    parted = parse_part(single.select(*cols, s_sum.alias("_ss"), s_top.alias("_st")))
+    is_single = F.col("route") == "single"
+    return parted.select(
+        "request_id", "part", "route",
+        F.when(is_single, F.col("_ss")).otherwise(F.col("summary")).alias("summary"),
+        F.when(is_single, F.col("_st")).otherwise(F.col("topics")).alias("topics"),
     )
-    return single.unionByName(merged)
