@@ -189,14 +189,18 @@ def clean_questions(questions: DataFrame, text: str = "question") -> DataFrame:
     return questions.withColumn(text, py_strip(F.col(text))).where(F.col(text) != "")
 
 
-def context_pack(hits: DataFrame, budget: int, text: str = "document", sep: str = "\n\n") -> DataFrame:
+def context_pack(hits: DataFrame, budget: int, text: str = "document", sep: str = "\n\n",
+                 tokens_col: str | None = None) -> DataFrame:
     """the ranked hit texts of each question packed greedily under ``budget`` tokens.
 
     A group holds at most k hits, so collecting it per question is bounded.
+    ``tokens_col`` names a token count stored with the record (counted once
+    per record instead of once per hit).
     """
+    tok = F.col(tokens_col) if tokens_col else token_count(F.col(text))
     per_q = hits.groupBy("qid").agg(
         F.sort_array(F.collect_list(F.struct(F.col("rank").alias("r"), F.col(text).alias("text"),
-                                             token_count(F.col(text)).alias("tok")))).alias("_hits")
+                                             tok.alias("tok")))).alias("_hits")
     )
     return per_q.select(
         "qid", F.posexplode(pack(F.col("_hits"), budget, sep)).alias("pack_no", "_p")

@@ -306,13 +306,14 @@ def knn_filtered(spark, sf):
 def _doc_store(spark, sf):
     arts = _doc_articles(spark, sf)
     vecs = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return arts.join(vecs, "doc_id").select("id", "doc_id", "title", F.col("content").alias("document"), "embedding")
+    return arts.join(vecs, "doc_id").select("id", "doc_id", "title", F.col("content").alias("document"), "embedding",
+                                            X.token_count(F.col("content")).alias("n_tokens"))
 
 
 def _hydrated(spark, sf, k):
     store = _doc_store(spark, sf)
     hits = Q.knn(store, _queries(spark, sf), k=k)
-    return Q.hydrate(hits, store, ["title", "document"])
+    return Q.hydrate(hits, store, ["title", "document", "n_tokens"])
 
 
 def knn_hydrated(spark, sf):
@@ -337,7 +338,7 @@ def batch_questions(spark, sf):
 
 
 def context_pack(spark, sf):
-    return Q.context_pack(_hydrated(spark, sf, Q.DEFAULT_K), PACK_BUDGET)
+    return Q.context_pack(_hydrated(spark, sf, Q.DEFAULT_K), PACK_BUDGET, tokens_col="n_tokens")
 
 
 # ---------------------------------------------------------------- A6-A14: store

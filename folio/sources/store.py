@@ -73,7 +73,8 @@ class ChunkStore:
     # -- writes ---------------------------------------------------------------
     def _write(self, df: DataFrame, n: int, mode: str) -> None:
         out = df if "bucket" in df.columns else df.withColumn("bucket", S.bucket_of(F.col("article_id")))
-        out.write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
+        # one task per bucket: each append adds one file per bucket, not one per (task, bucket)
+        out.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
 
     def append(self, records: DataFrame) -> int:
         """Add records whose id is new; returns how many were added."""
