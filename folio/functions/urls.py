@@ -26,6 +26,7 @@ ARTICLE_PATTERNS = (r"/[0-9]{4}/[0-9]{2}/", "/story/", "/article/", "/news/")
 # ---------------------------------------------------------------------------
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
+_DOT_SEGMENT = r"(^|/)\.\.?(/|$)"   # a '.' or '..' path segment
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
 
 
@@ -179,6 +180,7 @@ def resolve(base: Column, href: Column) -> Column:
             F.when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), href)
             .when(h["has_netloc"], F.concat(eff_scheme, F.lit("://"), h["netloc"], h_path, q(h["query"]), f(h["fragment"])))
             .when(h_path == "", F.concat(prefix, b["path"], q(empty_path_q), f(empty_path_f)))
+            .when(h_path.startswith("/") & ~h_path.rlike(_DOT_SEGMENT), F.concat(prefix, h_path, q(h["query"]), f(h["fragment"])))
             .when(h_path.startswith("/"), F.concat(prefix, _join(F.split(h_path, "/")), q(h["query"]), f(h["fragment"])))
             .otherwise(F.concat(prefix, _join(rel_segs), q(h["query"]), f(h["fragment"])))
         )
@@ -189,7 +191,12 @@ def resolve(base: Column, href: Column) -> Column:
 
 def is_article_url(url: Column) -> Column:
     """Lower-cased path: excluded sections first, then an article shape."""
-    p = F.lower(parse(url)["path"])
+    return is_article_path(parse(url)["path"])
+
+
+def is_article_path(path_col: Column) -> Column:
+    """B9 on an already parsed path."""
+    p = F.lower(path_col)
     excluded = None
     for e in ARTICLE_EXCLUDE:
         c = F.instr(p, e) > 0

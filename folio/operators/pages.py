@@ -131,12 +131,11 @@ def article_links(links: DataFrame, key: str = "page_id", same_domain_only: bool
     ships its distinct links).
     """
     resolved = computed(links, link=U.resolve(F.col("url"), F.col("href")))
-    resolved = computed(resolved, _host=U.netloc(F.col("link")), _page_host=U.netloc(F.col("url")),
-                        _article=U.is_article_url(F.col("link")))
+    resolved = computed(resolved, _lp=U.parse(F.col("link")), _page_host=U.netloc(F.col("url")))
     if same_domain_only:
-        resolved = resolved.where(F.col("_host") == F.col("_page_host"))
+        resolved = resolved.where(F.col("_lp.netloc") == F.col("_page_host"))
     return (
-        resolved.where(F.col("_article"))
+        resolved.where(U.is_article_path(F.col("_lp.path")))
         .groupBy(key, "link")
         .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n_refs"))
     )
