@@ -87,8 +87,18 @@ class ChunkStore:
             self._write(records, n, "overwrite")
             self._switch(n)
         else:
-            new = S.insert_new(self.df().drop("bucket"), records)
-            self._write(new, n, "append")
+            # the batch is used twice (ids to look up, rows to write): keep it for this append;
+            # a lost executor only recomputes it from the batch's own input
+            batch = records.withColumn("bucket", S.bucket_of(F.col("article_id"))).persist()
+            try:
+                # read only the store buckets this batch touches (at most STORE_BUCKETS values,
+                # so collecting them is bounded); the filter is on the partition column
+                buckets = [r[0] for r in batch.select("bucket").distinct().collect()]
+                existing = self.df().where(F.col("bucket").isin(buckets)).select("id")
+                new = batch.join(existing, "id", "left_anti")
+                self._write(new, n, "append")
+            finally:
+                batch.unpersist()
         return self.df().count()
 
     def delete(self, ids: DataFrame, by: str = "id") -> None:
