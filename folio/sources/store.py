@@ -77,7 +77,7 @@ class ChunkStore:
         out.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
 
     def append(self, records: DataFrame) -> int:
-        """Add records whose id is new; returns how many were added."""
+        """A7 + A8: add records whose id is new; returns how many were added."""
         if self.schema is None:
             self.schema = records.schema
         n = self.current_snapshot()
@@ -86,10 +86,12 @@ class ChunkStore:
             # callers hand in one record per id (see pages.one_per_id)
             self._write(records, n, "overwrite")
             self._switch(n)
+            return self.df().count()
         else:
             # the batch is used twice (ids to look up, rows to write): keep it for this append;
             # a lost executor only recomputes it from the batch's own input
             batch = records.withColumn("bucket", S.bucket_of(F.col("article_id"))).persist()
+            before = self.df().count()   # Parquet answers counts from file metadata
             try:
                 # read only the store buckets this batch touches (at most STORE_BUCKETS values,
                 # so collecting them is bounded); the filter is on the partition column
@@ -99,7 +101,7 @@ class ChunkStore:
                 self._write(new, n, "append")
             finally:
                 batch.unpersist()
-        return self.df().count()
+            return self.df().count() - before
 
     def delete(self, ids: DataFrame, by: str = "id") -> None:
         """New snapshot without the ids, then pointer switch."""
