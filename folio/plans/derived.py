@@ -20,22 +20,26 @@ RUN_START = "2025-01-01 00:00:00"
 # the scan: a file with one row group is otherwise read by a single task.
 # Large inputs are never shuffled for layout; their row groups parallelise.
 SMALL_INPUT_BYTES = 256 << 20
+SMALL_INPUT_FILES = 64   # more files than this: large and already parallel, no size probing
 
 
-def input_bytes(spark: SparkSession, df: DataFrame) -> int:
+def small_input(spark: SparkSession, df: DataFrame) -> bool:
+    files = df.inputFiles()
+    if len(files) > SMALL_INPUT_FILES:
+        return False
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
-    for f in df.inputFiles():
+    for f in files:
         p = jvm.org.apache.hadoop.fs.Path(f)
         total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+    return total <= SMALL_INPUT_BYTES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if cores > 1 and input_bytes(spark, df) <= SMALL_INPUT_BYTES:
+    if cores > 1 and small_input(spark, df):
         return df.repartition(cores)
     return df
 
