@@ -41,11 +41,16 @@ def ingest_batch(store: ChunkStore, max_tokens: int = STORE_MAX_TOKENS):
 
 
 def run_ingest(spark: SparkSession, folder: str, store_root: str, glob: str = "*.parquet",
-               max_tokens: int = STORE_MAX_TOKENS, checkpoint: str | None = None) -> ChunkStore:
-    """Run the ingest stream over what is in ``folder`` now and return the store."""
+               max_tokens: int = STORE_MAX_TOKENS, checkpoint: str | None = None,
+               files_per_trigger: int | None = None) -> ChunkStore:
+    """Run the ingest stream over what is in ``folder`` now and return the store.
+
+    ``files_per_trigger`` bounds each micro-batch (AvailableNow honours it by
+    splitting the backlog into several batches).
+    """
     store = ChunkStore(spark, store_root)
     query = (
-        page_stream(spark, folder, glob).writeStream.foreachBatch(ingest_batch(store, max_tokens))
+        page_stream(spark, folder, glob, files_per_trigger).writeStream.foreachBatch(ingest_batch(store, max_tokens))
         .option("checkpointLocation", checkpoint or f"{store_root}/_checkpoint")
         .trigger(availableNow=True)
         .start()
