@@ -21,10 +21,12 @@ WS = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_" + WS + r"]"
 # Stop words of the keyword extractor, in the order the reference lists them.
 STOP_WORDS = (
-    "the a an and or but in on at to for of with by from as is was are were be been "
-    "have has had do does did will would could should may might must can this that "
-    "these those i you he she it we they me him her us them my your his our their"
-).split()
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by",
+    "from", "as", "is", "was", "are", "were", "be", "been", "have", "has", "had", "do", "does",
+    "did", "will", "would", "could", "should", "may", "might", "must", "can", "this", "that",
+    "these", "those", "i", "you", "he", "she", "it", "we", "they", "me", "him", "her", "us",
+    "them", "my", "your", "his", "our", "their",
+)
 # E-mail shape accepted by the validator.
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 # Characters replaced by '_' in file keys.

@@ -31,9 +31,6 @@ ANALYSIS_MAX_TOKENS = 3000     # default budget of the paragraph chunker
 ANALYSIS_RESERVE = 1000        # kept free for prompt and reply
 # ---------------------------------------------------------------------------
 
-_UNIT = "struct<text:string,tok:int,grp:int>"
-
-
 def _as_col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
@@ -75,7 +72,7 @@ def sentence_units(text: Column, budget, tokens: TokenFn = token_count) -> Colum
     return F.flatten(nested)
 
 
-def _starts(units: Column, new_chunk: Callable[[Column, Column], Column], extra_init=None, extra_step=None) -> Column:
+def _starts(units: Column, new_chunk: Callable[[Column, Column], Column]) -> Column:
     """Fold over units; returns the 0-based unit indexes where chunks start."""
     init = F.struct(
         F.array().cast("array<int>").alias("starts"),
