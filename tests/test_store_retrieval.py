@@ -66,3 +66,13 @@ def test_group_row_number_skewed(spark):
         for n, o in enumerate(sorted(o for gg, o in rows if gg == g), start=1):
             want[(g, o)] = n
     assert res == want
+
+
+def test_one_per_id_hot_key(spark):
+    from folio.operators.pages import one_per_id
+    rows = [("hot", 1000 - i, f"copy{i}") for i in range(3000)] + [(f"k{i}", i, "solo") for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, page_id long, content string").repartition(8)
+    out = {r.id: (r.page_id, r.content) for r in one_per_id(df).collect()}
+    assert len(out) == 51
+    assert out["hot"] == (-1999, "copy2999")
+    assert out["k7"] == (7, "solo")
