@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.functions.text import lit_re, py_strip
+from folio.functions.text import py_strip
 
 # --- fixed values -----------------------------------------------------------
 # Query keys removed by URL normalisation (compared lower-cased).
@@ -210,5 +210,5 @@ def is_article_path(path_col: Column) -> Column:
 
 __all__ = [
     "TRACKING_PARAMS", "scheme", "netloc", "path", "query", "fragment", "strict_valid",
-    "prefix_valid", "trim_url", "normalize", "resolve", "is_article_url", "lit_re",
+    "prefix_valid", "trim_url", "normalize", "resolve", "is_article_url", "is_article_path", "parse",
 ]

@@ -15,10 +15,6 @@ from folio.functions import urls as U
 from folio.functions.text import py_strip, word_count
 from folio.operators.common import computed
 
-ARTICLE_COLUMNS = (
-    "id", "url", "title", "content", "authors", "publish_date", "scraped_at", "top_image",
-    "meta_description", "meta_keywords", "source_domain", "word_count", "summary", "topics",
-)
 
 
 def url_list_scan(lines: DataFrame, value: str = "value", line_no: str = "line_no") -> DataFrame:

@@ -21,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.text import token_count
 
 # --- fixed values -----------------------------------------------------------
 STORE_BUCKETS = 64
-MAX_BROADCAST_ROWS = 1_000_000
 # ---------------------------------------------------------------------------
 
 
@@ -33,12 +31,6 @@ def bucket_of(article_id: Column, buckets: int = STORE_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(article_id), F.lit(buckets)).cast("int")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint after an explicit row count, for callers that want the check up front."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def iso_time(ts: Column) -> Column:
     """``datetime.isoformat()`` of a naive timestamp: fraction only when non-zero."""
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
@@ -133,7 +125,3 @@ def count(store: DataFrame) -> DataFrame:
 def reset(store: DataFrame) -> DataFrame:
     """An empty store with the same schema."""
     return store.limit(0)
-
-
-def with_tokens(records: DataFrame) -> DataFrame:
-    return records.withColumn("n_tokens", token_count(F.col("document")))

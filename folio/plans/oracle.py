@@ -13,7 +13,6 @@ from folio.functions.text import EMAIL_PATTERN, FILE_KEY_DEFAULT, FILE_KEY_INVAL
 from folio.functions.urls import ARTICLE_EXCLUDE, TRACKING_PARAMS
 from folio.operators.enrich import FAILED, FAILED_PART, NO_SUMMARY, PROMPT_TEMPLATE
 from folio.operators.routing import (DAVINCI_CODE, DAVINCI_TEXT, DEFAULT_LIMIT, MODEL_LIMITS, MODEL_RULES)
-from folio.operators.store import STORE_BUCKETS  # noqa: F401  (documented layout)
 from folio.plans import catalog as C
 from folio.plans.derived import RUN_START
 

@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from folio.operators import retrieval as Q
 from folio.operators import store as S
