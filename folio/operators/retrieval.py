@@ -66,54 +66,80 @@ def where_to_column(where: dict[str, Any]) -> Column:
     return out
 
 
-def _distances(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
-    """(n, m) distances; squared L2 computed from differences for exactness."""
+MAX_BLOCK_ELEMENTS = 1 << 23   # distance-matrix cells per step (64 MiB of float64)
+
+
+def _exact(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """Exact distances of a few rows to one query."""
     if metric == "l2sq":
-        out = np.empty((vecs.shape[0], q.shape[0]), dtype=np.float64)
-        step = max(1, (1 << 22) // max(1, q.shape[0] * q.shape[1]))
-        for s in range(0, vecs.shape[0], step):
-            d = vecs[s:s + step, None, :] - q[None, :, :]
-            out[s:s + step] = np.einsum("ijk,ijk->ij", d, d)
-        return out
-    dots = vecs @ q.T
+        d = vecs - q[None, :]
+        return np.einsum("ij,ij->i", d, d)
+    dots = vecs @ q
     if metric == "ip":
         return 1.0 - dots
+    if metric == "cosine":
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return 1.0 - dots / (np.linalg.norm(vecs, axis=1) * np.linalg.norm(q))
+    raise ValueError(f"unknown metric {metric}")
+
+
+def _approx(vecs: np.ndarray, q: np.ndarray, metric: str):
+    """(n, m) distances by one matrix product, plus an absolute error bound per query."""
+    dots = vecs @ q.T
+    if metric == "l2sq":
+        vv = np.einsum("ij,ij->i", vecs, vecs)
+        qq = np.einsum("ij,ij->i", q, q)
+        approx = vv[:, None] + qq[None, :] - 2.0 * dots
+        # rounding of the expansion is bounded by a small multiple of the norms
+        tol = 1e-9 * (vv.max(initial=0.0) + qq) + 1e-12
+        return approx, tol
+    if metric == "ip":
+        return 1.0 - dots, np.full(q.shape[0], 1e-9 * (1.0 + np.abs(dots).max(initial=0.0)))
     if metric == "cosine":
         nv = np.linalg.norm(vecs, axis=1)[:, None]
         nq = np.linalg.norm(q, axis=1)[None, :]
         with np.errstate(invalid="ignore", divide="ignore"):
-            return 1.0 - dots / (nv * nq)
+            return 1.0 - dots / (nv * nq), np.full(q.shape[0], 1e-9)
     raise ValueError(f"unknown metric {metric}")
 
 
 def _local_topk(bq, qids: np.ndarray, k: int, metric: str, id_field: str, vec_field: str):
+    """Per store partition: the exact best ``k`` per query, ties ordered by id.
+
+    Rows are processed in slices whose distance matrix stays under
+    ``MAX_BLOCK_ELEMENTS``; a matrix product picks candidates within an error
+    margin, and only candidates get their exact distance.
+    """
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q = bq.value
-        best_ids: list = [None] * len(qids)
-        best_d: list = [None] * len(qids)
+        nq = len(qids)
+        best_ids: list = [None] * nq
+        best_d: list = [None] * nq
+        rows_per_step = max(1, MAX_BLOCK_ELEMENTS // max(1, nq))
         for pdf in batches:
             if pdf.empty:
                 continue
-            vecs = np.stack(pdf[vec_field].to_numpy()).astype(np.float64)
-            ids = pdf[id_field].to_numpy()
-            dist = _distances(vecs, q, metric)
-            for j in range(len(qids)):
-                d = dist[:, j]
-                cand_d, cand_i = d, ids
-                if best_d[j] is not None:
-                    cand_d = np.concatenate([best_d[j], d])
-                    cand_i = np.concatenate([best_ids[j], ids])
-                if len(cand_d) > k:
-                    kth = np.partition(cand_d, k - 1)[k - 1]
-                    keep = cand_d <= kth          # keeps every tie at the boundary
-                    cand_d, cand_i = cand_d[keep], cand_i[keep]
-                order = np.lexsort((cand_i, cand_d))[:k]
-                best_d[j], best_ids[j] = cand_d[order], cand_i[order]
+            all_vecs = np.stack(pdf[vec_field].to_numpy()).astype(np.float64)
+            all_ids = pdf[id_field].to_numpy()
+            for s0 in range(0, len(all_ids), rows_per_step):
+                vecs, ids = all_vecs[s0:s0 + rows_per_step], all_ids[s0:s0 + rows_per_step]
+                approx, tol = _approx(vecs, q, metric)
+                kk = min(k, len(ids))
+                kth = np.partition(approx, kk - 1, axis=0)[kk - 1]
+                for j in range(nq):
+                    cand = np.nonzero(approx[:, j] <= kth[j] + 2.0 * tol[j])[0]
+                    d = _exact(vecs[cand], q[j], metric)
+                    cand_d, cand_i = d, ids[cand]
+                    if best_d[j] is not None:
+                        cand_d = np.concatenate([best_d[j], cand_d])
+                        cand_i = np.concatenate([best_ids[j], cand_i])
+                    order = np.lexsort((cand_i, cand_d))[:k]
+                    best_d[j], best_ids[j] = cand_d[order], cand_i[order]
         # one small frame per block of queries keeps every Arrow batch small
         step = max(1, 4096 // max(k, 1))
-        for s in range(0, len(qids), step):
+        for s in range(0, nq, step):
             rows_q, rows_i, rows_d = [], [], []
-            for j in range(s, min(s + step, len(qids))):
+            for j in range(s, min(s + step, nq)):
                 if best_d[j] is None:
                     continue
                 rows_q.append(np.full(len(best_d[j]), qids[j], dtype=np.int64))
