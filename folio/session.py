@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(current)
         return current.rstrip("/")
     path = tempfile.mkdtemp(prefix="folio-ckpt-")
-    spark.conf.set(_CKPT_KEY, path)
+    try:
+        spark.conf.set(_CKPT_KEY, path)
+    except Exception:  # noqa: BLE001 - some sessions refuse runtime changes of core settings
+        pass
     spark.sparkContext.setCheckpointDir(path)
     return path
 
