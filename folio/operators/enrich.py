@@ -53,34 +53,60 @@ def prompt_requests(routed: DataFrame, id_col: str = "id", content: str = "conte
     )
 
 
+def _truthy(x: Column) -> Column:
+    """Truth value of a JSON value the way Python reads the decoded object.
+
+    Missing, null, "", 0, false, [] and {} are false; everything else is true.
+    """
+    k = F.schema_of_variant(x)
+    return (
+        F.when(x.isNull() | (k == "VOID"), F.lit(False))
+        .when(k == "STRING", F.try_variant_get(x, "$", "string") != "")
+        .when(k == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+        .when(k.startswith("ARRAY"), F.size(F.try_variant_get(x, "$", "array<variant>")) > 0)
+        .when(k.startswith("OBJECT"), k != "OBJECT<>")
+        .otherwise(F.coalesce(F.try_variant_get(x, "$", "double") != 0, F.lit(True)))
+    )
+
+
 def _parsed(body: Column):
-    v = F.try_parse_json(py_strip(body))
+    """Reply fields; topics iterate like Python: list items, string characters, object keys."""
+    text = py_strip(body)
+    v = F.try_parse_json(text)
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     s_var = F.try_variant_get(v, "$.summary", "variant")
     t_var = F.try_variant_get(v, "$.topics", "variant")
-    s_str = F.try_variant_get(v, "$.summary", "string")
+    t_kind = F.coalesce(F.schema_of_variant(t_var), F.lit(""))
     t_arr = F.try_variant_get(v, "$.topics", "array<variant>")
-    t_kinds = F.transform(t_arr, lambda e: F.schema_of_variant(e))
-    all_strings = F.coalesce(F.forall(t_kinds, lambda k: k == "STRING"), F.lit(False))
-    t_strs = F.transform(t_arr, lambda e: e.cast("string"))
-    cleaned = F.filter(F.transform(t_strs, py_strip), lambda t: t != "")
-    return dict(v=v, is_obj=is_obj, has_s=s_var.isNotNull(), has_t=t_var.isNotNull(),
-                s_null=F.is_variant_null(s_var), t_null=F.is_variant_null(t_var),
-                s_str=s_str, t_arr=t_arr, all_strings=all_strings, cleaned=cleaned,
-                t_empty_array=F.coalesce(F.size(t_arr) == 0, F.lit(False)))
+    all_strings = F.coalesce(F.forall(t_arr, lambda e: F.schema_of_variant(e) == "STRING"), F.lit(False))
+    items = (
+        F.when(t_kind.startswith("ARRAY"), F.transform(t_arr, lambda e: e.cast("string")))
+        .when(t_kind == "STRING", F.split(F.try_variant_get(v, "$.topics", "string"), ""))
+        .when(t_kind.startswith("OBJECT"), F.json_object_keys(F.get_json_object(text, "$.topics")))
+    )
+    iterable = (
+        F.when(t_kind.startswith("ARRAY"), all_strings)
+        .when((t_kind == "STRING") | t_kind.startswith("OBJECT"), F.lit(True))
+        .otherwise(F.lit(False))
+    )
+    cleaned = F.coalesce(F.filter(F.transform(items, py_strip), lambda t: t != ""), F.array().cast("array<string>"))
+    return dict(is_obj=is_obj, has_s=s_var.isNotNull(), has_t=t_var.isNotNull(),
+                s_true=_truthy(s_var), t_true=_truthy(t_var),
+                s_str=F.try_variant_get(v, "$.summary", "string"), iterable=iterable, cleaned=cleaned)
 
 
 def parse_single(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Both keys required; empty/null summary -> default; null topics -> [].
+    """Both keys required; a false summary (null, "", 0, ...) gives the default text
+    and false topics give none.  True topics must iterate to strings: a list of
+    strings, the characters of a string, or the keys of an object.
 
-    Bad JSON, a missing key, a non-object reply or a non-string topic gives
-    the fallback summary and no topics (``ok`` = false).
+    Bad JSON, a missing key, a non-object reply or topics that fail to iterate
+    give the fallback summary and no topics (``ok`` = false).
     """
     p = _parsed(F.col(body))
-    topics_ok = p["t_null"] | p["t_empty_array"] | p["all_strings"]
-    ok = p["is_obj"] & p["has_s"] & p["has_t"] & F.coalesce(topics_ok, F.lit(False))
-    summary = F.coalesce(F.nullif(F.when(p["s_null"], F.lit(None)).otherwise(p["s_str"]), F.lit("")), F.lit(NO_SUMMARY))
-    topics = F.when(p["t_null"], F.array().cast("array<string>")).otherwise(p["cleaned"])
+    ok = p["is_obj"] & p["has_s"] & p["has_t"] & (~p["t_true"] | p["iterable"])
+    summary = F.when(p["s_true"], p["s_str"]).otherwise(F.lit(NO_SUMMARY))
+    topics = F.when(p["t_true"], p["cleaned"]).otherwise(F.array().cast("array<string>"))
     return responses.select(
         "*",
         F.when(ok, summary).otherwise(F.lit(FAILED)).alias("summary"),
@@ -92,12 +118,12 @@ def parse_single(responses: DataFrame, body: str = "body") -> DataFrame:
 def parse_part(responses: DataFrame, body: str = "body", part: str = "part") -> DataFrame:
     """Defaults for *missing* keys only; an empty summary stays empty.
 
-    Bad JSON, a non-object reply, null or non-list topics or a non-string
-    topic give "Could not generate summary for part N." and no topics.
+    Present topics must iterate to strings (null, a number or a boolean do
+    not); otherwise the part gives "Could not generate summary for part N."
+    and no topics.
     """
     p = _parsed(F.col(body))
-    topics_ok = ~p["has_t"] | p["t_empty_array"] | p["all_strings"]
-    ok = p["is_obj"] & F.coalesce(topics_ok & ~F.coalesce(p["t_null"], F.lit(False)), F.lit(False))
+    ok = p["is_obj"] & (~p["has_t"] | p["iterable"])
     summary = F.when(~p["has_s"], F.lit(NO_SUMMARY)).otherwise(F.coalesce(p["s_str"], F.lit("")))
     topics = F.when(~p["has_t"], F.array().cast("array<string>")).otherwise(p["cleaned"])
     failed = F.format_string(FAILED_PART.replace("{}", "%d"), F.col(part))

@@ -123,6 +123,8 @@ def planted_body(doc_id: Column, part: Column, lang: Column, source: Column) ->
         .when(doc_id % 5 == 0, F.lit('{"summary":""}'))
         .when(doc_id % 13 == 0, F.concat(F.lit('{"summary":"s'), pid, F.lit('","topics":["'), lang, F.lit('",7]}')))
         .when(doc_id % 17 == 0, F.lit('{"summary":null,"topics":null}'))
+        .when(doc_id % 19 == 0, F.concat(F.lit('{"summary":0,"topics":{"'), lang, F.lit('":1," k ":2}}')))
+        .when(doc_id % 23 == 0, F.concat(F.lit('{"summary":"s'), pid, F.lit('","topics":"'), lang, F.lit(' x"}')))
         .otherwise(F.concat(
             F.lit('{"summary":"s'), pid, F.lit('","topics":[" '), lang, F.lit(' ","'), F.upper(lang),
             F.lit('","'), source, F.lit('","t'), (part % 3).cast("string"), F.lit('",""]}'),

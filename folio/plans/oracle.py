@@ -324,45 +324,62 @@ def planted(doc_id: str, part_: str, lang: str, source: str) -> str:
             f"WHEN {doc_id} % 5 = 0 THEN '{{\"summary\":\"\"}}' "
             f"WHEN {doc_id} % 13 = 0 THEN '{{\"summary\":\"s' || {pid} || '\",\"topics\":[\"' || {lang} || '\",7]}}' "
             f"WHEN {doc_id} % 17 = 0 THEN '{{\"summary\":null,\"topics\":null}}' "
+            f"WHEN {doc_id} % 19 = 0 THEN '{{\"summary\":0,\"topics\":{{\"' || {lang} || '\":1,\" k \":2}}}}' "
+            f"WHEN {doc_id} % 23 = 0 THEN '{{\"summary\":\"s' || {pid} || '\",\"topics\":\"' || {lang} || ' x\"}}' "
             f"ELSE '{{\"summary\":\"s' || {pid} || '\",\"topics\":[\" ' || {lang} || ' \",\"' || upper({lang}) || '\",\"' || {source} "
             f"|| '\",\"t' || CAST({part_} % 3 AS VARCHAR) || '\",\"\"]}}' END")
 
 
+def _truthy(kind: str, path: str) -> str:
+    """Python truth value of the JSON value at ``path`` of ``j`` (missing counts as false)."""
+    return (f"CASE WHEN {kind} IS NULL OR {kind} = 'NULL' THEN false "
+            f"WHEN {kind} = 'VARCHAR' THEN json_extract_string(j, '{path}') <> '' "
+            f"WHEN {kind} = 'BOOLEAN' THEN json_extract_string(j, '{path}') = 'true' "
+            f"WHEN {kind} = 'ARRAY' THEN json_array_length(j, '{path}') > 0 "
+            f"WHEN {kind} = 'OBJECT' THEN len(json_keys(j, '{path}')) > 0 "
+            f"ELSE coalesce(TRY_CAST(json_extract_string(j, '{path}') AS DOUBLE) <> 0, true) END")
+
+
 def parsed(src: str, body: str = "body") -> str:
-    """Rows of ``src`` plus is_obj, has_s, has_t, s_null, t_type, s_str, t_kinds, t_strs of the reply."""
+    """Rows of ``src`` plus the reply fields: is_obj, has_s, has_t, s_true, t_true, s_str,
+    iterable (topics iterate to strings) and topics_clean."""
     b = strip(body)
+    items = ("CASE WHEN t_type = 'ARRAY' THEN json_extract_string(j, '$.topics[*]') "
+             "WHEN t_type = 'VARCHAR' THEN string_split(json_extract_string(j, '$.topics'), '') "
+             "WHEN t_type = 'OBJECT' THEN json_keys(j, '$.topics') END")
+    all_str = ("coalesce(list_bool_and(list_transform(json_extract(j, '$.topics[*]'), "
+               "lambda e: json_type(e) = 'VARCHAR')), true)")
     return f"""(SELECT *,
+  {_truthy('s_type', '$.summary')} AS s_true,
+  {_truthy('t_type', '$.topics')} AS t_true,
+  CASE WHEN t_type = 'ARRAY' THEN {all_str} WHEN t_type IN ('VARCHAR', 'OBJECT') THEN true ELSE false END AS iterable,
+  coalesce(list_filter(list_transform({items}, lambda t: {strip('t')}), lambda t: t <> ''), []::VARCHAR[]) AS topics_clean
+FROM (SELECT *,
   coalesce(json_type(j) = 'OBJECT', false) AS is_obj,
   coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.summary'), false) AS has_s,
   coalesce(json_type(j) = 'OBJECT' AND json_exists(j, '$.topics'), false) AS has_t,
-  coalesce(json_type(j, '$.summary') = 'NULL', false) AS s_null,
-  json_type(j, '$.topics') AS t_type,
-  json_extract_string(j, '$.summary') AS s_str,
-  CASE WHEN json_type(j, '$.topics') = 'ARRAY' THEN list_transform(json_extract(j, '$.topics[*]'), lambda e: json_type(e)) END AS t_kinds,
-  CASE WHEN json_type(j, '$.topics') = 'ARRAY' THEN json_extract_string(j, '$.topics[*]') END AS t_strs
-FROM (SELECT *, CASE WHEN json_valid({b}) THEN CAST({b} AS JSON) END AS j FROM {src}))"""
-
-
-ALL_STR = "coalesce(list_bool_and(list_transform(t_kinds, lambda k: k = 'VARCHAR')), true)"
-CLEAN_TOPICS = f"list_filter(list_transform(t_strs, lambda t: {strip('t')}), lambda t: t <> '')"
+  CASE WHEN json_type(j) = 'OBJECT' THEN json_type(j, '$.summary') END AS s_type,
+  CASE WHEN json_type(j) = 'OBJECT' THEN json_type(j, '$.topics') END AS t_type,
+  json_extract_string(j, '$.summary') AS s_str
+FROM (SELECT *, CASE WHEN json_valid({b}) THEN CAST({b} AS JSON) END AS j FROM {src})))"""
 
 
 def single_parse(src: str) -> str:
-    ok = f"(is_obj AND has_s AND has_t AND (t_type = 'NULL' OR (t_type = 'ARRAY' AND {ALL_STR})))"
+    ok = "(is_obj AND has_s AND has_t AND (NOT t_true OR iterable))"
     return f"""SELECT *,
-  CASE WHEN {ok} THEN coalesce(nullif(CASE WHEN s_null THEN NULL ELSE s_str END, ''), {lit(NO_SUMMARY)}) ELSE {lit(FAILED)} END AS summary,
-  CASE WHEN {ok} AND t_type = 'ARRAY' THEN {CLEAN_TOPICS} ELSE []::VARCHAR[] END AS topics,
+  CASE WHEN {ok} THEN CASE WHEN s_true THEN s_str ELSE {lit(NO_SUMMARY)} END ELSE {lit(FAILED)} END AS summary,
+  CASE WHEN {ok} AND t_true THEN topics_clean ELSE []::VARCHAR[] END AS topics,
   {ok} AS ok
 FROM {src}"""
 
 
 def part_parse(src: str) -> str:
-    ok = f"(is_obj AND (NOT has_t OR (t_type = 'ARRAY' AND {ALL_STR})))"
+    ok = "(is_obj AND (NOT has_t OR iterable))"
     failed = FAILED_PART.split("{}")
     return f"""SELECT *,
   CASE WHEN {ok} THEN CASE WHEN NOT has_s THEN {lit(NO_SUMMARY)} ELSE coalesce(s_str, '') END
        ELSE {lit(failed[0])} || CAST(part AS VARCHAR) || {lit(failed[1])} END AS summary,
-  CASE WHEN {ok} AND has_t THEN {CLEAN_TOPICS} ELSE []::VARCHAR[] END AS topics,
+  CASE WHEN {ok} AND has_t THEN topics_clean ELSE []::VARCHAR[] END AS topics,
   {ok} AS ok
 FROM {src}"""
 

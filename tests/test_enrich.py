@@ -13,6 +13,13 @@ BODIES = [
     ('not json', E.FAILED, [], False, None, [], False),
     ('[1,2]', E.FAILED, [], False, None, [], False),
     ('  {"summary":"pad","topics":["t"]}  ', "pad", ["t"], True, "pad", ["t"], True),
+    ('{"summary":0,"topics":0}', E.NO_SUMMARY, [], True, None, [], False),
+    ('{"summary":"s","topics":"a b"}', "s", ["a", "b"], True, "s", ["a", "b"], True),
+    ('{"summary":"s","topics":{"z":1," y ":2}}', "s", ["z", "y"], True, "s", ["z", "y"], True),
+    ('{"summary":"s","topics":{}}', "s", [], True, "s", [], True),
+    ('{"summary":"s","topics":""}', "s", [], True, "s", [], True),
+    ('{"summary":"s","topics":false}', "s", [], True, None, [], False),
+    ('{"summary":"s","topics":5}', E.FAILED, [], False, None, [], False),
 ]
 
 
