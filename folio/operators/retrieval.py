@@ -36,6 +36,7 @@ DEFAULT_K = 10          # library search
 QUESTION_K = 5          # question answering
 NO_TITLE = "No Title"
 MAX_QUERY_BYTES = 64 << 20   # broadcast bound for one block of query vectors
+MAX_BROADCAST_HITS = 2_000_000   # ranked hits (queries x k) broadcast to the store scan
 # ---------------------------------------------------------------------------
 
 _OPS = {
@@ -158,6 +159,23 @@ def knn(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
 
     Returns ``(qid, rank, id, distance)``; ``rank`` is 1-based.
     """
+    return _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, max_query_bytes)[0]
+
+
+def knn_hydrated(store: DataFrame, queries: DataFrame, cols: list[str], k: int = DEFAULT_K, metric: str = "l2sq",
+                 where: dict | Column | None = None, id_col: str = "id", vec_col: str = "embedding",
+                 qid_col: str = "qid", qvec_col: str = "embedding") -> DataFrame:
+    """F1 + F3: ranked hits joined back to the record columns (late materialisation).
+
+    The hits are at most queries x k rows, a bound known before the join, so
+    under ``MAX_BROADCAST_HITS`` they are broadcast and the store is scanned
+    once without being shuffled.
+    """
+    hits, nq = _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, MAX_QUERY_BYTES)
+    return hydrate(hits, store, cols, id_col, broadcast_hits=nq * k <= MAX_BROADCAST_HITS)
+
+
+def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, max_query_bytes):
     spark = store.sparkSession
     if where is not None:
         store = store.where(where if isinstance(where, Column) else where_to_column(where))
@@ -170,7 +188,8 @@ def knn(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
         T.StructField("qid", T.LongType()), T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())
     ])
     if nq == 0:
-        return spark.createDataFrame([], out_schema.add("rank", T.IntegerType())).select("qid", "rank", id_col, "distance")
+        empty = spark.createDataFrame([], out_schema.add("rank", T.IntegerType())).select("qid", "rank", id_col, "distance")
+        return empty, 0
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_query_bytes))
     parts = []
     for b in range(blocks):
@@ -187,17 +206,24 @@ def knn(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
     for p in parts[1:]:
         cands = cands.unionByName(p)
     w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col(id_col).asc())
-    return (
+    hits = (
         cands.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
         .select("qid", "rank", id_col, "distance")
     )
+    return hits, nq
 
 
-def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id") -> DataFrame:
-    """join the ranked ids back to the record columns (late materialisation)."""
+def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id",
+            broadcast_hits: bool = False) -> DataFrame:
+    """join the ranked ids back to the record columns (late materialisation).
+
+    Inner join: every hit came from the store.  (A left join could only
+    broadcast the store side.)  ``broadcast_hits`` is for callers that know
+    the hits are small, such as :func:`knn_hydrated`.
+    """
     side = store.select(id_col, *cols)
-    return hits.join(side, id_col, "left")
+    return (F.broadcast(hits) if broadcast_hits else hits).join(side, id_col, "inner")
 
 
 def report(hits: DataFrame, title_col: str = "title") -> DataFrame:

@@ -311,9 +311,7 @@ def _doc_store(spark, sf):
 
 
 def _hydrated(spark, sf, k):
-    store = _doc_store(spark, sf)
-    hits = Q.knn(store, _queries(spark, sf), k=k)
-    return Q.hydrate(hits, store, ["title", "document", "n_tokens"])
+    return Q.knn_hydrated(_doc_store(spark, sf), _queries(spark, sf), ["title", "document", "n_tokens"], k=k)
 
 
 def knn_hydrated(spark, sf):

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from folio.operators import store as S
 
+MAX_BROADCAST_IDS = 2_000_000   # batch size up to which ids are broadcast to the store scan
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -96,8 +98,14 @@ class ChunkStore:
                 # read only the store buckets this batch touches (at most STORE_BUCKETS values,
                 # so collecting them is bounded); the filter is on the partition column
                 buckets = [r[0] for r in batch.select("bucket").distinct().collect()]
-                existing = self.df().where(F.col("bucket").isin(buckets)).select("id")
-                new = batch.join(existing, "id", "left_anti")
+                stored = self.df().where(F.col("bucket").isin(buckets)).select("id")
+                if batch.count() <= MAX_BROADCAST_IDS:
+                    # checked bound: the batch ids go to the store scan, and the ids found
+                    # (no more than the batch) come back, so the store is never shuffled
+                    existing = stored.join(F.broadcast(batch.select("id")), "id", "left_semi")
+                    new = batch.join(F.broadcast(existing), "id", "left_anti")
+                else:
+                    new = batch.join(stored, "id", "left_anti")
                 self._write(new, n, "append")
             finally:
                 batch.unpersist()
