@@ -20,12 +20,12 @@ def test_no_pairwise_joins(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["keywords", "knn_topk", "knn_hydrated"])
+@pytest.mark.parametrize("name", ["knn_topk", "knn_hydrated"])
 def test_top_k_is_limited_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", _plan(spark, name))
 
 
-@pytest.mark.parametrize("name", ["sentence_chunks", "chunk_records", "storage_gate", "clean_text", "articles"])
+@pytest.mark.parametrize("name", ["sentence_chunks", "chunk_records", "storage_gate", "clean_text", "articles", "keywords"])
 def test_per_text_work_has_no_key_shuffle(spark, name):
     plan = _plan(spark, name)
     assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
