@@ -153,14 +153,14 @@ def merge_summaries(parts: DataFrame, key: str = "request_id", part: str = "part
 
 
 def merge_topics(parts: DataFrame, key: str = "request_id", part: str = "part") -> DataFrame:
-    """E5: topics of all parts in order, distinct ignoring case, first spelling kept."""
-    exploded = parts.select(key, part, F.posexplode("topics").alias("_pos", "topic"))
-    first = exploded.groupBy(key, F.lower("topic").alias("_low")).agg(
-        F.min(F.struct(F.col(part).alias("p"), F.col("_pos").alias("i"), F.col("topic").alias("t"))).alias("_m")
-    )
-    return first.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list("_m")), lambda m: m["t"]).alias("topics")
-    )
+    """E5: topics of all parts in order, distinct ignoring case, first spelling kept.
+
+    One aggregate per article (a group holds that article's parts); the
+    ordered, case-insensitive distinct runs inside the row.
+    """
+    per = parts.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(part).alias("p"), F.col("topics").alias("t")))).alias("_xs"))
+    return per.select(key, _dedup_ci(F.flatten(F.transform(F.col("_xs"), lambda x: x["t"]))).alias("topics"))
 
 
 def _dedup_ci(topics: Column) -> Column:

@@ -93,11 +93,15 @@ def get(store: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def exists(ids: DataFrame, store: DataFrame) -> DataFrame:
-    """A10: each requested id with a stored / not stored flag."""
-    found = store.select("id").distinct().withColumn("_hit", F.lit(True))
-    return ids.select("id").distinct().join(found, "id", "left").select(
-        "id", F.coalesce(F.col("_hit"), F.lit(False)).alias("exists")
-    )
+    """A10: each requested id with a stored / not stored flag.
+
+    The store is only semi-joined against the requested ids (the side a small
+    request can broadcast), and the flag join runs on ids found, which are no
+    more than the requests.
+    """
+    req = ids.select("id").distinct()
+    found = store.select("id").join(req, "id", "left_semi").distinct().withColumn("_hit", F.lit(True))
+    return req.join(found, "id", "left").select("id", F.coalesce(F.col("_hit"), F.lit(False)).alias("exists"))
 
 
 def list_records(store: DataFrame, limit: int | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def test_merges(spark):
     assert ms["r"].merge_prompt == "Section 1:  first \n\nSection 2: second"
     assert ms["r"].summary == "first  second"
     mt = {r.request_id: list(r.topics) for r in E.merge_topics(df).collect()}
-    assert mt == {"r": ["alpha", "BETA", "gamma"]}
+    assert mt == {"r": ["alpha", "BETA", "gamma"], "q": []}
 
 
 def test_context_limit_rules(spark):
