@@ -27,13 +27,9 @@ def small_input(spark: SparkSession, df: DataFrame) -> bool:
     files = df.inputFiles()
     if len(files) > SMALL_INPUT_FILES:
         return False
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total <= SMALL_INPUT_BYTES
+    # file sizes from the binaryFile source; only `length` is read, not the content
+    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return (total or 0) <= SMALL_INPUT_BYTES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -21,17 +21,6 @@ from folio.operators import store as S
 MAX_BROADCAST_IDS = 2_000_000   # batch size up to which ids are broadcast to the store scan
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 class ChunkStore:
     """Handle on a store folder; every method returns DataFrames or counts."""
 
@@ -45,9 +34,10 @@ class ChunkStore:
         return f"{self.root}/CURRENT"
 
     def current_snapshot(self) -> int | None:
-        if not path_exists(self.spark, self._pointer()):
-            return None
-        row = self.spark.read.text(self._pointer()).first()
+        try:
+            row = self.spark.read.text(self._pointer()).first()
+        except AnalysisException:
+            return None  # no pointer yet: a new store
         return int(row[0]) if row else None
 
     def _snapshot_path(self, n: int) -> str:
@@ -63,7 +53,7 @@ class ChunkStore:
     def df(self) -> DataFrame:
         """The live records (an empty frame with the schema when none were written)."""
         n = self.current_snapshot()
-        if n is not None and path_exists(self.spark, self._snapshot_path(n)):
+        if n is not None:
             try:
                 return self.spark.read.parquet(self._snapshot_path(n))
             except AnalysisException:
