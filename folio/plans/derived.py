@@ -23,13 +23,19 @@ SMALL_INPUT_BYTES = 256 << 20
 SMALL_INPUT_FILES = 64   # more files than this: large and already parallel, no size probing
 
 
+_SMALL: dict[tuple[str, tuple[str, ...]], bool] = {}
+
+
 def small_input(spark: SparkSession, df: DataFrame) -> bool:
-    files = df.inputFiles()
+    files = tuple(sorted(df.inputFiles()))
     if len(files) > SMALL_INPUT_FILES:
         return False
-    # file sizes from the binaryFile source; only `length` is read, not the content
-    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return (total or 0) <= SMALL_INPUT_BYTES
+    key = (spark.sparkContext.applicationId, files)
+    if key not in _SMALL:
+        # file sizes from the binaryFile source; only `length` is read, not the content
+        total = spark.read.format("binaryFile").load(list(files)).agg(F.sum("length")).first()[0]
+        _SMALL[key] = (total or 0) <= SMALL_INPUT_BYTES
+    return _SMALL[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
