@@ -30,6 +30,7 @@ from pyspark import cloudpickle
 # executors need not have this package installed: ship its task code by value
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
 from folio.operators.chunking import pack
+from folio.session import work_dir
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_K = 10          # library search
@@ -182,29 +183,37 @@ def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, m
     id_type = store.schema[id_col].dataType
     base = store.select(id_col, vec_col).where(F.col(vec_col).isNotNull())
     qsel = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qvec"))
-    stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qvec")).alias("dim")).first()
-    nq, dim = int(stats["n"]), int(stats["dim"] or 0)
     out_schema = T.StructType([
         T.StructField("qid", T.LongType()), T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())
     ])
-    if nq == 0:
+    first = qsel.first()
+    if first is None:
         empty = spark.createDataFrame([], out_schema.add("rank", T.IntegerType())).select("qid", "rank", id_col, "distance")
         return empty, 0
-    blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_query_bytes))
-    parts = []
-    for b in range(blocks):
-        block = qsel if blocks == 1 else qsel.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        # bounded by max_query_bytes by construction of the block count
-        rows = block.collect()
-        if not rows:
-            continue
+    dim = max(1, len(first["qvec"] or []))
+    max_rows = max(1, max_query_bytes // (dim * 8))
+
+    def run_block(rows):
         qids = np.array([r["qid"] for r in rows], dtype=np.int64)
         qmat = np.array([r["qvec"] for r in rows], dtype=np.float64)
         bq = spark.sparkContext.broadcast(qmat)
-        parts.append(base.mapInPandas(_local_topk(bq, qids, k, metric, id_col, vec_col), out_schema))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+        return bq, base.mapInPandas(_local_topk(bq, qids, k, metric, id_col, vec_col), out_schema)
+
+    # collecting at most max_rows + 1 rows is the size check itself: one pass when small
+    head = qsel.limit(max_rows + 1).collect()
+    if len(head) <= max_rows:
+        nq = len(head)
+        cands = run_block(head)[1]
+    else:
+        # blocks run one after another; each block's candidates go to a table in the
+        # shared folder, so the driver never holds more than one block of queries
+        nq = qsel.count()
+        out_dir = work_dir(spark, "knn-candidates")
+        for rows in _bounded_blocks(qsel, max_rows, math.ceil(nq / max_rows) + 1):
+            bq, part = run_block(rows)
+            part.write.mode("append").parquet(out_dir)
+            bq.destroy()
+        cands = spark.read.schema(out_schema).parquet(out_dir)
     w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col(id_col).asc())
     hits = (
         cands.withColumn("rank", F.row_number().over(w))
@@ -214,6 +223,29 @@ def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, m
     return hits, nq
 
 
+def _bounded_blocks(qsel: DataFrame, max_rows: int, n_blocks: int, depth: int = 0):
+    """Query blocks of at most ``max_rows`` rows, each collected only when it is needed.
+
+    Blocks come from a hash of the query id; a block that still exceeds the
+    bound is split again with another hash seed, so the bound is strict.
+    """
+    for b in range(n_blocks):
+        block = qsel.where(F.pmod(F.xxhash64(F.col("qid"), F.lit(depth)), F.lit(n_blocks)) == b)
+        if depth >= 6:
+            # only repeated query ids can still be together here; keep every row
+            rows = block.collect()
+            if rows:
+                yield rows
+            continue
+        rows = block.limit(max_rows + 1).collect()
+        if not rows:
+            continue
+        if len(rows) <= max_rows:
+            yield rows
+        else:
+            yield from _bounded_blocks(block, max_rows, 4, depth + 1)
+
+
 def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id",
             broadcast_hits: bool = False) -> DataFrame:
     """join the ranked ids back to the record columns (late materialisation).
