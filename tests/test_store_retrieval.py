@@ -75,3 +75,18 @@ def test_one_per_id_hot_key(spark):
     assert len(out) == 51
     assert out["hot"] == (-1999, "copy2999")
     assert out["k7"] == (7, "solo")
+
+
+def test_knn_blocks_with_repeated_query_ids(spark):
+    rng = np.random.default_rng(1)
+    vecs = rng.normal(size=(50, 4)).astype(np.float32)
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "id long, embedding array<float>")
+    qs = [(7, vecs[3].tolist()), (7, vecs[3].tolist()), (8, vecs[9].tolist())]
+    queries = spark.createDataFrame(qs, "qid long, embedding array<float>")
+    got = Q.knn(store, queries, k=3, max_query_bytes=8).collect()   # one query per block at most
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r.qid, []).append(r)
+    assert sorted(by_q) == [7, 8]
+    assert all(len(v) == 3 for v in by_q.values())
+    assert min(by_q[7], key=lambda r: r.rank).id == 3 and min(by_q[8], key=lambda r: r.rank).id == 9
