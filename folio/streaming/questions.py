@@ -2,9 +2,9 @@
 
 Each micro-batch of questions (text + vector) is cleaned (F5) and ranked
 against the store with the exact k-NN of :mod:`folio.operators.retrieval`;
-the hits are appended to a results folder.  A micro-batch is bounded by the
-source's ``maxFilesPerTrigger`` / rate, which is what bounds the broadcast of
-its query vectors.
+the hits are written to a results folder, one partition per epoch, so a
+replayed epoch overwrites only itself.  The k-NN step bounds its own
+broadcast (query blocks), so any micro-batch size is safe.
 """
 
 from __future__ import annotations
