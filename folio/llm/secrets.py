@@ -1,0 +1,158 @@
+"""Secret scan: fixed patterns, and two character Markov models for the rest.
+
+The fixed patterns (assignment, access key, hex) are found with Spark's own
+regular expressions; positions come from a fold that looks each match up from
+the end of the one before.  Other long tokens are scored by the log-likelihood
+ratio of two first-order character models, one of random strings and one of
+ordinary identifiers.  Both are trained here by a grouped count of character
+pairs; the result is a square table over a fixed alphabet, so its size is
+fixed.  Everything is built-in functions.
+
+Training samples, all labelled by how they are made:
+
+* random: hex, base-64, base-64 without its signs, and upper-case renderings
+  of digests of ``0 .. TRAIN_STRINGS - 1``;
+* ordinary: the words of about ``TRAIN_DOCS`` rows of the input, chosen by a
+  hash of their id, and identifiers made of neighbouring words in snake, camel,
+  kebab and dotted-path style.
+
+Defined cases: a null text has no spans.  Rows are scanned one by one, so
+repeated rows give repeated results and null ids pass through.  An empty table
+gives no rows.  Offsets are code points, ends exclusive.
+"""
+
+from __future__ import annotations
+
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from folio.llm.base import unused, words
+
+# --- fixed values -----------------------------------------------------------
+KINDS = ("assign", "access", "hex", "random")
+ASSIGN = r"""(?i:(?=[pstaPSTA])(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
+TOKEN = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+# ----------------------------------------------------------------------------
+
+TRAIN_STRINGS = 4096
+TRAIN_DOCS = 100
+SMOOTHING = 0.5
+#: least ratio of a random string: in all, and for each pair of characters (natural logarithms)
+LEAST_TOTAL = 12.0
+LEAST_PER_PAIR = 0.6
+
+
+def _random_strings(spark, n: int) -> DataFrame:
+    digest = F.unhex(F.sha2(F.col("id").cast("string"), 256))
+    b64 = F.base64(digest)
+    made = F.array(F.lower(F.hex(digest)), b64, F.regexp_replace(b64, "[+/=]", ""),
+                   F.upper(F.regexp_replace(b64, "[+/=]", "")))
+    return spark.range(n).select(F.explode(made).alias("s"))
+
+
+def _ordinary(docs: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
+    every = F.greatest(F.lit(1), F.floor(F.lit(docs.count()) / F.lit(n)))
+    some = docs.where(F.pmod(F.xxhash64(F.col(id_col)), every) == 0)
+    plain = F.filter(F.transform(words(F.col(text)), lambda w: F.regexp_replace(w, "[^A-Za-z0-9]+", "")),
+                     lambda w: F.length(w) > 1)
+    some = some.select(plain.alias("w"))
+    joined = F.zip_with(F.col("w"), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.when(b.isNotNull(), F.struct(a.alias("a"), b.alias("b"))))
+    def styles(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        return F.array(a, F.concat_ws("_", a, b), F.concat(a, F.initcap(b)), F.concat_ws("-", a, b),
+                       F.concat_ws(".", a, b), F.concat_ws("/", a, b), F.concat(a, F.lit("="), b),
+                       F.concat(a, (F.pmod(F.xxhash64(b), F.lit(100))).cast("string")))
+    pairs = some.select(F.explode(joined).alias("p")).where("p is not null")
+    return pairs.select(F.explode(styles(F.col("p"))).alias("s"))
+
+
+def _pair_counts(strings: DataFrame, label: str) -> DataFrame:
+    at = F.sequence(F.lit(1), F.length("s") - 1)
+    pairs = strings.where(F.length("s") > 1).select(F.explode(F.transform(at, lambda i: F.substring("s", i, F.lit(2)))).alias("p"))
+    return pairs.groupBy("p").count().select(F.lit(label).alias("label"), "p", "count")
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n_strings: int = TRAIN_STRINGS,
+          n_docs: int = TRAIN_DOCS) -> np.ndarray:
+    """Table of log-likelihood ratios, random against ordinary, by pair of characters.
+
+    At most one row for each pair of alphabet characters and label comes to
+    the driver.
+    """
+    size = len(ALPHABET)
+    counts = np.full((2, size, size), SMOOTHING)
+    seen = _pair_counts(_random_strings(docs.sparkSession, n_strings), "random").unionAll(
+        _pair_counts(_ordinary(docs, id_col, text, n_docs), "ordinary"))
+    for r in seen.where(F.col("p").rlike(r"^[A-Za-z0-9+/_.=-]{2}$")).collect():
+        counts[int(r["label"] == "ordinary"), ALPHABET.index(r["p"][0]), ALPHABET.index(r["p"][1])] += r["count"]
+    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    return logs[0] - logs[1]
+
+
+def _located(text: Column, found: Column) -> Column:
+    """Spans of matches that are given in order, each looked up after the one before."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<s:int,e:int,m:string>>").alias("out"))
+    start = start.withField("out", F.array().cast("array<struct<s:int,e:int,m:string>>"))
+    def step(acc: Column, m: Column) -> Column:
+        s = F.call_function("locate", m, text, acc["at"] + 1) - 1
+        e = s + F.length(m)
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), m.alias("m")))).alias("out"))
+    return F.aggregate(found, start, step, lambda acc: acc["out"])
+
+
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def log_ratio(token: Column, table: np.ndarray) -> Column:
+    """Sum of the table over the neighbouring characters of ``token``."""
+    flat, n = F.lit(table.reshape(-1)), len(ALPHABET)
+    place = lambda c: F.call_function("locate", c, F.lit(ALPHABET)) - 1
+    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda acc, i: acc + F.coalesce(
+        F.get(flat, place(F.substring(token, i, F.lit(1))) * n + place(F.substring(token, i + 1, F.lit(1)))), F.lit(0.0)))
+
+
+def scan(docs: DataFrame, table: np.ndarray, text: str = "text") -> DataFrame:
+    """``docs`` with ``base_spans`` and ``spans``: arrays of (start, kind, end), kind by its place in KINDS."""
+    t_, a_, c_, h_, k_ = unused(docs, "t", "assign", "access", "hex", "token")
+    t = F.col(t_)
+    found = docs.withColumn(t_, F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    found = found.select("*", F.inline(F.array(F.struct(
+        _all(t, ASSIGN).alias(a_), _all(t, ACCESS).alias(c_), _all(t, HEX).alias(h_), _all(t, TOKEN).alias(k_)))))
+
+    def spans(col: str, kind: int, keep=None) -> Column:
+        at = _located(t, F.col(col))
+        at = F.filter(at, keep) if keep else at
+        return F.transform(at, lambda x: F.struct(x["s"].alias("start"), F.lit(kind).alias("kind"), x["e"].alias("end")))
+
+    long_value = lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= 6
+    base = F.when(F.size(a_) + F.size(c_) + F.size(h_) > 0, F.array_sort(F.concat(
+        spans(a_, 0, long_value), spans(c_, 1), spans(h_, 2)))).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    def random_token(x: Column) -> Column:
+        score = log_ratio(F.rtrim(x["m"], F.lit("=.")), table)
+        return (score >= LEAST_TOTAL) & (score >= LEAST_PER_PAIR * (F.length(x["m"]) - 1))
+    b_, m_ = unused(found, "base_spans", "method_spans")
+    found = found.select("*", F.inline(F.array(F.struct(
+        base.alias(b_), F.when(F.size(k_) > 0, spans(k_, 3, random_token)).otherwise(
+            F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias(m_)))))
+    apart = F.filter(F.col(m_), lambda x: ~F.exists(F.col(b_), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("base_spans", "spans")]
+    return found.select(*rest, F.col(b_).alias("base_spans"), F.array_sort(F.concat(F.col(b_), apart)).alias("spans"))
+
+
+def _written(spans: Column) -> Column:
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"], x["end"])), ",")
+
+
+def op7_secrets(spark, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    out = scan(docs, train(docs))
+    count = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("bigint")
+    return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                      F.sha2(_written(F.col("base_spans")), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
