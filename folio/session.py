@@ -9,7 +9,6 @@ location.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,30 +38,25 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset.
+    """The shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem; we read it
-    and never replace it.  Only a bare local session (tests, bench) gets a fresh
-    folder under the system temp directory.
+    and never replace it, and a cluster session without it is an error, as
+    other machines would not see a folder of the driver's own.  Only a local
+    session (tests, bench) gets a fresh folder under the system temp directory.
     """
     current = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {_CKPT_KEY} to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="folio-ckpt-")
-    try:
-        spark.conf.set(_CKPT_KEY, path)
-    except Exception:  # noqa: BLE001 - some sessions refuse runtime changes of core settings
-        pass
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return (spark.sparkContext.getCheckpointDir() or path).rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    # getCheckpointDir() may carry a per-application uuid sub-folder; either is shared.
-    root = root[len("file:"):] if root.startswith("file:") else root
-    path = os.path.join(root, "folio", f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    return f"{ensure_checkpoint_dir(spark)}/folio/{name}-{uuid.uuid4().hex[:12]}"
