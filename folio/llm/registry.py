@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from folio.llm.licenses import op6_licences
+from folio.llm.packing import op4_packing
 from folio.llm.quality import op8_quality
-from folio.llm.secrets import op7_secrets
+from folio.llm.secret_scan import op7_secrets
 from folio.llm.sharding import op2_sharding
+from folio.llm.simhash import op1_simhash
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
+    "op4_packing": op4_packing,
     "op6_licences": op6_licences,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
