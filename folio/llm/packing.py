@@ -37,9 +37,9 @@ ship(__name__)
 LENGTH = 1024
 GROUP_DOCS = 4096
 MEMO_PIECES = 1 << 18
-TASK_DOCS = 16384          # documents of a task, on average
+TASK_DOCS = 8192           # documents of a task, on average
 #: White space as Unicode's property has it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + chr(0x1680) + chr(0x2000) + "-" + chr(0x200A) + "".join(map(chr, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _MEMO: dict = {}
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from folio.llm.decontamination import op9_decontamination
 from folio.llm.licenses import op6_licences
+from folio.llm.lm import op10_lm
 from folio.llm.packing import op4_packing
 from folio.llm.quality import op8_quality
 from folio.llm.secret_scan import op7_secrets
@@ -16,6 +18,8 @@ QUERIES = {
     "op6_licences": op6_licences,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
+    "op9_decontamination": op9_decontamination,
+    "op10_lm": op10_lm,
 }
 
 SQL: dict[str, str] = {}
