@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from folio.llm.decontamination import op9_decontamination
+from folio.llm.language import op5_language, page_language
 from folio.llm.licenses import op6_licences
 from folio.llm.lm import op10_lm
 from folio.llm.packing import op4_packing
+from folio.llm.pii import op3_pii
 from folio.llm.quality import op8_quality
 from folio.llm.secret_scan import op7_secrets
 from folio.llm.sharding import op2_sharding
@@ -14,12 +16,15 @@ from folio.llm.simhash import op1_simhash
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_sharding": op2_sharding,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
     "op6_licences": op6_licences,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_lm": op10_lm,
+    "page_language": page_language,
 }
 
 SQL: dict[str, str] = {}

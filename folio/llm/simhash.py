@@ -202,6 +202,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return rows.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each group: the one with the least id.
+
+    Rows that share an id are one document and leave one row.  Rows without an
+    id cannot be told apart: each different text of theirs leaves one row, and
+    none if a row with an id has that text's group.
+    """
+    labels = stored(near_duplicates(docs, id_col, text, shingle, max_bits).select(F.col(id_col).alias("id"), "component_id"), "simhash-labels")
+    key = F.col(f"`{id_col}`")
+    known = labels.where("id is not null")
+    gone = stored(known.where("id != component_id").select("id").distinct(), "simhash-gone")
+    out = docs.where(key.isNotNull()).join(gone, key == gone["id"], "left_anti")
+    if known.groupBy("id").count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates([id_col])
+    if labels.where("id is null").limit(1).count():
+        lone = docs.where(key.isNull())
+        fps = lone.withColumn("fp_", F.pandas_udf(_series(shingle), "long")(F.col(f"`{text}`")))
+        grouped = near_duplicates(docs, id_col, text, shingle, max_bits).where("component_id is not null").select(F.col("fp").alias("fp_")).distinct()
+        out = out.unionByName(fps.join(grouped, "fp_", "left_anti").drop("fp_").dropDuplicates([text]))
+    return out
+
+
+def _series(shingle: int):
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+    return run
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
