@@ -20,6 +20,23 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(__import__(module, fromlist=["_"]))
 
 
+#: Bounds of an Arrow batch: with long texts, 10,000 rows (Spark's default) take hundreds of MB of a Python worker.
+BATCH_ROWS = 1000
+BATCH_BYTES = "8m"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are at most of the bounds above.
+
+    This lowers two settings of the session, and never raises the first.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def shared_path(df: DataFrame, name: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{ensure_checkpoint_dir(df.sparkSession)}/folio-llm/{name}-{uuid.uuid4().hex}"

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import ship
+from folio.llm.base import in_small_batches, ship
 
 ship(__name__)
 
@@ -247,7 +247,7 @@ def _match(index: Index):
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                  item_id: str = "item_id", item_text: str = "text", least: float = LEAST_SIMILARITY) -> DataFrame:
     """One row for each document and item found in it, with the best edit distance."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = "doc_id long, item_id long, distance long, similarity double, first_word long"
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(benchmark, item_id, item_text):
@@ -270,7 +270,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                   item_text: str = "text", least: float = LEAST_SIMILARITY) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; nothing is shuffled or joined."""
     for block in _blocks(benchmark, item_id, item_text):
-        docs = docs.mapInArrow(_clean(Index(block, least), docs.columns.index(text)), docs.schema)
+        docs = in_small_batches(docs).mapInArrow(_clean(Index(block, least), docs.columns.index(text)), docs.schema)
     return docs
 
 

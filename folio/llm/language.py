@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import ship, stored, unused
+from folio.llm.base import in_small_batches, ship, stored, unused
 
 ship(__name__)
 
@@ -145,7 +145,7 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     """
     none = F.lit(None).cast("string")
     t_, d_, h_, s_, l_, p_ = unused(docs, "t", "declared", "host", "suffix", "label", "p")
-    rows = docs.select("*", F.col(f"`{text}`").alias(t_), (none if declared is None else declared).cast("string").alias(d_),
+    rows = in_small_batches(docs).select("*", F.col(f"`{text}`").alias(t_), (none if declared is None else declared).cast("string").alias(d_),
                        (none if host is None else F.nullif(host, F.lit(""))).cast("string").alias(h_),
                        (none if suffix is None else F.nullif(suffix, F.lit(""))).cast("string").alias(s_),
                        (declared if label is None else label).cast("string").alias(l_))

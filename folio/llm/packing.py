@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import ship
+from folio.llm.base import in_small_batches, ship
 
 ship(__name__)
 
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
 
     A sequence holds ``length`` ids at most; what is left of it is padding.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     tasks = max(1, -(-rows.count() // TASK_DOCS), rows.sparkSession.sparkContext.defaultParallelism)
     rows = rows.withColumn("deal", F.xxhash64("doc_id", "text"))
     rows = rows.repartition(tasks, "deal").sortWithinPartitions("deal", "doc_id").select("doc_id", "text")

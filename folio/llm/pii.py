@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import ship, stored
+from folio.llm.base import in_small_batches, ship, stored
 
 ship(__name__)
 
@@ -200,7 +200,7 @@ def _rewrite(place: int, names: list[str]):
 def replace(docs: DataFrame, text: str = "text", secret: bytes = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_replaced`` (long)."""
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])     # clashing names cannot meet
+    plain = in_small_batches(docs).toDF(*[f"c{i}" for i in range(len(names))])     # clashing names cannot meet
     place = names.index(text)
     t = f"c{place}"
     some = F.coalesce(F.col(t).rlike(GATE), F.lit(False))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import ship, stored
+from folio.llm.base import in_small_batches, ship, stored
 from folio.llm.components import components
 
 ship(__name__)
@@ -192,7 +192,7 @@ def links(fps: DataFrame, budget: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: id, ``fp`` (long), ``component_id`` (least id reachable)."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = stored(rows.mapInArrow(_fingerprints(shingle), "id long, fp long"), "simhash-rows")
     fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = components(links(fps, max_bits))
