@@ -8,8 +8,8 @@ pandas' ``cumcount`` per batch carry-over), and a group that continues from
 earlier partitions gets the count of its rows there added as an offset.
 
 Only the first group of a partition can continue from an earlier partition,
-so the offset table has at most one row per partition: its size is bounded by
-the partition count, which is what makes the broadcast of it safe.
+so the offset table has at most one row per partition; the planner may
+broadcast it by its size.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark import cloudpickle
 
+from folio.session import work_dir
+
 # executors need not have this package installed: ship its task code by value
 cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
 
@@ -59,9 +61,13 @@ def group_row_number(df: DataFrame, group_col: str, order_col: str, out: str = "
         .withColumn("_pid", F.spark_partition_id())
     )
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local_rn", T.LongType())])
-    local = ranged.mapInPandas(_local_numbers(group_col), schema)
+    # Written once: numbers and offsets must come from one and the same cut into
+    # partitions, and range partitioning cuts anew (by a sample) in every plan.
+    path = work_dir(spark, "row-numbers")
+    ranged.mapInPandas(_local_numbers(group_col), schema).write.parquet(path)
+    local = spark.read.schema(schema).parquet(path)
     # rows of each (partition, group); only groups seen in earlier partitions need an offset
-    per_part = ranged.groupBy("_pid", group_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_part = local.groupBy("_pid", group_col).agg(F.max("_local_rn").alias("_n"))
     w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         per_part.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -69,7 +75,7 @@ def group_row_number(df: DataFrame, group_col: str, order_col: str, out: str = "
         .select("_pid", group_col, "_offset")
     )
     return (
-        local.join(F.broadcast(offsets), ["_pid", group_col], "left")
+        local.join(offsets, ["_pid", group_col], "left")
         .withColumn(out, (F.col("_local_rn") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int"))
         .drop("_pid", "_local_rn", "_offset")
     )

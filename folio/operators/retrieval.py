@@ -15,7 +15,6 @@ ranking, so they reach the Parquet scan and k results survive.
 
 from __future__ import annotations
 
-import math
 from typing import Any, Iterator
 
 import numpy as np
@@ -37,18 +36,19 @@ DEFAULT_K = 10          # library search
 QUESTION_K = 5          # question answering
 NO_TITLE = "No Title"
 MAX_QUERY_BYTES = 64 << 20   # broadcast bound for one block of query vectors
-MAX_BROADCAST_HITS = 2_000_000   # ranked hits (queries x k) broadcast to the store scan
 # ---------------------------------------------------------------------------
 
 _OPS = {
-    "$eq": lambda c, v: c == v, "$ne": lambda c, v: c != v, "$gt": lambda c, v: c > v,
+    "$eq": lambda c, v: c == v, "$ne": lambda c, v: ~c.eqNullSafe(v), "$gt": lambda c, v: c > v,
     "$gte": lambda c, v: c >= v, "$lt": lambda c, v: c < v, "$lte": lambda c, v: c <= v,
-    "$in": lambda c, v: c.isin(list(v)), "$nin": lambda c, v: ~c.isin(list(v)),
+    "$in": lambda c, v: c.isin(list(v)), "$nin": lambda c, v: ~F.coalesce(c.isin(list(v)), F.lit(False)),
 }
 
 
 def where_to_column(where: dict[str, Any]) -> Column:
-    """metadata filter dict (``$eq $ne $gt $gte $lt $lte $in $nin $and $or``) -> Column."""
+    """metadata filter dict (``$eq $ne $gt $gte $lt $lte $in $nin $and $or``) -> Column.
+
+    A missing value differs from every value; an empty filter keeps all rows."""
     parts = []
     for key, cond in where.items():
         if key in ("$and", "$or"):
@@ -62,8 +62,8 @@ def where_to_column(where: dict[str, Any]) -> Column:
                 parts.append(_OPS[op](F.col(key), val))
         else:
             parts.append(F.col(key) == cond)
-    out = parts[0]
-    for p in parts[1:]:
+    out = F.lit(True)
+    for p in parts:
         out = out & p
     return out
 
@@ -126,12 +126,14 @@ def _local_topk(bq, qids: np.ndarray, k: int, metric: str, id_field: str, vec_fi
             for s0 in range(0, len(all_ids), rows_per_step):
                 vecs, ids = all_vecs[s0:s0 + rows_per_step], all_ids[s0:s0 + rows_per_step]
                 approx, tol = _approx(vecs, q, metric)
+                approx = np.where(np.isnan(approx), np.inf, approx)   # e.g. the cosine of a zero vector: never a hit
                 kk = min(k, len(ids))
                 kth = np.partition(approx, kk - 1, axis=0)[kk - 1]
                 for j in range(nq):
                     cand = np.nonzero(approx[:, j] <= kth[j] + 2.0 * tol[j])[0]
                     d = _exact(vecs[cand], q[j], metric)
-                    cand_d, cand_i = d, ids[cand]
+                    real = ~np.isnan(d)
+                    cand_d, cand_i = d[real], ids[cand][real]
                     if best_d[j] is not None:
                         cand_d = np.concatenate([best_d[j], cand_d])
                         cand_i = np.concatenate([best_ids[j], cand_i])
@@ -160,7 +162,7 @@ def knn(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
 
     Returns ``(qid, rank, id, distance)``; ``rank`` is 1-based.
     """
-    return _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, max_query_bytes)[0]
+    return _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, max_query_bytes)
 
 
 def knn_hydrated(store: DataFrame, queries: DataFrame, cols: list[str], k: int = DEFAULT_K, metric: str = "l2sq",
@@ -168,12 +170,9 @@ def knn_hydrated(store: DataFrame, queries: DataFrame, cols: list[str], k: int =
                  qid_col: str = "qid", qvec_col: str = "embedding") -> DataFrame:
     """F1 + F3: ranked hits joined back to the record columns (late materialisation).
 
-    The hits are at most queries x k rows, a bound known before the join, so
-    under ``MAX_BROADCAST_HITS`` they are broadcast and the store is scanned
-    once without being shuffled.
+    The planner picks the join by measured sizes.
     """
-    hits, nq = _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, MAX_QUERY_BYTES)
-    return hydrate(hits, store, cols, id_col, broadcast_hits=nq * k <= MAX_BROADCAST_HITS)
+    return hydrate(knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col), store, cols, id_col)
 
 
 def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, max_query_bytes):
@@ -182,91 +181,71 @@ def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, m
         store = store.where(where if isinstance(where, Column) else where_to_column(where))
     id_type = store.schema[id_col].dataType
     base = store.select(id_col, vec_col).where(F.col(vec_col).isNotNull())
-    qsel = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qvec"))
+    qsel = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qvec")).where("qvec is not null")
     out_schema = T.StructType([
         T.StructField("qid", T.LongType()), T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())
     ])
-    first = qsel.first()
-    if first is None:
-        empty = spark.createDataFrame([], out_schema.add("rank", T.IntegerType())).select("qid", "rank", id_col, "distance")
-        return empty, 0
-    dim = max(1, len(first["qvec"] or []))
-    max_rows = max(1, max_query_bytes // (dim * 8))
-
     def run_block(rows):
         qids = np.array([r["qid"] for r in rows], dtype=np.int64)
         qmat = np.array([r["qvec"] for r in rows], dtype=np.float64)
         bq = spark.sparkContext.broadcast(qmat)
         return bq, base.mapInPandas(_local_topk(bq, qids, k, metric, id_col, vec_col), out_schema)
 
-    # collecting at most max_rows + 1 rows is the size check itself: one pass when small
-    head = qsel.limit(max_rows + 1).collect()
-    if len(head) <= max_rows:
-        nq = len(head)
-        cands = run_block(head)[1]
-    else:
-        # blocks run one after another; each block's candidates go to a table in the
-        # shared folder, so the driver never holds more than one block of queries
-        nq = qsel.count()
-        out_dir = work_dir(spark, "knn-candidates")
-        for rows in _bounded_blocks(qsel, max_rows, math.ceil(nq / max_rows) + 1):
-            bq, part = run_block(rows)
-            part.write.mode("append").parquet(out_dir)
-            bq.destroy()
-        cands = spark.read.schema(out_schema).parquet(out_dir)
+    # blocks run one after another; a block's candidates go to a table in the shared
+    # folder, so the driver never holds more than one block and one partition of queries
+    out_dir = work_dir(spark, "knn-candidates")
+    spark.createDataFrame([], out_schema).write.parquet(out_dir)
+    for rows in _blocks(qsel, max_query_bytes):
+        bq, part = run_block(rows)
+        part.write.mode("append").parquet(out_dir)
+        bq.destroy()
+    cands = spark.read.schema(out_schema).parquet(out_dir)
     w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col(id_col).asc())
     hits = (
         cands.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
         .select("qid", "rank", id_col, "distance")
     )
-    return hits, nq
+    return hits
 
 
-def _bounded_blocks(qsel: DataFrame, max_rows: int, n_blocks: int, depth: int = 0):
-    """Query blocks of at most ``max_rows`` rows, each collected only when it is needed.
+def _blocks(qsel: DataFrame, max_bytes: int):
+    """Query rows in blocks of at most ``max_bytes`` of vectors (one row at least)."""
+    block, size = [], 0
+    for r in qsel.toLocalIterator(prefetchPartitions=False):
+        if block and size + 8 * len(r["qvec"]) > max_bytes:
+            yield block
+            block, size = [], 0
+        block.append(r)
+        size += 8 * len(r["qvec"])
+    if block:
+        yield block
 
-    Blocks come from a hash of the query id; a block that still exceeds the
-    bound is split again with another hash seed, so the bound is strict.
-    """
-    for b in range(n_blocks):
-        block = qsel.where(F.pmod(F.xxhash64(F.col("qid"), F.lit(depth)), F.lit(n_blocks)) == b)
-        if depth >= 6:
-            # only repeated query ids can still be together here; keep every row
-            rows = block.collect()
-            if rows:
-                yield rows
-            continue
-        rows = block.limit(max_rows + 1).collect()
-        if not rows:
-            continue
-        if len(rows) <= max_rows:
-            yield rows
-        else:
-            yield from _bounded_blocks(block, max_rows, 4, depth + 1)
 
-
-def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id",
-            broadcast_hits: bool = False) -> DataFrame:
+def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id") -> DataFrame:
     """join the ranked ids back to the record columns (late materialisation).
 
     Inner join: every hit came from the store.  (A left join could only
-    broadcast the store side.)  ``broadcast_hits`` is for callers that know
-    the hits are small, such as :func:`knn_hydrated`.
+    broadcast the store side.)
     """
     side = store.select(id_col, *cols)
-    return (F.broadcast(hits) if broadcast_hits else hits).join(side, id_col, "inner")
+    return hits.join(side, id_col, "inner")
 
 
 def report(hits: DataFrame, title_col: str = "title") -> DataFrame:
-    """title (default "No Title") and a similarity score ``1 / (1 + distance)``."""
+    """title (default "No Title") and a similarity score ``exp(-distance)``."""
     return hits.select(
         "qid", "rank",
         F.coalesce(F.col(title_col), F.lit(NO_TITLE)).alias("title"),
-        F.round(F.lit(1.0) / (F.lit(1.0) + F.col("distance")), 4).alias("score"),
+        F.round(F.exp(-F.col("distance")), 4).alias("score"),
     )
 
 
+def question_id() -> Column:
+    """number of a question from its conversation and turn (conversations have under 65,536 turns)."""
+    return (F.col("conv_id") * 65536 + F.col("turn")).cast("long").alias("qid")
+
+
 def clean_questions(questions: DataFrame, text: str = "question") -> DataFrame:
     """questions trimmed; blank ones skipped."""
     from folio.functions.text import py_strip

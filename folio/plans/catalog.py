@@ -323,10 +323,10 @@ def retrieval_report(spark, sf):
 
 
 def _questions(spark, sf):
-    conv = _t(spark, sf, "conversations").where((F.col("role") == "user") & (F.col("turn") == 0))
+    conv = _t(spark, sf, "conversations").where(F.col("role") == "user")
     vecs = _t(spark, sf, "embeddings").select(F.col("vec_id").alias("conv_id"), "embedding")
-    q = conv.select("conv_id", F.col("text").alias("question")).join(vecs, "conv_id")
-    return Q.clean_questions(q).select(F.col("conv_id").alias("qid"), "question", "embedding")
+    q = conv.select("conv_id", "turn", F.col("text").alias("question")).join(vecs, "conv_id")
+    return Q.clean_questions(q).select(Q.question_id(), "question", "embedding")
 
 
 def batch_questions(spark, sf):

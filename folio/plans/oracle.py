@@ -608,11 +608,11 @@ def hydrated(k: int) -> str:
 
 SQL["knn_hydrated"] = hydrated(10) + "SELECT qid, rank, id, title, round(distance, 6) AS distance FROM ranked"
 SQL["retrieval_report"] = hydrated(5) + \
-    "SELECT qid, rank, coalesce(title, 'No Title') AS title, round(1.0 / (1.0 + distance), 4) AS score FROM ranked"
+    "SELECT qid, rank, coalesce(title, 'No Title') AS title, round(exp(-distance), 4) AS score FROM ranked"
 
-QUESTIONS = f"""qs AS (SELECT c.conv_id AS qid, {strip('c.text')} AS question, e.embedding AS qv
+QUESTIONS = f"""qs AS (SELECT c.conv_id * 65536 + c.turn AS qid, {strip('c.text')} AS question, e.embedding AS qv
   FROM conversations c JOIN embeddings e ON e.vec_id = c.conv_id
-  WHERE c.role = 'user' AND c.turn = 0 AND {strip('c.text')} <> '')"""
+  WHERE c.role = 'user' AND {strip('c.text')} <> '')"""
 SQL["batch_questions"] = with_(QUESTIONS, "st AS (SELECT vec_id AS id, embedding AS emb FROM embeddings)",
                                knn_sql("qs", "st", 5, ", q.question")) + \
     "SELECT qid, question, rank, id, round(distance, 6) AS distance FROM ranked"

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from folio.operators import retrieval as Q
 from folio.session import work_dir
 
+HIT_SCHEMA = "qid bigint, rank int, id bigint, distance double, question string, epoch int"
 CONV_SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
 
 def answer_batch(store: DataFrame, vectors: DataFrame, out_path: str, k: int):
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        qs = batch.where((F.col("role") == "user") & (F.col("turn") == 0)).select(
-            "conv_id", F.col("text").alias("question"))
-        qs = Q.clean_questions(qs).join(vectors, "conv_id").select(F.col("conv_id").alias("qid"), "question", "embedding")
+        qs = batch.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+        qs = Q.clean_questions(qs).join(vectors, "conv_id").select(Q.question_id(), "question", "embedding")
         hits = Q.knn(store, qs, k=k)
         out = hits.join(qs.select("qid", "question"), "qid").withColumn("epoch", F.lit(epoch_id))
         # an epoch replayed after a failure overwrites its own partition only
@@ -33,6 +33,7 @@ def answer_batch(store: DataFrame, vectors: DataFrame, out_path: str, k: int):
 def run_questions_from_table(spark: SparkSession, sf_dir: str, k: int = Q.QUESTION_K) -> DataFrame:
     """The registered query: stream ``conversations`` questions, rank against ``embeddings``."""
     root = work_dir(spark, "stream-questions")
+    spark.createDataFrame([], HIT_SCHEMA).write.partitionBy("epoch").parquet(f"{root}/hits")   # a run may have no hit
     emb = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     vectors = emb.select(F.col("vec_id").alias("conv_id"), "embedding")
@@ -44,5 +45,5 @@ def run_questions_from_table(spark: SparkSession, sf_dir: str, k: int = Q.QUESTI
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/hits").select(
+    return spark.read.schema(HIT_SCHEMA).parquet(f"{root}/hits").select(
         "qid", "question", "rank", "id", F.round("distance", 6).alias("distance"))

@@ -5,17 +5,21 @@ from pyspark.sql import functions as F
 import brute
 from folio.operators.chunking import paragraph_chunks, sentence_chunks, store_records
 
-EDGE = [
-    "",
-    "   ",
-    "no sentence end here",
-    "One. Two. Three.",
-    "Really? Yes. No",
-    "a. . . b.",
-    "Short one. " + "word " * 40 + "end. Tail sentence.",
-    "Giant" + "x" * 500 + ". Next.",
-    "x " * 9 + "y. z.",
-    "Line one\nline two. Line three\n\nPara two. More text here.",
+#: text, budget, chunks: one case for each rule
+SENTENCES = [
+    ("", 5, [""]),                                          # no sentence: the text itself
+    ("   ", 5, ["   "]),
+    ("no end here", 5, ["no end here."]),
+    ("One. Two. Three.", 6, ["One. Two. Three."]),          # all fit exactly
+    ("One. Two. Three.", 5, ["One. Two.", "Three."]),       # one token too many
+    ("One. Two. Three.", 2, ["One.", "Two.", "Three."]),
+    ("a. . . b.", 8, ["a. b."]),                            # empty pieces go
+    ("Line one\nline two. End", 20, ["Line one line two. End."]),
+]
+PARAGRAPHS = [
+    ("p1\n\n\n\np2", 1010, ["p1\n\n\n\np2"]),               # a text that fits stays as it is
+    ("a b c\n\nd e f", 1006, ["a b c\n\nd e f"]),           # exactly the budget
+    ("a b c\n\nd e f", 1005, ["a b c", "d e f"]),           # one above
 ]
 
 
@@ -34,13 +38,10 @@ def _random_texts(n, seed=7):
     return out
 
 
-def test_sentence_chunks_match_brute(spark):
-    texts = EDGE + _random_texts(60)
-    for budget in (5, 12, 40):
-        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-        got = {r.i: list(r.c) for r in df.select("i", sentence_chunks(F.col("t"), budget).alias("c")).collect()}
-        for i, t in enumerate(texts):
-            assert got[i] == brute.sentence_chunks(t, budget), (budget, t)
+def test_sentence_chunks(spark):
+    df = spark.createDataFrame(SENTENCES, "t string, b int, want array<string>")
+    for r in df.select("*", sentence_chunks(F.col("t"), F.col("b")).alias("got")).collect():
+        assert r.got == r.want, (r.t, r.b)
 
 
 def test_sentence_chunk_invariants(spark):
@@ -54,17 +55,17 @@ def test_sentence_chunk_invariants(spark):
         assert joined == original or not original
 
 
-def test_paragraph_chunks_match_brute(spark):
-    texts = EDGE + _random_texts(60, seed=11) + [
-        "p1\n\n\n\np2",
-        "a b c. d e f. g h i. " * 5 + "\n\nnext para",
-        "first para\n\n" + "w " * 30 + ". " + "v " * 30 + ". \n\nlast",
-    ]
-    for max_tokens in (1010, 1025):
-        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-        got = {r.i: list(r.c) for r in df.select("i", paragraph_chunks(F.col("t"), max_tokens).alias("c")).collect()}
-        for i, t in enumerate(texts):
-            assert got[i] == brute.paragraph_chunks(t, max_tokens), (max_tokens, t)
+def test_paragraph_chunks(spark):
+    for text, limit, want in PARAGRAPHS:
+        df = spark.createDataFrame([(text,)], "t string")
+        assert df.select(paragraph_chunks(F.col("t"), limit).alias("c")).first().c == want, (text, limit)
+
+
+def test_paragraph_chunks_keep_all_words(spark):
+    texts = _random_texts(60, seed=11)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", paragraph_chunks(F.col("t"), 1010).alias("c")).collect():
+        assert " ".join(r.c).replace(".", " ").split() == r.t.replace(".", " ").split()
 
 
 def test_store_records_ids(spark):
@@ -78,6 +79,6 @@ def test_store_records_ids(spark):
     assert sorted(r.chunk_index for r in longs) == list(range(len(longs)))
     assert all(r.id == f"a2_chunk_{r.chunk_index}" and r.total_chunks == len(longs) for r in longs)
     assert all(r.document.startswith("Title\n\n") for r in longs)
-    # budget excludes title tokens and the margin
-    chunks = brute.sentence_chunks(long_text, 30 - brute.tokens("Title") - 10)
-    assert [r.document[len("Title\n\n"):] for r in sorted(longs, key=lambda r: r.chunk_index)] == chunks
+    # the title and a margin of 10 leave 19 of 30 tokens: two sentences of 8 words and a period
+    assert all(r.document.count("word") <= 16 for r in longs)
+    assert sum(r.document.count("word") for r in longs) == 160

@@ -3,11 +3,10 @@ import os
 from pyspark.sql import functions as F
 
 from folio.functions.tokens import bpe_counter, pandas_token_counter
-from folio.session import work_dir
 from folio.sources.urllist import read_url_list
 
-SAMPLE = """# Blank lines and comments are acceptable
-# Any lines not beginning with http will be ignored
+SAMPLE = """# a comment
+# another, with http://in.it
 
 https://example.org/news/one
 https://example.org/news/two
@@ -17,13 +16,11 @@ https://example.org/news/five
 https://example.org/news/six
 
 
---- end of the list ---"""
+*** last line ***"""
 
 
-def test_read_url_list_file(spark):
-    folder = work_dir(spark, "test-urls")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, "urls.txt")
+def test_read_url_list_file(spark, tmp_path):
+    path = os.path.join(tmp_path, "urls.txt")
     with open(path, "w", encoding="utf-8") as fh:
         fh.write(SAMPLE)
     out = read_url_list(spark, path).orderBy("line_no").collect()

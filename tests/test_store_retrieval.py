@@ -90,3 +90,30 @@ def test_knn_blocks_with_repeated_query_ids(spark):
     assert sorted(by_q) == [7, 8]
     assert all(len(v) == 3 for v in by_q.values())
     assert min(by_q[7], key=lambda r: r.rank).id == 3 and min(by_q[8], key=lambda r: r.rank).id == 9
+
+
+def test_knn_zero_and_null_vectors(spark):
+    store = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)] + [(10 + i, [0.0, 0.0]) for i in range(8)], "id long, embedding array<double>")
+    qs = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "qid long, embedding array<double>")
+    hits = Q.knn(store, qs, k=10, metric="cosine").orderBy("rank").collect()
+    assert [(r.qid, r.id) for r in hits] == [(1, 0), (1, 1), (1, 2)]
+    assert Q.knn(store, qs.where("qid = 2"), k=3).count() == 0
+
+
+def test_filters_keep_missing_values(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "lang string")
+    assert df.where(Q.where_to_column({"lang": {"$ne": "a"}})).count() == 2
+    assert df.where(Q.where_to_column({"lang": {"$nin": ["a"]}})).count() == 2
+    assert df.where(Q.where_to_column({})).count() == 3
+
+
+def test_row_numbers_with_payload_and_a_large_group(spark):
+    from folio.operators.numbering import group_row_number
+    df = spark.range(300_000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('g', id % 97)) g", "sha2(cast(id as string), 256) payload")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = group_row_number(df, "g", "id")
+        bad = out.selectExpr("rn", "row_number() over (partition by g order by id) want").where("rn != want").count()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert bad == 0 and out.count() == 300_000

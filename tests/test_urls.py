@@ -21,29 +21,31 @@ URLS = [
 ]
 
 
-def _py_normalize(url):
-    p = urlparse(url)
-    out = f"{p.scheme}://{p.netloc}{p.path}"
-    if p.query:
-        keep = [kv for kv in p.query.split("&") if "=" in kv and kv.split("=")[0].lower() not in U.TRACKING_PARAMS]
-        if keep:
-            out += "?" + "&".join(keep)
-    return out
-
-
-def _py_valid(url):
-    p = urlparse(url)
-    return bool(p.scheme and p.netloc) and p.scheme in ("http", "https")
+#: normalised form and strict validity of URLS, in order
+EXPECTED = [
+    ("https://example.com/a/b?x=1&y=2", True),
+    ("http://Example.COM:8080/path", True),
+    ("http://user:pw@host.org/p/q/?b=1", True),
+    ("https://host/dir/file.html?k=v", True),
+    ("ftp://files.example.com/x", False),
+    ("http:///nohost", False),
+    ("://cdn.example.com/lib.js", False),
+    ("://example.com/no-scheme", False),
+    ("https://x.org", True),
+    ("https://x.org/a;b/c?q=1", True),
+    ("mailto://someone@example.com", False),
+    ("://", False),
+]
 
 
 def test_url_functions_match_stdlib(spark):
     df = spark.createDataFrame([(u,) for u in URLS], "u string")
     rows = df.select("u", U.normalize(F.col("u")).alias("n"), U.netloc(F.col("u")).alias("d"),
                      U.strict_valid(F.col("u")).alias("v"), U.prefix_valid(F.col("u")).alias("pv")).collect()
+    want = dict(zip(URLS, EXPECTED))
     for r in rows:
-        assert r.n == _py_normalize(r.u), r.u
+        assert (r.n, r.v) == want[r.u], r.u
         assert r.d == urlparse(r.u).netloc, r.u
-        assert r.v == _py_valid(r.u), r.u
         assert r.pv == r.u.startswith(("http://", "https://")), r.u
 
 
@@ -83,8 +85,8 @@ def test_article_classifier(spark):
 
 def test_url_list_scan_sample_shape(spark):
     lines = [
-        "# Blank lines and comments are acceptable",
-        "# Any lines not beginning with http will be ignored",
+        "# a comment",
+        "# another, with http://in.it",
         "",
         "https://example.org/one",
         "https://example.org/two",
@@ -94,7 +96,7 @@ def test_url_list_scan_sample_shape(spark):
         "https://example.org/six",
         "",
         "",
-        "--- end of the list ---",
+        "*** last line ***",
         "  https://example.org/indented",
         "HTTP://example.org/upper",
         "http:///no-host",
