@@ -48,7 +48,7 @@ def _propagate(linked: DataFrame, alone: np.ndarray, shards: int, rounds: int, c
     """``linked`` (rid, gid, shard) after the rounds."""
     for turn in range(rounds):
         hist = linked.groupBy("gid", "shard").count()
-        target = hist.groupBy("gid").agg(F.max_by("shard", F.struct("count", -F.col("shard"))).alias("target"))
+        target = hist.groupBy("gid").agg(F.max_by("shard", F.struct("count", F.xxhash64("gid", "shard"))).alias("target"))
         target = stored(target, "shard-target")
         wanted = hist.join(target, "gid").groupBy("shard", "target").agg(F.sum("count").alias("n"))
         moves, counts = np.zeros((shards, shards)), alone.copy()
