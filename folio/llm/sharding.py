@@ -2,7 +2,8 @@
 
 Rows that share a group (equal texts by default) are linked.  All rows start
 in a shard given by a hash; then, in rounds of Spark joins, linked rows move
-to the shard where most of their group already is, as far as quotas allow.
+to the shard where most of their group already is, as far as quotas allow: the
+linked rows of a shard may fill it, as rows without links can give way.
 The quotas come from a shards x shards table of wanted moves.  At the end the
 counts are levelled to differ by one at most, where rows without links move
 first, as this cuts no link.
@@ -28,8 +29,7 @@ from folio.llm.base import stored
 
 SHARDS = 24
 ROUNDS = 8
-SLACK = 0.1
-PARTS_OF_SHARD = 4
+PARTS_OF_SHARD = 8
 BUCKET_ROWS = 4096
 MAX_BUCKETS = 4096
 
@@ -44,14 +44,14 @@ def _quotas(moves: np.ndarray, counts: np.ndarray, cap: float) -> np.ndarray:
     return share
 
 
-def _propagate(linked: DataFrame, alone: np.ndarray, shards: int, rounds: int, cap: float) -> DataFrame:
+def _propagate(linked: DataFrame, shards: int, rounds: int, cap: float) -> DataFrame:
     """``linked`` (rid, gid, shard) after the rounds."""
     for turn in range(rounds):
         hist = linked.groupBy("gid", "shard").count()
         target = hist.groupBy("gid").agg(F.max_by("shard", F.struct("count", F.xxhash64("gid", "shard"))).alias("target"))
         target = stored(target, "shard-target")
         wanted = hist.join(target, "gid").groupBy("shard", "target").agg(F.sum("count").alias("n"))
-        moves, counts = np.zeros((shards, shards)), alone.copy()
+        moves, counts = np.zeros((shards, shards)), np.zeros(shards)
         for r in wanted.collect():  # at most shards x shards rows
             counts[r["shard"]] += r["n"]
             if r["shard"] != r["target"]:
@@ -97,8 +97,7 @@ def _level(rows: DataFrame, shards: int, total: int) -> DataFrame:
     return rows.withColumn("slot", slot.cast("bigint")).withColumn("shard", F.coalesce(F.col("to"), F.col("shard")).cast("int")).drop("place", "to", "pos")
 
 
-def shard(docs: DataFrame, key: list[Column], payload: list[Column], shards: int = SHARDS, rounds: int = ROUNDS,
-          slack: float = SLACK) -> DataFrame:
+def shard(docs: DataFrame, key: list[Column], payload: list[Column], shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Payload columns of every row with ``shard`` and ``slot``.
 
     Rows with equal ``key`` are linked.  Counts of the shards differ by one at
@@ -116,10 +115,7 @@ def shard(docs: DataFrame, key: list[Column], payload: list[Column], shards: int
     linked = stored(linked, "shard-linked")
     single = base.select("rid", "shard").join(linked.select("rid"), "rid", "left_anti")
     single = stored(single, "shard-single")
-    alone = np.zeros(shards)
-    for r in single.groupBy("shard").count().collect():
-        alone[r["shard"]] = r["count"]
-    linked = _propagate(linked, alone, shards, rounds, cap * (1 + slack))
+    linked = _propagate(linked, shards, rounds, cap)
     placed = linked.select("rid", "shard", F.lit(0).alias("alone")).unionAll(single.select("rid", "shard", F.lit(1).alias("alone")))
     placed = _level(placed, shards, total)
     return base.drop("shard", "key_").join(placed.drop("alone"), "rid").drop("rid")
