@@ -130,13 +130,6 @@ def sentence_chunks(text: Column, budget, tokens: TokenFn = token_count) -> Colu
     return let(_as_col(budget).cast("int"), with_budget)
 
 
-def add_sentence_chunks(df: DataFrame, text: str, budget, out: str = "chunks",
-                        tokens: TokenFn = token_count, only: Column | None = None) -> DataFrame:
-    """DataFrame form of :func:`sentence_chunks`; rows where ``only`` is false get NULL."""
-    col = sentence_chunks(F.col(text), budget, tokens)
-    return df.withColumn(out, col if only is None else F.when(only, col))
-
-
 def pack(units: Column, budget, sep: str = "\n\n") -> Column:
     """greedy packing of counted pieces ``struct(text, tok)`` in order."""
     b = _as_col(budget)
@@ -153,10 +146,6 @@ def pack(units: Column, budget, sep: str = "\n\n") -> Column:
         x["text"].alias("text"), x["tok"].alias("tok"), F.lit(0).alias("grp"), F.lit(0).alias("cost"))), with_units)
 
 
-def add_packs(df: DataFrame, units: str, budget, out: str = "packs", sep: str = "\n\n") -> DataFrame:
-    return df.withColumn(out, pack(F.col(units), budget, sep))
-
-
 def paragraph_units(content: Column, limit, tokens: TokenFn = token_count) -> Column:
     """Units of the paragraph chunker: paragraphs, or sentences of a long one.
 

@@ -52,8 +52,11 @@ def drop_incomplete(fields: DataFrame) -> DataFrame:
 
 
 def article_id(url: Column) -> Column:
-    """Deterministic article key: SHA-256 of the normalised URL (re-runs are idempotent)."""
-    return F.sha2(U.normalize(url), 256)
+    """Deterministic article key: SHA-256 of the trimmed URL (re-runs are idempotent).
+
+    Parameters are kept: pages that differ in their query are different pages.
+    """
+    return F.sha2(U.trim_url(url), 256)
 
 
 def assemble(fields: DataFrame, scraped_at: Column, summary: Column | None = None,
@@ -79,13 +82,8 @@ def assemble(fields: DataFrame, scraped_at: Column, summary: Column | None = Non
     )
 
 
-def articles_from_pages(pages: DataFrame, scraped_at: Column) -> DataFrame:
-    """A2-A5 in one narrow plan: fetchable pages -> fields -> complete -> articles."""
-    return assemble(drop_incomplete(page_fields(fetchable(pages))), scraped_at)
-
-
 def one_per_id(arts: DataFrame, order: str = "page_id") -> DataFrame:
-    """One article per id (= normalised URL): the copy with the smallest ``order`` wins.
+    """One article per id (= trimmed URL): the copy with the smallest ``order`` wins.
 
     ``min_by`` is combined map-side, so a URL crawled very many times costs one
     row per map task in the shuffle, not all of its copies in one task.

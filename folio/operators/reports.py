@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 
 from folio.functions import urls as U
 from folio.functions.text import WS, human_duration, human_size, is_email
+from folio.operators.common import computed
 from folio.operators.numbering import group_row_number
 
 
 def email_audit(docs: DataFrame, group: str = "source", text: str = "text") -> DataFrame:
     """Whitespace-separated tokens holding '@', valid vs invalid per group.
 
-    Only the tokens that hold '@' leave the row (one regex pass), so the
-    explode is proportional to the candidates, not to every word of the corpus.
+    Tokens are counted inside their row, so nothing is exploded and a group
+    without candidates has a row of zeros.
     """
-    cands = docs.select(F.col(group), F.explode(F.regexp_extract_all(F.col(text), F.lit(rf"[^{WS}]*@[^{WS}]*"), 0)).alias("token"))
-    ok = is_email(F.col("token"))
-    return cands.groupBy(group).agg(
-        F.count(F.lit(1)).cast("bigint").alias("candidates"),
-        F.count_if(ok).cast("bigint").alias("valid"),
-        F.count_if(~ok).cast("bigint").alias("invalid"),
+    found = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"[^{WS}]*@[^{WS}]*"), 0)
+    rows = computed(docs.select(group, text), _found=found)
+    counted = rows.select(group, F.size("_found").alias("_n"), F.size(F.filter("_found", is_email)).alias("_ok"))
+    return counted.groupBy(group).agg(
+        F.sum("_n").alias("candidates"),
+        F.sum("_ok").alias("valid"),
+        F.sum(F.col("_n") - F.col("_ok")).alias("invalid"),
     )
 
 

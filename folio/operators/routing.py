@@ -45,7 +45,6 @@ MODEL_RULES = (
     (("gpt-3.5-turbo",), 16385),
 )
 DAVINCI_CODE, DAVINCI_TEXT, DEFAULT_LIMIT = 8001, 4097, 4096
-DEFAULT_MODEL = "gpt-3.5-turbo"
 # ---------------------------------------------------------------------------
 
 

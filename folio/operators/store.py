@@ -12,8 +12,8 @@ side's shuffle output at run time and switches to a broadcast hash join when
 it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and keeps the
 sort-merge join otherwise.  That is the size check, made on real data
 instead of a second pass over it.  A store written by
-:mod:`folio.sources.store` is partitioned by a hash bucket of the article id,
-so a lookup with a few ids reads few folders.
+:mod:`folio.sources.store` is partitioned by a hash bucket of the article id;
+its own lookups filter on the buckets of the ids asked for.
 """
 
 from __future__ import annotations
@@ -31,6 +31,11 @@ def bucket_of(article_id: Column, buckets: int = STORE_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(article_id), F.lit(buckets)).cast("int")
 
 
+def article_of(record_id: Column) -> Column:
+    """The article id inside a record id (``<article>`` or ``<article>_chunk_<i>``)."""
+    return F.regexp_replace(record_id, "_chunk_[0-9]+$", "")
+
+
 def iso_time(ts: Column) -> Column:
     """``datetime.isoformat()`` of a naive timestamp: fraction only when non-zero."""
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
@@ -67,15 +72,16 @@ def metadata(records: DataFrame) -> DataFrame:
 
 
 def insert_new(store: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Records whose id is not stored yet (an existing id is ignored, not replaced).
+    """Records of articles that are not stored yet (a stored article is left as it is).
 
-    The store side is reduced to its ids before the anti join, so only ids
-    cross the shuffle (or, for a small batch, AQE broadcasts the batch side).
+    An article is whole or absent: comparing record ids would add the surplus
+    chunks of a longer new version to the stored one.  Only the store's article
+    ids cross the shuffle (or, for a small batch, AQE broadcasts the batch side).
     """
-    return incoming.join(store.select("id").distinct(), "id", "left_anti")
+    return incoming.join(store.select("article_id").distinct(), "article_id", "left_anti").select(*incoming.columns)
 
 
-def outcome(incoming_articles: DataFrame, new_records: DataFrame | None = None) -> DataFrame:
+def outcome(incoming_articles: DataFrame) -> DataFrame:
     """One row of success / failed counts; an empty batch gives zeros.
 
     An article fails when it has nothing to embed (empty title or content).

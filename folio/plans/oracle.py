@@ -203,7 +203,7 @@ PAGE_ARTICLES = f"""fetch_fields AS (
          {html_description('html')} AS meta_description, {html_keywords('html')} AS meta_keywords
   FROM pages WHERE {prefix_valid('url')}),
 page_articles AS (
-  SELECT page_id, sha256({normalize('url')}) AS id, url, {strip('raw_title')} AS title, {strip('raw_text')} AS content,
+  SELECT page_id, sha256(url) AS id, url, {strip('raw_title')} AS title, {strip('raw_text')} AS content,
          authors, top_image, meta_description, meta_keywords, {netloc('url')} AS source_domain,
          {word_count(strip('raw_text'))} AS word_count, {run_ts('page_id')} AS scraped_at
   FROM fetch_fields WHERE raw_title <> '' AND raw_text <> '')"""
@@ -474,10 +474,12 @@ FROM c QUALIFY rank <= 10"""
 SQL["word_count"] = f"SELECT doc_id, {word_count('text')} AS words FROM documents"
 SQL["token_count"] = f"SELECT doc_id, {tokens('text')} AS tokens FROM documents"
 
-SQL["email_audit"] = f"""SELECT source, count(*) AS candidates,
-  count(*) FILTER (WHERE regexp_matches(token, {lit(EMAIL_PATTERN)})) AS valid,
-  count(*) FILTER (WHERE NOT regexp_matches(token, {lit(EMAIL_PATTERN)})) AS invalid
-FROM (SELECT source, unnest({words('text')}) AS token FROM documents) WHERE contains(token, '@') GROUP BY source"""
+SQL["email_audit"] = f"""WITH tokens AS (
+  SELECT source, token FROM (SELECT source, unnest({words('text')}) AS token FROM documents) WHERE contains(token, '@'))
+SELECT s.source, count(t.token) AS candidates,
+  count(t.token) FILTER (WHERE regexp_matches(t.token, {lit(EMAIL_PATTERN)})) AS valid,
+  count(t.token) FILTER (WHERE NOT regexp_matches(t.token, {lit(EMAIL_PATTERN)})) AS invalid
+FROM (SELECT DISTINCT source FROM documents) s LEFT JOIN tokens t ON s.source IS NOT DISTINCT FROM t.source GROUP BY s.source"""
 
 
 def file_key(x: str) -> str:
@@ -644,7 +646,7 @@ SQL["store_append"] = with_(DOC_ARTICLES, DOC_ARTICLES_B, STORE, records("doc_ar
 stored AS (SELECT id, article_id, chunk_index, document FROM r_records WHERE lang = 'en')
 SELECT * FROM stored
 UNION ALL
-SELECT id, article_id, chunk_index, document FROM b_records WHERE id NOT IN (SELECT id FROM stored)"""
+SELECT id, article_id, chunk_index, document FROM b_records WHERE article_id NOT IN (SELECT article_id FROM stored)"""
 SQL["store_append"] = SQL["store_append"].replace(")\n,\nstored AS", "),\nstored AS")
 
 SQL["store_outcome"] = f"""SELECT count(*) FILTER (WHERE length(coalesce(t, '')) > 0 AND length(coalesce(c, '')) > 0) AS success,

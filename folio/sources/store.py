@@ -2,11 +2,16 @@
 
 Layout: ``<root>/snapshots/<n>/`` holds Parquet files partitioned by
 ``bucket`` (a hash of the article id, so id lookups prune folders), and
-``<root>/CURRENT`` is a one-line text dataset naming the live snapshot.
-Appends add files to the live snapshot (after the id anti-join, so a replayed
-batch adds nothing).  Delete and reset write a new snapshot and then move the
-pointer, because a job cannot overwrite the files it is reading.  Readers
-that started before the switch keep reading the old snapshot.
+``<root>/versions/`` has one small text file for each snapshot that was made
+live; the highest number is the live one.  Version files are only ever added,
+so no moment leaves a store without one, and a folder that has snapshots but no
+version is an error, never taken for a new store.
+
+Appends add files to the live snapshot (whole articles that are not stored yet,
+so a replayed batch adds nothing and two versions of an article never mix).
+Delete and reset write a new snapshot and then its version file, because a job
+cannot overwrite the files it is reading.  Readers that started before the
+switch keep reading the old snapshot.
 """
 
 from __future__ import annotations
@@ -18,7 +23,10 @@ from pyspark.sql import types as T
 
 from folio.operators import store as S
 
-MAX_BROADCAST_IDS = 2_000_000   # batch size up to which ids are broadcast to the store scan
+
+def _missing(error: AnalysisException) -> bool:
+    """True if a read failed as there is no such folder, or no data file in it."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 class ChunkStore:
@@ -29,25 +37,31 @@ class ChunkStore:
         self.root = root.rstrip("/")
         self.schema = schema
 
-    # -- pointer --------------------------------------------------------------
-    def _pointer(self) -> str:
-        return f"{self.root}/CURRENT"
-
+    # -- versions -------------------------------------------------------------
     def current_snapshot(self) -> int | None:
+        """Number of the live snapshot; None for a new store."""
+        try:
+            return self.spark.read.text(f"{self.root}/versions").agg(F.max(F.col("value").cast("int"))).first()[0]
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
         try:
-            row = self.spark.read.text(self._pointer()).first()
-        except AnalysisException:
-            return None  # no pointer yet: a new store
-        return int(row[0]) if row else None
+            self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.root}/snapshots")
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
+            return None
+        raise ValueError(f"{self.root} holds snapshots but no version file")
 
     def _snapshot_path(self, n: int) -> str:
         return f"{self.root}/snapshots/{n}"
 
     def _switch(self, n: int) -> None:
-        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(self._pointer())
+        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/versions")
 
     # -- reads ----------------------------------------------------------------
-    def exists(self) -> bool:
+    def is_open(self) -> bool:
+        """True if the store has been written to."""
         return self.current_snapshot() is not None
 
     def df(self) -> DataFrame:
@@ -56,57 +70,75 @@ class ChunkStore:
         if n is not None:
             try:
                 return self.spark.read.parquet(self._snapshot_path(n))
-            except AnalysisException:
-                pass  # an empty snapshot has no data files, only its commit marker
+            except AnalysisException as e:
+                if not _missing(e):
+                    raise  # an empty snapshot has no data files, only its commit marker
         if self.schema is None:
             raise ValueError("empty store without a schema")
-        return self.spark.createDataFrame([], self.schema)
+        return self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(None).cast("int"))
+
+    def _touched(self, article_ids: DataFrame) -> DataFrame:
+        """Live records in the buckets of the given article ids (column ``article_id``).
+
+        The distinct buckets, at most ``STORE_BUCKETS`` numbers, go into the plan
+        as a filter on the partition column, so other folders are not read.
+        """
+        buckets = [r[0] for r in article_ids.select(S.bucket_of(F.col("article_id"))).distinct().collect() if r[0] is not None]
+        return self.df().where(F.col("bucket").isin(buckets))
+
+    def get(self, ids: DataFrame) -> DataFrame:
+        """The records with these ids (column ``id``)."""
+        return S.get(self._touched(ids.select(S.article_of(F.col("id")).alias("article_id"))), ids)
+
+    def exists(self, ids: DataFrame) -> DataFrame:
+        """A10: each requested id with a stored / not stored flag."""
+        return S.exists(ids, self._touched(ids.select(S.article_of(F.col("id")).alias("article_id"))))
+
+    def list(self, limit: int | None = None) -> DataFrame:
+        """All records ordered by id."""
+        return S.list_records(self.df(), limit)
+
+    def count(self) -> DataFrame:
+        """Number of records and of articles."""
+        return S.count(self.df())
 
     # -- writes ---------------------------------------------------------------
     def _write(self, df: DataFrame, n: int, mode: str) -> None:
-        out = df if "bucket" in df.columns else df.withColumn("bucket", S.bucket_of(F.col("article_id")))
-        # one task per bucket: each append adds one file per bucket, not one per (task, bucket)
-        out.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
+        out = df.withColumn("bucket", S.bucket_of(F.col("article_id")))
+        # adaptive execution joins small buckets in one task and splits large ones, so the number
+        # of tasks and files follows the size of the batch
+        out.hint("rebalance", F.col("bucket")).write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
 
     def append(self, records: DataFrame) -> int:
-        """A7 + A8: add records whose id is new; returns how many were added."""
+        """A7 + A8: add the records of articles that are not stored; returns how many records.
+
+        Callers hand in one version of an article (see ``pages.one_per_id``).
+        """
         if self.schema is None:
             self.schema = records.schema
         n = self.current_snapshot()
         if n is None:
             n = 0
-            # callers hand in one record per id (see pages.one_per_id)
-            self._write(records, n, "overwrite")
-            self._switch(n)
-            return self.df().count()
-        else:
-            # the batch is used twice (ids to look up, rows to write): keep it for this append;
-            # a lost executor only recomputes it from the batch's own input
-            batch = records.withColumn("bucket", S.bucket_of(F.col("article_id"))).persist()
-            before = self.df().count()   # Parquet answers counts from file metadata
-            try:
-                # read only the store buckets this batch touches (at most STORE_BUCKETS values,
-                # so collecting them is bounded); the filter is on the partition column
-                buckets = [r[0] for r in batch.select("bucket").distinct().collect()]
-                stored = self.df().where(F.col("bucket").isin(buckets)).select("id")
-                if batch.count() <= MAX_BROADCAST_IDS:
-                    # checked bound: the batch ids go to the store scan, and the ids found
-                    # (no more than the batch) come back, so the store is never shuffled
-                    existing = stored.join(F.broadcast(batch.select("id")), "id", "left_semi")
-                    new = batch.join(F.broadcast(existing), "id", "left_anti")
-                else:
-                    new = batch.join(stored, "id", "left_anti")
+            self._switch(n)  # first, so that data never lie in a store without a version
+        # both are used twice (buckets and rows; their number and the rows); a lost executor recomputes its part
+        batch = records.persist()
+        new = S.insert_new(self._touched(batch), batch).persist()
+        try:
+            added = new.count()
+            if added:
                 self._write(new, n, "append")
-            finally:
-                batch.unpersist()
-            return self.df().count() - before
+            return added
+        finally:
+            new.unpersist()
+            batch.unpersist()
 
     def delete(self, ids: DataFrame, by: str = "id") -> None:
-        """New snapshot without the ids, then pointer switch."""
+        """New snapshot without the ids, then the version switch."""
         n = self.current_snapshot()
         if n is None:
             return
         kept = S.delete(self.df(), ids, by=by)
+        self.schema = kept.drop("bucket").schema
         self._write(kept, n + 1, "overwrite")
         self._switch(n + 1)
 

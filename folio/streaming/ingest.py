@@ -2,9 +2,9 @@
 
 New page files in a folder are read as a stream; every micro-batch goes
 through the same narrow A3-A5 + D1-D4 plan as the batch job and is appended
-to the chunk store after the id anti-join, inside ``foreachBatch``.  With a
+to the chunk store after the article anti-join, inside ``foreachBatch``.  With a
 checkpoint the stream is exactly-once at the file level, and because the
-store write ignores ids that are already present a replayed batch adds
+store write ignores articles that are already present a replayed batch adds
 nothing, so executor loss or a driver restart cannot duplicate records.
 ``Trigger.AvailableNow`` processes what is there and stops (a scheduled run);
 without it the same query runs continuously.
@@ -21,7 +21,8 @@ from folio.session import work_dir
 from folio.sources.store import ChunkStore
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
-RECORD_COLUMNS = ["id", "article_id", "chunk_index", "total_chunks", "document", "url", "title", "source_domain"]
+RECORD_COLUMNS = ["id", "article_id", "chunk_index", "total_chunks", "document", "url", "title", "source_domain", "word_count", "scraped_at",
+                  "authors", "meta_keywords", "topics", "publish_date", "top_image", "meta_description", "summary"]
 
 
 def page_stream(spark: SparkSession, folder: str, glob: str = "*.parquet", files_per_trigger: int | None = None) -> DataFrame:

@@ -1,7 +1,11 @@
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
+from folio.operators import pages as P
 from folio.operators import retrieval as Q
 from folio.operators import store as S
+from folio.operators.reports import email_audit
 from folio.operators.numbering import group_row_number
 from folio.session import work_dir
 from folio.sources.store import ChunkStore
@@ -28,6 +32,46 @@ def test_store_snapshots(spark):
     assert st.df().count() == 0 and "document" in st.df().columns
 
 
+def test_store_keeps_articles_whole(spark):
+    st = ChunkStore(spark, work_dir(spark, "test-versions"))
+    chunks = lambda n, text: spark.createDataFrame([(f"a_chunk_{i}", "a", i, text) for i in range(n)], SCHEMA)
+    assert st.append(chunks(2, "old")) == 2
+    assert st.append(chunks(4, "longer")) == 0      # a re-crawl with a longer text
+    assert st.append(chunks(1, "shorter")) == 0
+    assert sorted((r.id, r.document) for r in st.df().collect()) == [("a_chunk_0", "old"), ("a_chunk_1", "old")]
+
+
+def test_store_lookups_read_few_folders(spark):
+    st = ChunkStore(spark, work_dir(spark, "test-lookups"))
+    st.append(spark.createDataFrame([(f"k{i}", f"k{i}", 0, str(i)) for i in range(200)], SCHEMA))
+    ids = spark.createDataFrame([("k7",), ("k7_chunk_0",), ("none",)], "id string")
+    assert [r.document for r in st.get(ids).collect()] == ["7"]
+    assert {r.id: r.exists for r in st.exists(ids).collect()} == {"k7": True, "k7_chunk_0": False, "none": False}
+    assert tuple(st.count().first()) == (200, 200) and len(st.list(5).collect()) == 5
+    plan = st.get(ids)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_store_without_versions_is_an_error(spark):
+    root = work_dir(spark, "test-pointer")
+    st = ChunkStore(spark, root, spark.createDataFrame([], SCHEMA).schema)
+    assert not st.is_open() and st.df().count() == 0
+    spark.createDataFrame([("a", "a", 0, "x")], SCHEMA).write.parquet(f"{root}/snapshots/0")
+    with pytest.raises(ValueError):
+        st.append(spark.createDataFrame([("b", "b", 0, "y")], SCHEMA))
+
+
+def test_article_ids_keep_parameters(spark):
+    urls = ["/story?123", "/story?456", "/story?source=a", "/story?ref=b", "/s;1", "/s;2"]
+    df = spark.createDataFrame([("https://x.example.com" + u,) for u in urls] + [("  https://x.example.com/s;2 ",)], "url string")
+    assert df.select(P.article_id(F.col("url"))).distinct().count() == 6
+
+
+def test_email_audit_has_zero_rows(spark):
+    docs = spark.createDataFrame([("a", "x@y.org and @ here"), ("b", "nothing"), ("b", None)], "source string, text string")
+    assert sorted(map(tuple, email_audit(docs).collect())) == [("a", 2, 1, 1), ("b", 0, 0, 0)]
+
+
 def test_knn_matches_numpy(spark):
     rng = np.random.default_rng(0)
     vecs = rng.normal(size=(300, 16)).astype(np.float32)
