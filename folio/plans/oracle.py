@@ -8,7 +8,6 @@ templates) are shared with the Spark side.
 
 from __future__ import annotations
 
-from folio.functions import html as H
 from folio.functions.text import EMAIL_PATTERN, FILE_KEY_DEFAULT, FILE_KEY_INVALID, STOP_WORDS, TOKEN_PATTERN, WS
 from folio.functions.urls import ARTICLE_EXCLUDE, TRACKING_PARAMS
 from folio.operators.enrich import FAILED, FAILED_PART, NO_SUMMARY, PROMPT_TEMPLATE
@@ -133,21 +132,38 @@ def strip_tags(x: str) -> str:
     return f"regexp_replace({x}, '<[^>]*>', '', 'g')"
 
 
+# the oracle's own patterns: no possessive parts, attributes are cut out of the tag step by step
+TITLE_SQL = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
+ARTICLE_SQL = r"(?is)<article(?:\s[^>]*)?>(.*?)</article>"
+ATTR_SQL = r"""\s[^\s=>"'/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def opening(tag: str) -> str:
+    return lit(rf"""(?i)<{tag}\s(?:"[^"]*"|'[^']*'|[^>"'])*>""")
+
+
+def attribute(tag: str, name: str) -> str:
+    first = f"(list_filter(regexp_extract_all({tag}, {lit(ATTR_SQL)}), lambda a: regexp_matches(a, {lit(rf'(?i)^\s{name}\s*=')})))[1]"
+    value = f"regexp_replace({first}, {lit(r'^[^=]*=\s*')}, '')"
+    quoted = f"substr({value}, 1, 1) IN ('\"', chr(39))"
+    return f"CASE WHEN {quoted} THEN substr({value}, 2, length({value}) - 2) ELSE {value} END"
+
+
 def html_title(h: str) -> str:
-    return unescape(strip_tags(f"regexp_extract({h}, {lit(H.TITLE)}, 1)"))
+    return unescape(strip_tags(f"regexp_extract({h}, {lit(TITLE_SQL)}, 1)"))
 
 
 def html_text(h: str) -> str:
-    inner = f"regexp_extract({h}, {lit(H.ARTICLE)}, 1)"
-    segs = f"regexp_split_to_array({inner}, {lit(H.P_OPEN)})"
-    piece = strip(unescape(strip_tags("split_part(s, '</p>', 1)")))
+    inner = f"CASE WHEN regexp_matches({h}, {lit(ARTICLE_SQL)}) THEN regexp_extract({h}, {lit(ARTICLE_SQL)}, 1) ELSE {h} END"
+    segs = f"regexp_split_to_array({inner}, {lit('(?i)<p(?:[ \\t\\r\\n\\f][^>]*)?>')})"
+    piece = strip(unescape(strip_tags("regexp_replace(s, '(?is)</p\\s*>.*', '')")))
     cleaned = f"list_transform(({segs})[2:], lambda s: {piece})"
     return f"array_to_string(list_filter({cleaned}, lambda s: s <> ''), {NL2})"
 
 
 def _meta(h: str, attr: str, name: str) -> str:
-    pat = rf'(?i)<meta\s[^>]*?{attr}\s*=\s*"{name}"[^>]*?content\s*=\s*"([^"]*)"'
-    return f"regexp_extract_all({h}, {lit(pat)}, 1)"
+    tags = f"list_filter(regexp_extract_all({h}, {opening('meta')}), lambda t: lower({attribute('t', attr)}) = {lit(name)})"
+    return f"list_filter(list_transform({tags}, lambda t: {attribute('t', 'content')}), lambda c: c IS NOT NULL)"
 
 
 def html_authors(h):
@@ -170,7 +186,8 @@ def html_image(h):
 
 
 def hrefs(h: str) -> str:
-    return f"regexp_extract_all({h}, {lit(H.HREF)}, 1)"
+    every = f"list_transform(regexp_extract_all({h}, {opening('a')}), lambda t: {attribute('t', 'href')})"
+    return f"list_filter({every}, lambda x: x IS NOT NULL)"
 
 
 # ------------------------------------------------------------------ shared CTEs
