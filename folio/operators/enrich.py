@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import py_strip
+from folio.operators.common import computed
 
 # --- fixed values -----------------------------------------------------------
 NO_SUMMARY = "No summary available."
 FAILED = "Could not generate summary."
+FAILED_FINAL = "Could not generate final summary."
 FAILED_PART = "Could not generate summary for part {}."
 # Our own prompt wording; only the JSON reply contract matters downstream.
 PROMPT_TEMPLATE = (
@@ -69,10 +71,14 @@ def _truthy(x: Column) -> Column:
     )
 
 
-def _parsed(body: Column):
+def _with_reply(responses: DataFrame, body: str) -> DataFrame:
+    """``responses`` with the stripped reply and its JSON value, both made once per row."""
+    return computed(computed(responses, _reply=py_strip(F.col(body))), _json=F.try_parse_json("_reply"))
+
+
+def _parsed() -> dict[str, Column]:
     """Reply fields; topics iterate like Python: list items, string characters, object keys."""
-    text = py_strip(body)
-    v = F.try_parse_json(text)
+    text, v = F.col("_reply"), F.col("_json")
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     s_var = F.try_variant_get(v, "$.summary", "variant")
     t_var = F.try_variant_get(v, "$.topics", "variant")
@@ -103,16 +109,22 @@ def parse_single(responses: DataFrame, body: str = "body") -> DataFrame:
     Bad JSON, a missing key, a non-object reply or topics that fail to iterate
     give the fallback summary and no topics (``ok`` = false).
     """
-    p = _parsed(F.col(body))
+    return _with_reply(responses, body).select(*responses.columns, *_single(_parsed()))
+
+
+def _single(p: dict[str, Column]) -> list[Column]:
     ok = p["is_obj"] & p["has_s"] & p["has_t"] & (~p["t_true"] | p["iterable"])
     summary = F.when(p["s_true"], p["s_str"]).otherwise(F.lit(NO_SUMMARY))
     topics = F.when(p["t_true"], p["cleaned"]).otherwise(F.array().cast("array<string>"))
-    return responses.select(
-        "*",
-        F.when(ok, summary).otherwise(F.lit(FAILED)).alias("summary"),
+    return _or_failed(ok, summary, topics, F.lit(FAILED))
+
+
+def _or_failed(ok: Column, summary: Column, topics: Column, failed: Column) -> list[Column]:
+    return [
+        F.when(ok, summary).otherwise(failed).alias("summary"),
         F.when(ok, topics).otherwise(F.array().cast("array<string>")).alias("topics"),
         ok.alias("ok"),
-    )
+    ]
 
 
 def parse_part(responses: DataFrame, body: str = "body", part: str = "part") -> DataFrame:
@@ -122,17 +134,14 @@ def parse_part(responses: DataFrame, body: str = "body", part: str = "part") ->
     not); otherwise the part gives "Could not generate summary for part N."
     and no topics.
     """
-    p = _parsed(F.col(body))
+    return _with_reply(responses, body).select(*responses.columns, *_part(_parsed(), part))
+
+
+def _part(p: dict[str, Column], part: str) -> list[Column]:
     ok = p["is_obj"] & (~p["has_t"] | p["iterable"])
     summary = F.when(~p["has_s"], F.lit(NO_SUMMARY)).otherwise(F.coalesce(p["s_str"], F.lit("")))
     topics = F.when(~p["has_t"], F.array().cast("array<string>")).otherwise(p["cleaned"])
-    failed = F.format_string(FAILED_PART.replace("{}", "%d"), F.col(part))
-    return responses.select(
-        "*",
-        F.when(ok, summary).otherwise(failed).alias("summary"),
-        F.when(ok, topics).otherwise(F.array().cast("array<string>")).alias("topics"),
-        ok.alias("ok"),
-    )
+    return _or_failed(ok, summary, topics, F.format_string(FAILED_PART.replace("{}", "%d"), F.col(part)))
 
 
 def merge_summaries(parts: DataFrame, key: str = "request_id", part: str = "part") -> DataFrame:
@@ -170,40 +179,35 @@ def _dedup_ci(topics: Column) -> Column:
     return F.transform(F.array(F.transform(topics, F.lower)), body)[0]
 
 
-def enrich(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Request table + response table -> one (summary, topics) per article.
+def enrich(requests: DataFrame, responses: DataFrame, merge_replies: DataFrame | None = None) -> DataFrame:
+    """Request table + response tables -> one (summary, topics) per article.
 
-    Requests without a response count as failed calls (left join).  One pass:
-    every reply is parsed once under both rules, then a single aggregate per
-    request orders its parts (a group holds one article's parts) and merges
-    summaries and topics inside the row.
+    Requests without a response count as failed calls (left join).  Every reply
+    is parsed once, then a single aggregate per request orders its parts (a
+    group holds one article's parts) and merges topics inside the row.
+
+    ``merge_replies(request_id, body)`` answers the merge requests of
+    :func:`merge_summaries`, at most one row a request: its text is the summary
+    of an article in parts.  An empty or null reply gives the fixed text
+    ``FAILED_FINAL``; without a reply the part summaries are joined.
     """
     joined = requests.join(responses, ["request_id", "part"], "left")
-    both = _parse_both(joined)
-    per_req = both.groupBy("request_id").agg(
+    single, parted = F.struct(*_single(_parsed())), F.struct(*_part(_parsed(), "part"))
+    per_reply = _with_reply(joined, "body").select(
+        "request_id", "part", "route", F.when(F.col("route") == "single", single).otherwise(parted).alias("_out"))
+    per_req = per_reply.groupBy("request_id").agg(
         F.first("route").alias("route"),
-        F.sort_array(F.collect_list(F.struct("part", "summary", "topics"))).alias("_xs"),
+        F.sort_array(F.collect_list(F.struct("part", "_out.summary", "_out.topics"))).alias("_xs"),
     )
     xs = F.col("_xs")
-    merged_summary = py_strip(F.array_join(F.transform(xs, lambda x: x["summary"]), " "))
-    merged_topics = _dedup_ci(F.flatten(F.transform(xs, lambda x: x["topics"])))
+    merged = F.array_join(F.transform(xs, lambda x: x["summary"]), " ")
+    if merge_replies is not None:
+        replies = merge_replies.select("request_id", F.coalesce(F.nullif("body", F.lit("")), F.lit(FAILED_FINAL)).alias("_final"))
+        per_req = per_req.join(replies, "request_id", "left")
+        merged = F.coalesce("_final", merged)
     single_route = F.col("route") == "single"
     return per_req.select(
         "request_id", "route",
-        F.when(single_route, xs[0]["summary"]).otherwise(merged_summary).alias("summary"),
-        F.when(single_route, xs[0]["topics"]).otherwise(merged_topics).alias("topics"),
-    )
-
-
-def _parse_both(joined: DataFrame) -> DataFrame:
-    """Per reply row: the single-request parse for single routes, the part parse otherwise."""
-    single = parse_single(joined)
-    cols = [c for c in joined.columns]
-    s_sum, s_top = single["summary"], single["topics"]
-    parted = parse_part(single.select(*cols, s_sum.alias("_ss"), s_top.alias("_st")))
-    is_single = F.col("route") == "single"
-    return parted.select(
-        "request_id", "part", "route",
-        F.when(is_single, F.col("_ss")).otherwise(F.col("summary")).alias("summary"),
-        F.when(is_single, F.col("_st")).otherwise(F.col("topics")).alias("topics"),
+        F.when(single_route, xs[0]["summary"]).otherwise(py_strip(merged)).alias("summary"),
+        F.when(single_route, xs[0]["topics"]).otherwise(_dedup_ci(F.flatten(F.transform(xs, lambda x: x["topics"])))).alias("topics"),
     )

@@ -275,7 +275,7 @@ def _request_responses(spark, sf, requests: DataFrame) -> DataFrame:
 def enrich_articles(spark, sf):
     reqs = E.prompt_requests(_routed(spark, sf))
     resp = _request_responses(spark, sf, reqs)
-    out = E.enrich(reqs, resp)
+    out = E.enrich(reqs, resp, D.merge_replies(_doc_articles(spark, sf)))
     return out.select("request_id", "route", "summary", _bar(F.col("topics")).alias("topics"))
 
 

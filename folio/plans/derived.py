@@ -110,6 +110,13 @@ def planted_body(doc_id: Column, part: Column, lang: Column, source: Column) ->
     )
 
 
+def merge_replies(articles: DataFrame) -> DataFrame:
+    """Replies to merge requests: a text, an empty one, or none, in turn by document."""
+    d = F.col("doc_id")
+    body = F.when(d % 3 == 0, F.concat(F.lit(" whole "), d.cast("string"), F.lit("\n"))).otherwise(F.lit(""))
+    return articles.where(d % 3 != 2).select(F.col("id").alias("request_id"), body.alias("body"))
+
+
 def long_texts(conversations: DataFrame) -> DataFrame:
     """Conversation texts in turn order joined by a blank line, one row per conversation.
 

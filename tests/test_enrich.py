@@ -43,6 +43,18 @@ def test_merges(spark):
     assert mt == {"r": ["alpha", "BETA", "gamma"], "q": []}
 
 
+def test_merge_replies(spark):
+    reqs = spark.createDataFrame([(r, p, "parts") for r in "abcd" for p in (1, 2)] + [("e", 1, "single")],
+                                 "request_id string, part int, route string")
+    resp = spark.createDataFrame([(r, p, f'{{"summary":"s{p}","topics":["T"]}}') for r in "abcd" for p in (1, 2)],
+                                 "request_id string, part int, body string")
+    replies = spark.createDataFrame([("a", " whole "), ("b", ""), ("c", None), ("e", "not read")], "request_id string, body string")
+    out = E.enrich(reqs, resp, replies)
+    assert {r.request_id: (r.summary, r.topics) for r in out.collect()} == {
+        "a": ("whole", ["T"]), "b": (E.FAILED_FINAL, ["T"]), "c": (E.FAILED_FINAL, ["T"]), "d": ("s1 s2", ["T"]), "e": (E.FAILED, [])}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 2
+
+
 def test_context_limit_rules(spark):
     cases = dict(MODEL_LIMITS)
     cases.update({"GPT-4O-Custom": 128000, "my-gpt-4-1106-x": 128000, "gpt-4-32k": 8192, "gpt-3.5-turbo-instruct": 16385,
