@@ -1,9 +1,14 @@
 """Licence scan: units of a text against licence templates by the Dice coefficient.
 
-A text is read in three ways: as a whole, by lines, and by the sentences of its
-lines.  Each unit is normalised (lower case, runs of anything but letters and
-digits become one space) and compared with every template by the Dice
-coefficient over distinct word bigrams, ``2 |A & B| / (|A| + |B|)``.  Two bounds
+A text is normalised (lower case, runs of anything but letters and digits, so
+line breaks and comment signs too, become one space).  Its windows of words are
+compared with every template by the Dice coefficient over distinct word bigrams,
+``2 |A & B| / (|A| + |B|)``.  So a notice counts wherever it stands: wrapped over
+lines, in a comment block, or inside a longer sentence.  The best window of a
+template begins and ends with one of its bigrams, as others at the ends only
+lower the coefficient; every such window of up to ``(2 - t) / t`` times the
+template's length is scored.  The whole text, its lines and the sentences of its
+lines are units of any length besides, as they may repeat bigrams.  Two bounds
 prune without loss:
 
 * size: a coefficient of ``t`` needs ``|A|`` between ``t / (2 - t)`` and
@@ -11,7 +16,8 @@ prune without loss:
 * prefix: it also needs ``t / (2 - t)`` of B's bigrams to be shared, so any set
   that holds more than the remaining part of B must be hit.  The longest
   words of each template give that set, and a text that holds none of the
-  set's words is passed over.
+  set's words is passed over.  For windows, as many of the text's bigrams must
+  be B's and stand close enough.
 
 Everything is built-in functions; the templates are a fixed table.
 
@@ -57,8 +63,12 @@ LEAST_DICE = 0.8
 # ----------------------------------------------------------------------------
 
 
+def _words(text: str) -> list[str]:
+    return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+
+
 def _template_bigrams(text: str) -> list[str]:
-    w = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    w = _words(text)
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
@@ -110,8 +120,45 @@ def _units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(text), lines, sentences))
 
 
+def _window_scores(text: Column, templates, least: float) -> Column:
+    """(dice, template) of the best window of each template that has one."""
+    sets = [_template_bigrams(t) for _, t in templates]
+    every = sorted({g for grams in sets for g in grams})
+
+    def of_template(grams: Column, marked: Column, i: int) -> Column:
+        own, n = sets[i], len(sets[i])
+        need = max(1, math.ceil(n * least / (2 - least) - 1e-9))
+        longest = math.floor((len(_words(templates[i][1])) - 1) * (2 - least) / least + 1e-9)
+
+        def best(m: Column) -> Column:
+            """Best coefficient of the windows from one of the marks ``m`` to another."""
+            at = lambda k: F.element_at(m, k.cast("int"))["i"]
+            close = lambda lo, hi: at(hi) - at(lo) < longest
+
+            def dice(lo: Column, hi: Column) -> Column:
+                shared = F.size(F.array_distinct(F.transform(F.slice(m, lo, hi - lo + 1), lambda x: x["g"])))
+                size = F.size(F.array_distinct(F.slice(grams, at(lo) + 1, at(hi) - at(lo) + 1)))
+                return F.lit(2.0) * shared / (size + F.lit(n))
+
+            begins = F.filter(F.sequence(F.lit(1), F.size(m) - (need - 1)), lambda k: close(k, k + (need - 1)))
+            from_one = lambda k: F.array_max(F.transform(
+                F.filter(F.sequence(k + (need - 1), F.least(F.size(m), k + (longest - 1))), lambda e: close(k, e)), lambda e: dice(k, e)))
+            return F.when(F.size(m) >= need, F.array_max(F.transform(begins, from_one)))
+
+        return F.transform(F.array(F.filter(marked, lambda x: x["g"].isin(own))), best)[0]
+
+    def of_text(grams: Column) -> Column:
+        marks = F.filter(F.transform(grams, lambda g, i: F.struct(i.alias("i"), g.alias("g"))), lambda x: x["g"].isin(every))
+        each = lambda m: F.array(*[F.struct(of_template(grams, m, i).alias("dice"), F.lit(i).alias("i")) for i in range(len(sets))])
+        return F.transform(F.array(marks), each)[0]
+
+    pairs = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
+    grams = F.transform(F.array(F.split(_normal(text), " ")), pairs)[0]
+    return F.filter(F.transform(F.array(grams), of_text)[0], lambda s: s["dice"] >= least)
+
+
 def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
-    """``docs`` with ``licences``: array of (licence, dice), the best unit of each licence found."""
+    """``docs`` with ``licences``: array of (licence, dice), the best unit or window of each licence found."""
     grams = [(name, _template_bigrams(t)) for name, t in templates]
     low = min(len(g) for _, g in grams) * least / (2 - least)
     ratio = (2 - least) / least
@@ -133,6 +180,7 @@ def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: fl
     sized = F.filter(F.transform(units, lambda u: F.split(_normal(u), " ")), lambda w: (F.size(w) > 1) & (F.size(w) > low))
     # a unit with more words than the bound can still have few distinct bigrams, so only the lower bound applies to words
     hits = F.filter(F.flatten(F.transform(sized, scores)), lambda s: s["dice"] >= least)
+    hits = F.concat(hits, _window_scores(F.col(t_), templates, least))
     empty = F.array().cast("array<struct<dice:double,i:int>>")
     out = docs.select("*", F.inline(F.array(F.struct(F.lower(F.col(f"`{text}`")).alias(t_)))))
     out = out.select("*", F.inline(F.array(F.struct(F.when(_passes(F.col(t_), gate), hits).otherwise(empty).alias(h_)))))

@@ -187,6 +187,32 @@ def test_licences_match_brute_force(spark):
         assert {x.licence: round(x.dice, 9) for x in r.licences} == {k: round(v, 9) for k, v in want.items()}, r.text
 
 
+def test_licences_wrapped_and_embedded(spark):
+    import textwrap
+
+    grams = lambda w: {(a, b) for a, b in zip(w, w[1:])}
+    wordlist = lambda s: re.sub(r"[^\w]+|_", " ", s.lower()).split()
+    filler = " ".join(f"word{i}" for i in range(300))
+    header = lambda i, sign: filler + "\n" + textwrap.fill(licenses.TEMPLATES[i][1], 40, initial_indent=sign, subsequent_indent=sign) + "\n" + filler
+    cases = [header(2, ""), header(6, "# "), header(8, " * "), header(10, "// "), header(2, "").replace("free of charge", "at no cost"),
+             "Copyright 2020 Foo, released under the MIT License.", "We note that the code, licensed under the Apache License, Version 2.0, is short.",
+             filler + " the above copyright notice", "the software " * 200 + "this work is " * 200]
+    rows = licenses.licences(spark.createDataFrame(list(enumerate(cases)), "k int, text string")).collect()
+    for r in rows:
+        w, want = wordlist(r.text), {}
+        for name, t in licenses.TEMPLATES:
+            b, n = grams(wordlist(t)), len(wordlist(t))
+            for i in range(len(w)):
+                for j in range(i + 2, min(len(w), i + 3 * n // 2) + 1):
+                    if (w[i], w[i + 1]) in b and (w[j - 2], w[j - 1]) in b:
+                        a = grams(w[i:j])
+                        dice = 2 * len(a & b) / (len(a) + len(b))
+                        if dice >= licenses.LEAST_DICE:
+                            want[name] = max(want.get(name, 0), dice)
+        assert {x.licence: round(x.dice, 9) for x in r.licences} == {k: round(v, 9) for k, v in want.items()}, r.text
+        assert bool(want) == (r.k < 7)
+
+
 def test_edit_distance_to_any_part():
     def plain(a, t):
         row = [0] * (len(t) + 1)
