@@ -172,6 +172,7 @@ class Index:
         own = Symbols(texts)
         starts = np.flatnonzero(self.seen[(own.at >> np.uint64(44)).astype(np.int64)] & (own.at != 0))
         starts = starts[np.isin(own.at[starts], self.anchors)]
+        text = own.text_of(starts)
         hits = []
         for r in range(REPEATS):
             for n, keys in walk_keys(own.at, starts, r).items():
@@ -182,20 +183,20 @@ class Index:
                 lo, hi = (np.searchsorted(table, keys[some], side=s) for s in ("left", "right"))
                 count = hi - lo
                 entry = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)]
-                hits.append(np.stack([self.text[entry], np.repeat(starts[some], count) - self.before[entry]]))
+                doc = np.repeat(text[some], count)
+                hits.append(np.stack([doc * len(self.ids) + self.text[entry], np.repeat(starts[some], count) - own.start[doc] - self.before[entry]]))
         if not hits:
             return []
-        item, at = np.concatenate(hits, axis=1)
-        key = np.sort((item << 40) + at + (1 << 20))     # places of one item lie side by side
+        pair, at = np.concatenate(hits, axis=1)          # a place may begin ahead of its text, where words are missing
+        key = np.sort((pair << 31) + at + (1 << 20))     # places of one item in one text lie side by side
         votes = np.searchsorted(key, key + NEAR, side="right") - np.searchsorted(key, key - NEAR, side="left")
         key = np.unique(key[votes >= VOTES])
-        found = np.stack([key >> 40, (key & ((1 << 40) - 1)) - (1 << 20)])
         best: dict[tuple[int, int], tuple[int, int]] = {}
         done: dict[tuple[int, int], int] = {}
-        text_of = own.text_of(np.clip(found[1], 0, len(own.at) - 1))
-        for item, at, doc in zip(found[0].tolist(), found[1].tolist(), text_of.tolist()):
+        for k in key.tolist():
+            doc, item = divmod(k >> 31, len(self.ids))
             slack = 2 + self.words[item] // 4
-            first = int(own.start[doc])
+            first, at = int(own.start[doc]), (k & ((1 << 31) - 1)) - (1 << 20) + int(own.start[doc])
             if best.get((doc, item), (1,))[0] == 0 or at <= done.get((doc, item), -1 << 60):
                 continue
             done[doc, item] = at + slack // 2  # the same place, a few words on

@@ -243,6 +243,15 @@ def test_decontamination_recall(spark, texts):
     assert exact <= got
 
 
+def test_decontamination_of_texts_that_begin_with_a_shortened_item(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()][:12]
+    index = decontamination.Index(items)
+    cut = [" ".join([*s.split()[4:], "and", "other", "things"]) for _, s in items]
+    want = {k for k, s in enumerate(cut) if decontamination.least_distance(index.lines[k], decontamination.Symbols([s]).line(0, len(s)), index.limits[k]) is not None}
+    assert len(want) > 6
+    assert want <= {d for d, k, *_ in index.find(cut) if d == k}
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "same text of the copy")], "item_id long, text string")
     assert sorted(r.doc_id for r in decontamination.contaminated(odd_docs, bench).collect()) == [5, 5, 6]
