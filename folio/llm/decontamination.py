@@ -1,20 +1,22 @@
 """Benchmark decontamination by CGK embedding, bit-sampling LSH and exact verification.
 
-Texts and benchmark items are read as sequences of word symbols (lower case,
-runs of letters and digits).  The CGK random walk turns edit distance into
-Hamming distance: at each step it writes the symbol under a pointer, and a
-random bit of that symbol says whether the pointer moves on.  Two sequences
-with few edits fall into step again after each edit, so they write the same
-symbols at most steps.  Bit sampling then hashes a few steps; ``REPEATS``
+Texts and benchmark items are read as sequences of characters (lower case, words
+of letters and digits with one blank between them).  The CGK random walk turns
+edit distance into Hamming distance: at each step it writes the character under
+a pointer, and a random bit of that character says whether the pointer moves
+on.  Two sequences with few edits fall into step again after each edit, so they
+write the same characters at most steps.  Bit sampling then hashes some steps;
 independent walks and samples bring the recall up.
 
-A window begins at every occurrence of an anchor: one of the ``ANCHORS`` longest
-words of some item, as long words are rare.  An item is entered from each of
-its own anchors, so one edit does not hide it, and its window is as long as
-what is left of it: the walk has two steps for each word, rounded down to a
-power of two.  Places where ``VOTES`` walks agree are verified exactly: the least edit distance, in
-characters, between the item and any part of the text around the hit must be
-at most ``1 - LEAST_SIMILARITY`` of the item's length.
+A window begins at every word of a text and of an item (in scripts without
+blanks at every character), so an item is entered from all of its words and
+needs no word to be equal.  The length of the walks, the sampled steps and the
+votes go by the length of the item (``TIERS``); walks are made for the tiers
+that have items.  Places with enough votes pass a bound that loses nothing (an
+edit touches at most q of an item's q-grams, so the others must be near the
+hit), and are then verified exactly: the least edit distance, in characters,
+between the item and any part of the text around the hit must be at most
+``1 - LEAST_SIMILARITY`` of the item's length.
 
 The benchmark is the query set.  Its items go to the tasks in blocks of
 ``BLOCK_ITEMS``; texts are read once for each block and never shuffled.
@@ -38,23 +40,34 @@ from folio.llm.base import in_small_batches, ship
 ship(__name__)
 
 LEAST_SIMILARITY = 0.8
-REPEATS = 12
-ANCHORS = 8
-VOTES = 6
-NEAR = 6                   # words between places that count as one
-MAX_STEPS = 64
-#: steps sampled of a walk, by its length
-SAMPLED = {2: 1, 4: 2, 8: 3, 16: 3, 32: 4, 64: 4}
+#: least characters of an item, steps of its walks, steps sampled, independent walks, least votes
+TIERS = ((60, 28, 14, 6, 2), (20, 16, 7, 6, 1), (6, 6, 3, 4, 1), (1, 1, 1, 1, 1))
+VOTE_CHARS = 40            # characters of an item for each vote asked for, above the least
+NEAR = 10                  # characters between places that count as one
+GRAMS = (2, 3)             # q-grams of the bound before verification
 BLOCK_ITEMS = 4096
 SLICE_BYTES = 1 << 20
 
 _RNG = np.random.default_rng(20240901)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_PLACE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_SEEDS = _RNG.integers(1, 1 << 63, REPEATS, dtype=np.uint64)
-_STEPS = {(r, n): np.sort(n // 4 + _RNG.choice(n - n // 4, k, replace=False)) for r in range(REPEATS) for n, k in SAMPLED.items()}
-_ODD = _RNG.integers(1, 1 << 63, MAX_STEPS, dtype=np.uint64) | np.uint64(1)
-_IS_WORD = np.array([chr(b).isalnum() or b >= 128 for b in range(256)])
+_IS_WORD = np.array([chr(c).isalnum() or c >= 128 for c in range(129)])
+_PAD = max(t[1] for t in TIERS) + 1
+
+
+def _walks(steps: int, sampled: int, repeats: int) -> list[list[tuple[np.ndarray, np.ndarray | None]]]:
+    """For each walk and step: moves by symbol, and numbers by symbol where the step is sampled."""
+    out = []
+    for _ in range(repeats):
+        chosen = set(_RNG.choice(steps, sampled, replace=False).tolist())
+        walk = []
+        for step in range(max(chosen) + 1):
+            moves = _RNG.integers(0, 2, 256).astype(np.int32)
+            moves[0] = 0                                     # a walk ends with its text
+            walk.append((moves, _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) if step in chosen else None))
+        out.append(walk)
+    return out
+
+
+_WALKS = [_walks(*t[1:4]) for t in TIERS]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -64,50 +77,59 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Symbols:
-    """Word symbols of several texts in one array, with a zero after each text."""
+    """Characters of several texts in one array, with a zero after each text."""
 
     def __init__(self, texts: list[str | None]):
-        parts = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
-        self.data = b"\n".join(parts) + b"\n"
-        buf = np.frombuffer(self.data, np.uint8)
-        first = np.cumsum([0] + [len(p) + 1 for p in parts])
-        edge = np.diff(_IS_WORD[buf].astype(np.int8), prepend=0)
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        text = np.searchsorted(first, begin, side="right") - 1
-        self.at = np.zeros(len(begin) + len(parts), np.uint64)
-        self.begin, self.end = np.zeros(len(self.at), np.int64), np.zeros(len(self.at), np.int64)
-        place = np.arange(len(begin)) + text
-        size = end - begin
-        if len(begin):
-            inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            chars = buf[np.repeat(begin, size) + inside]
-            sums = np.add.reduceat(_BYTE[chars] * _PLACE[inside & 255], np.cumsum(size) - size)
-            self.at[place] = _mix(sums + size.astype(np.uint64)) | np.uint64(1)
-        self.begin[place], self.end[place] = begin, end
-        words = np.bincount(text, minlength=len(parts))
-        self.stop = np.cumsum(words + 1) - 1          # the zero of each text
-        self.start = self.stop - words
-        self.size = self.end - self.begin
+        parts = [(t or "").lower() for t in texts]
+        raw = np.frombuffer("".join(t + "\n" for t in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum([len(t) + 1 for t in parts], dtype=np.int64) - 1
+        inside = _IS_WORD[np.minimum(raw, 128)]
+        begin = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0) == 1)
+        text = np.searchsorted(ends, begin)
+        keep = inside.copy()
+        later = np.flatnonzero(np.diff(text, prepend=-1) == 0)     # words with one before them in their text
+        keep[begin[later] - 1] = True
+        keep[ends] = True
+        place = np.cumsum(keep) - 1
+        chars = np.where(inside, raw, np.uint32(32))
+        chars[ends] = 0
+        self.chars = np.concatenate([chars[keep], np.zeros(_PAD, np.uint32)])
+        low = (self.chars ^ (self.chars >> np.uint32(8))).astype(np.uint8)
+        self.low = np.where((self.chars != 0) & (low == 0), np.uint8(1), low)
+        self.words = place[begin]
+        self.stop = place[ends]                                    # the zero of each text
+        self.start = np.concatenate([[0], self.stop[:-1] + 1]).astype(np.int64)[:len(parts)]
+        dense = (self.chars >= 0x2E80) | ((self.chars >= 0x0E00) & (self.chars < 0x0F00))
+        self.windows = np.union1d(self.words, np.flatnonzero(dense)) if dense.any() else self.words
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.stop, at)
 
     def line(self, lo: int, hi: int) -> str:
-        return b" ".join([self.data[b:e] for b, e in zip(self.begin[lo:hi].tolist(), self.end[lo:hi].tolist())]).decode("utf-8", "replace")
+        return self.chars[lo:hi].tobytes().decode("utf-32-le", "surrogatepass")
+
+    def word(self, at: int, first: int) -> int:
+        """Number of the first word at or after a place, in the text that begins at ``first``."""
+        return int(np.searchsorted(self.words, max(at, first)) - np.searchsorted(self.words, first))
 
 
-def walk_keys(at: np.ndarray, starts: np.ndarray, repeat: int) -> dict[int, np.ndarray]:
-    """For each length of walk, a key of the sampled steps of the walks from ``starts``."""
-    bits = np.where(at == 0, np.uint64(0), _mix(at ^ _SEEDS[repeat]))
-    sampled = {n: set(_STEPS[repeat, n].tolist()) for n in SAMPLED}
-    keys = {n: np.full(len(starts), np.uint64(n)) for n in SAMPLED}
-    pointer = starts.copy()
-    for step in range(max(max(s) for s in sampled.values()) + 1):
-        for n, s in sampled.items():
-            if step in s:
-                keys[n] = keys[n] + at[pointer] * _ODD[step]
-        pointer += ((bits[pointer] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-    return {n: _mix(k) for n, k in keys.items()}
+def walk_keys(low: np.ndarray, starts: np.ndarray, walk: list) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the sampled steps of the walks from ``starts``, and the last characters seen."""
+    keys, pointer, seen = np.zeros(len(starts), np.uint64), starts.astype(np.int32 if len(low) < 1 << 31 else np.int64), None
+    for moves, numbers in walk:
+        seen = low[pointer]
+        if numbers is not None:
+            keys += numbers[seen]
+        pointer += moves[seen]
+    return _mix(keys), seen
+
+
+def _grams(low: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of 16 bits of the q-grams of some characters."""
+    out = low[:len(low) - q + 1].astype(np.uint32)
+    for k in range(1, q):
+        out = out * np.uint32(0x9E3779B1) + low[k:len(low) - q + 1 + k]
+    return (out * np.uint32(0x85EBCA6B)) >> np.uint32(16)
 
 
 def least_distance(item: str, text: str, limit: int) -> int | None:
@@ -140,70 +162,75 @@ class Index:
     def __init__(self, items: list[tuple], least: float = LEAST_SIMILARITY):
         own = Symbols([t for _, t in items])
         self.ids = [i for i, _ in items]
-        self.words = (own.stop - own.start).tolist()
-        self.lines = [own.line(a, b) for a, b in zip(own.start.tolist(), own.stop.tolist())]
+        spans = list(zip(own.start.tolist(), own.stop.tolist()))
+        self.lines = [own.line(a, b) for a, b in spans]
         self.limits = [int((1 - least) * len(s) + 1e-9) for s in self.lines]
-        starts, text = [], []
-        for k, (a, b) in enumerate(zip(own.start.tolist(), own.stop.tolist())):
-            every = np.arange(a, b)
-            chosen = np.sort(every[np.argsort(-own.size[a:b], kind="stable")][:ANCHORS])
-            starts.append(chosen)
-            text.append(np.full(len(chosen), k))
-        self.starts, self.text = (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (starts, text))
-        left = own.stop[self.text] - self.starts if len(self.text) else np.empty(0, np.int64)
-        self.before = self.starts - own.start[self.text] if len(self.text) else left
-        steps = np.minimum(MAX_STEPS, 1 << np.floor(np.log2(2 * np.maximum(left, 1))).astype(np.int64))
-        self.anchors = np.unique(own.at[self.starts])
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[(self.anchors >> np.uint64(44)).astype(np.int64)] = True
-        self.tables = {}
-        for r in range(REPEATS):
-            for n, keys in walk_keys(own.at, self.starts, r).items():
-                mine = np.flatnonzero(steps == n)
-                order = mine[np.argsort(keys[mine], kind="stable")]
-                quick = np.zeros(1 << 16, bool)
-                quick[(keys[order] >> np.uint64(48)).astype(np.int64)] = True
-                self.tables[r, n] = keys[order], order, quick
+        self.grams = [[_grams(own.low[a:b], q) for q in GRAMS] for a, b in spans]
+        item = own.text_of(own.windows)
+        size = (own.stop - own.start)[item] if len(items) else item
+        least_size = np.array([t[0] for t in TIERS])
+        tier = np.argmax(size[:, None] >= least_size[None, :], axis=1)
+        self.votes = [max(len(s) // VOTE_CHARS, next((t[4] for t in TIERS if len(s) >= t[0]), 1)) for s in self.lines]
+        self.tables = []                                     # (walk, keys, items, places in the items, quick test)
+        for k, walks in enumerate(_WALKS):
+            mine = own.windows[tier == k]
+            for walk in walks if len(mine) else ():
+                keys, seen = walk_keys(own.low, mine, walk)
+                whole = np.flatnonzero(seen)                 # walks that do not leave the item
+                order = whole[np.argsort(keys[whole], kind="stable")]
+                quick = np.zeros(1 << 20, bool)
+                quick[(keys[order] >> np.uint64(44)).astype(np.int64)] = True
+                text = own.text_of(mine[order])
+                self.tables.append((walk, keys[order], text, mine[order] - own.start[text], quick))
+        self.marks = [np.zeros(1 << 16, bool) for _ in GRAMS]
+
+    def _possible(self, item: int, low: np.ndarray) -> bool:
+        """Whether the characters hold as many q-grams of the item as its limit asks for."""
+        for q, mark, own in zip(GRAMS, self.marks, self.grams[item]):
+            need = len(self.lines[item]) - q + 1 - q * self.limits[item]
+            if need > 0:
+                near = _grams(low, q) if len(low) >= q else own[:0]
+                mark[near] = True
+                n = int(np.count_nonzero(mark[own]))
+                mark[near] = False
+                if n < need:
+                    return False
+        return True
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(text, item, distance, first word of the place) of the best place of each item in each text."""
-        if not len(self.anchors):
+        if not self.tables or not texts:
             return []
         own = Symbols(texts)
-        starts = np.flatnonzero(self.seen[(own.at >> np.uint64(44)).astype(np.int64)] & (own.at != 0))
-        starts = starts[np.isin(own.at[starts], self.anchors)]
-        text = own.text_of(starts)
+        text = own.text_of(own.windows)
         hits = []
-        for r in range(REPEATS):
-            for n, keys in walk_keys(own.at, starts, r).items():
-                table, order, quick = self.tables[r, n]
-                if not len(table):
-                    continue
-                some = np.flatnonzero(quick[(keys >> np.uint64(48)).astype(np.int64)])
-                lo, hi = (np.searchsorted(table, keys[some], side=s) for s in ("left", "right"))
-                count = hi - lo
-                entry = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)]
-                doc = np.repeat(text[some], count)
-                hits.append(np.stack([doc * len(self.ids) + self.text[entry], np.repeat(starts[some], count) - own.start[doc] - self.before[entry]]))
-        if not hits:
-            return []
+        for walk, table, items, before, quick in self.tables:
+            keys, _ = walk_keys(own.low, own.windows, walk)
+            some = np.flatnonzero(quick[(keys >> np.uint64(44)).astype(np.int64)])
+            lo, hi = (np.searchsorted(table, keys[some], side=s) for s in ("left", "right"))
+            count = hi - lo
+            entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)
+            doc = np.repeat(text[some], count)
+            hits.append(np.stack([doc * len(self.ids) + items[entry], np.repeat(own.windows[some], count) - own.start[doc] - before[entry]]))
         pair, at = np.concatenate(hits, axis=1)          # a place may begin ahead of its text, where words are missing
         key = np.sort((pair << 31) + at + (1 << 20))     # places of one item in one text lie side by side
         votes = np.searchsorted(key, key + NEAR, side="right") - np.searchsorted(key, key - NEAR, side="left")
-        key = np.unique(key[votes >= VOTES])
+        key = np.unique(key[votes >= np.array(self.votes)[(key >> 31) % len(self.ids)]])
         best: dict[tuple[int, int], tuple[int, int]] = {}
         done: dict[tuple[int, int], int] = {}
         for k in key.tolist():
             doc, item = divmod(k >> 31, len(self.ids))
-            slack = 2 + self.words[item] // 4
             first, at = int(own.start[doc]), (k & ((1 << 31) - 1)) - (1 << 20) + int(own.start[doc])
             if best.get((doc, item), (1,))[0] == 0 or at <= done.get((doc, item), -1 << 60):
                 continue
-            done[doc, item] = at + slack // 2  # the same place, a few words on
-            line = own.line(max(first, at - slack), min(int(own.stop[doc]), max(at, first) + self.words[item] + slack + slack // 2))
-            d = least_distance(self.lines[item], line, self.limits[item])
+            size, limit = len(self.lines[item]), self.limits[item]
+            done[doc, item] = at + NEAR + size // 8      # the same place, a few words on
+            lo, hi = max(first, at - limit - NEAR), min(int(own.stop[doc]), at + size + limit + 2 * NEAR + size // 8)
+            if not self._possible(item, own.low[lo:hi]):
+                continue
+            d = least_distance(self.lines[item], own.line(lo, hi), limit)
             if d is not None and d < best.get((doc, item), (1 << 60,))[0]:
-                best[doc, item] = (d, max(0, at - first))
+                best[doc, item] = (d, own.word(at, first))
         return [(doc, item, d, at) for (doc, item), (d, at) in sorted(best.items())]
 
 

@@ -243,6 +243,21 @@ def test_decontamination_recall(spark, texts):
     assert exact <= got
 
 
+def test_decontamination_recall_on_character_edits(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    items += [(-k, " ".join(s.split()[:5])) for k, s in items]
+    index, rnd = decontamination.Index(items), random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for share in (0.05, 0.1, 0.15, 0.2):
+        near = found = 0
+        for k, line in enumerate(index.lines):
+            edited = "".join(c if rnd.random() >= share else rnd.choice(["", rnd.choice(letters), c + rnd.choice(letters)]) for c in line)
+            if decontamination.least_distance(line, edited, index.limits[k]) is not None:      # brute force
+                near += 1
+                found += any((d, i) == (1, k) for d, i, *_ in index.find(["before it", f"some words {edited} and more words"]))
+        assert near >= 20 and found >= 0.9 * near, share
+
+
 def test_decontamination_of_texts_that_begin_with_a_shortened_item(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()][:12]
     index = decontamination.Index(items)
