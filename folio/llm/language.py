@@ -14,8 +14,9 @@ The last two come from one grouped sum of the text-only probabilities of all
 rows; a hot host adds up before the shuffle.  Besides the trained languages
 there is ``und``, where all trigrams are as likely, for text that is none.
 
-The trigram model is fitted on a sample of about ``TRAIN_ROWS`` labelled rows,
-chosen by a hash of the text; texts are scored whole.
+The trigram model is fitted on about ``TRAIN_ROWS`` distinct texts of each label,
+chosen by a hash of the text, and on all of a label that has fewer, so each label
+has a class at every size; texts are scored whole.
 
 Defined cases: a null or empty text, or one without letters, is ``und`` with
 probability 1 and not kept.  Null or unseen declared values, hosts and suffixes
@@ -76,9 +77,15 @@ def train(rows: DataFrame, label: str, text: str, n: int = TRAIN_ROWS) -> tuple[
 
     At most BUCKETS rows a language come to the driver.
     """
-    every = max(1, rows.count() // n)
-    chosen = rows.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).where(F.col(label).isNotNull() & (F.col(label) != UNKNOWN))
-    counts = chosen.select(label, text).mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    some = rows.where(F.col(label).isNotNull() & (F.col(label) != UNKNOWN) & F.col(text).isNotNull())
+    some = some.select(F.col(label).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    sizes = {r["lang"]: r["n"] for r in some.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
+    # a label of up to n texts is taken whole, whatever the error of the count
+    shares = [F.lit(x) for lang, size in sizes.items() if size > 2 * n for x in (lang, n / size)]
+    share = F.coalesce(F.element_at(F.create_map(*shares), F.col("lang")), F.lit(1.0)) if shares else F.lit(1.0)
+    chosen = some.where(F.pmod("hash", F.lit(1 << 30)) < share * float(1 << 30))
+    chosen = chosen.groupBy("lang", "hash").agg(F.first("text").alias("text"))       # repeated texts count once
+    counts = chosen.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counts.collect()
     langs = sorted({r["lang"] for r in got})
     table = np.full((len(langs) + 1, BUCKETS), SMOOTHING)

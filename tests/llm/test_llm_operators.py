@@ -305,6 +305,17 @@ def test_language(spark, odd_docs, no_docs):
     assert np.mean([bool(r.declared_agrees) for r in pages]) > 0.97
 
 
+def test_language_has_every_label_at_any_size(spark):
+    n = F.col("id")
+    text = F.when(n < 3, F.concat(F.lit("τα λόγια του κειμένου "), n)).when(n < 30_000, F.lit("the very common line")).otherwise(F.concat(F.lit("plain words "), n))
+    label = F.when(n < 3, F.lit("el")).when(n < 60_000, F.lit("en"))
+    docs = spark.range(80_000).select(text.alias("text"), label.alias("label"))
+    langs, table = language.train(docs, "label", "text")
+    assert langs == ["el", "en", "und"]
+    common = language.trigrams("mmo")[1:2]                       # a text of half the rows counts once
+    assert np.exp(table[common[0], 1]) < 1e-3
+
+
 def test_lm_scores(spark, texts, odd_docs, no_docs):
     rows = lm.op10_lm(spark, SMALL).collect()
     end, counts = object(), Counter()
