@@ -1,11 +1,8 @@
 """C5 hook: token counts from a real tokenizer, as an Arrow-batched pandas UDF.
 
 The default counter (:func:`folio.functions.text.token_count`) is a JVM-side
-regular expression.  When exact counts of a byte-pair tokenizer are wanted and
-its vocabulary is available locally, wrap it here: the tokenizer is loaded
-once per Python worker and applied to whole Arrow batches.  Without network
-access the vocabulary may be missing; :func:`bpe_counter` then returns None and
-callers keep the default.
+regular expression.  A function that counts the tokens of a text with another
+tokenizer is wrapped here and applied to whole Arrow batches.
 
 Note: Python UDFs cannot run inside higher-order functions, so the chunkers
 use Column-expression counters only; this hook is for counting columns.
@@ -29,14 +26,3 @@ def pandas_token_counter(count: Callable[[str], int]) -> Callable[[Column], Colu
         return texts.map(lambda t: None if t is None else int(count(t))).astype("Int32")
 
     return lambda col: _count(col)
-
-
-def bpe_counter(encoding: str = "cl100k_base") -> Callable[[Column], Column] | None:
-    """A counter backed by a locally cached byte-pair encoding, or None when unavailable."""
-    try:
-        import tiktoken
-
-        enc = tiktoken.get_encoding(encoding)
-    except Exception:  # noqa: BLE001 - no package or no cached vocabulary
-        return None
-    return pandas_token_counter(lambda t: len(enc.encode(t, disallowed_special=())))

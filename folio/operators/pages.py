@@ -2,7 +2,8 @@
 
 Everything here is a projection, filter or ``posexplode`` over the page rows:
 no shuffle except the ordered distinct of B10 (a partial-then-final
-aggregate, safe for hot keys because ``min``/``count`` combine map-side).
+aggregate, safe for hot keys because ``min``/``count`` combine map-side) and the
+join and final order of a run's results (A17).
 """
 
 from __future__ import annotations
@@ -102,6 +103,18 @@ def ingest_outcome(pages: DataFrame) -> DataFrame:
     ).withColumn("dropped", F.col("attempted") - F.col("kept"))
 
 
+def ordered_outcome(listed: DataFrame, arts: DataFrame) -> DataFrame:
+    """Each listed URL ``(pos, url)`` with its article, in input order; a dropped URL has none.
+
+    ``arts`` has one article per id (see :func:`one_per_id`).  A URL that is listed
+    twice is reported twice.
+    """
+    found = arts.select(F.col("id").alias("article_id"), "title")
+    out = listed.withColumn("article_id", article_id(F.col("url"))).join(found, "article_id", "left")
+    kept = F.col("title").isNotNull()
+    return out.select("pos", "url", F.when(kept, F.col("article_id")).alias("article_id"), "title", kept.alias("kept")).orderBy("pos")
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Every ``<a href>`` of every page, with its position on the page."""
     return pages.select("page_id", "url", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href"))

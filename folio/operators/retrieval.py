@@ -1,13 +1,13 @@
 """Nearest-neighbour retrieval over the chunk store.
 
-Exact k-NN without a cross join: the query vectors (a side whose size is
-checked) are broadcast once, and every store partition computes distances to
-all queries in vectorised numpy batches inside ``mapInPandas``, keeping only
-its own best ``k`` per query.  No (query, record) pair is ever a row.  A
-final ``row_number() <= k`` per query then merges at most ``k x partitions``
-candidates per query.  When the query set is larger than the broadcast
-bound it is split into bounded blocks, each one a separate broadcast pass
-over the store; results are exact either way.
+Exact k-NN without a cross join: queries and records become tiles (see
+:mod:`folio.operators.tiles`), and pairs of tiles are searched by matrix
+products on the executors.  The size of the queries is counted first.  Up to
+the session's broadcast bound the planner broadcasts the query tiles, and the
+store stays where it is; beyond it, store tiles are dealt into groups and every
+query tile goes to each group (fragment and replicate), and no query passes
+through the driver.  ``row_number() <= k`` merges at most ``k`` candidates of
+each query and task, in two steps where there are many tasks.
 
 Metadata filters (F2) become a Column applied to the store *before*
 ranking, so they reach the Parquet scan and k results survive.
@@ -15,27 +15,20 @@ ranking, so they reach the Parquet scan and k results survive.
 
 from __future__ import annotations
 
-from typing import Any, Iterator
+from typing import Any
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folio.functions.text import token_count
-from pyspark import cloudpickle
-
-# executors need not have this package installed: ship its task code by value
-cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
+from folio.operators import tiles
 from folio.operators.chunking import pack
-from folio.session import work_dir
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_K = 10          # library search
 QUESTION_K = 5          # question answering
 NO_TITLE = "No Title"
-MAX_QUERY_BYTES = 64 << 20   # broadcast bound for one block of query vectors
+MAX_QUERY_BYTES = tiles.QUERY_TILE_BYTES   # vectors of a query tile
 # ---------------------------------------------------------------------------
 
 _OPS = {
@@ -68,93 +61,6 @@ def where_to_column(where: dict[str, Any]) -> Column:
     return out
 
 
-MAX_BLOCK_ELEMENTS = 1 << 23   # distance-matrix cells per step (64 MiB of float64)
-
-
-def _exact(vecs: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
-    """Exact distances of a few rows to one query."""
-    if metric == "l2sq":
-        d = vecs - q[None, :]
-        return np.einsum("ij,ij->i", d, d)
-    dots = vecs @ q
-    if metric == "ip":
-        return 1.0 - dots
-    if metric == "cosine":
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return 1.0 - dots / (np.linalg.norm(vecs, axis=1) * np.linalg.norm(q))
-    raise ValueError(f"unknown metric {metric}")
-
-
-def _approx(vecs: np.ndarray, q: np.ndarray, metric: str):
-    """(n, m) distances by one matrix product, plus an absolute error bound per query."""
-    dots = vecs @ q.T
-    if metric == "l2sq":
-        vv = np.einsum("ij,ij->i", vecs, vecs)
-        qq = np.einsum("ij,ij->i", q, q)
-        approx = vv[:, None] + qq[None, :] - 2.0 * dots
-        # rounding of the expansion is bounded by a small multiple of the norms
-        tol = 1e-9 * (vv.max(initial=0.0) + qq) + 1e-12
-        return approx, tol
-    if metric == "ip":
-        return 1.0 - dots, np.full(q.shape[0], 1e-9 * (1.0 + np.abs(dots).max(initial=0.0)))
-    if metric == "cosine":
-        nv = np.linalg.norm(vecs, axis=1)[:, None]
-        nq = np.linalg.norm(q, axis=1)[None, :]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return 1.0 - dots / (nv * nq), np.full(q.shape[0], 1e-9)
-    raise ValueError(f"unknown metric {metric}")
-
-
-def _local_topk(bq, qids: np.ndarray, k: int, metric: str, id_field: str, vec_field: str):
-    """Per store partition: the exact best ``k`` per query, ties ordered by id.
-
-    Rows are processed in slices whose distance matrix stays under
-    ``MAX_BLOCK_ELEMENTS``; a matrix product picks candidates within an error
-    margin, and only candidates get their exact distance.
-    """
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q = bq.value
-        nq = len(qids)
-        best_ids: list = [None] * nq
-        best_d: list = [None] * nq
-        rows_per_step = max(1, MAX_BLOCK_ELEMENTS // max(1, nq))
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            all_vecs = np.stack(pdf[vec_field].to_numpy()).astype(np.float64)
-            all_ids = pdf[id_field].to_numpy()
-            for s0 in range(0, len(all_ids), rows_per_step):
-                vecs, ids = all_vecs[s0:s0 + rows_per_step], all_ids[s0:s0 + rows_per_step]
-                approx, tol = _approx(vecs, q, metric)
-                approx = np.where(np.isnan(approx), np.inf, approx)   # e.g. the cosine of a zero vector: never a hit
-                kk = min(k, len(ids))
-                kth = np.partition(approx, kk - 1, axis=0)[kk - 1]
-                for j in range(nq):
-                    cand = np.nonzero(approx[:, j] <= kth[j] + 2.0 * tol[j])[0]
-                    d = _exact(vecs[cand], q[j], metric)
-                    real = ~np.isnan(d)
-                    cand_d, cand_i = d[real], ids[cand][real]
-                    if best_d[j] is not None:
-                        cand_d = np.concatenate([best_d[j], cand_d])
-                        cand_i = np.concatenate([best_ids[j], cand_i])
-                    order = np.lexsort((cand_i, cand_d))[:k]
-                    best_d[j], best_ids[j] = cand_d[order], cand_i[order]
-        # one small frame per block of queries keeps every Arrow batch small
-        step = max(1, 4096 // max(k, 1))
-        for s in range(0, nq, step):
-            rows_q, rows_i, rows_d = [], [], []
-            for j in range(s, min(s + step, nq)):
-                if best_d[j] is None:
-                    continue
-                rows_q.append(np.full(len(best_d[j]), qids[j], dtype=np.int64))
-                rows_i.append(best_ids[j])
-                rows_d.append(best_d[j])
-            if rows_q:
-                yield pd.DataFrame({"qid": np.concatenate(rows_q), id_field: np.concatenate(rows_i),
-                                    "distance": np.concatenate(rows_d).astype(np.float64)})
-    return fn
-
-
 def knn(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2sq",
         where: dict | Column | None = None, id_col: str = "id", vec_col: str = "embedding",
         qid_col: str = "qid", qvec_col: str = "embedding", max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
@@ -179,47 +85,28 @@ def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, m
     spark = store.sparkSession
     if where is not None:
         store = store.where(where if isinstance(where, Column) else where_to_column(where))
-    id_type = store.schema[id_col].dataType
-    base = store.select(id_col, vec_col).where(F.col(vec_col).isNotNull())
-    qsel = queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).alias("qvec")).where("qvec is not null")
-    out_schema = T.StructType([
-        T.StructField("qid", T.LongType()), T.StructField(id_col, id_type), T.StructField("distance", T.DoubleType())
-    ])
-    def run_block(rows):
-        qids = np.array([r["qid"] for r in rows], dtype=np.int64)
-        qmat = np.array([r["qvec"] for r in rows], dtype=np.float64)
-        bq = spark.sparkContext.broadcast(qmat)
-        return bq, base.mapInPandas(_local_topk(bq, qids, k, metric, id_col, vec_col), out_schema)
-
-    # blocks run one after another; a block's candidates go to a table in the shared
-    # folder, so the driver never holds more than one block and one partition of queries
-    out_dir = work_dir(spark, "knn-candidates")
-    spark.createDataFrame([], out_schema).write.parquet(out_dir)
-    for rows in _blocks(qsel, max_query_bytes):
-        bq, part = run_block(rows)
-        part.write.mode("append").parquet(out_dir)
-        bq.destroy()
-    cands = spark.read.schema(out_schema).parquet(out_dir)
-    w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col(id_col).asc())
-    hits = (
-        cands.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-        .select("qid", "rank", id_col, "distance")
-    )
-    return hits
-
-
-def _blocks(qsel: DataFrame, max_bytes: int):
-    """Query rows in blocks of at most ``max_bytes`` of vectors (one row at least)."""
-    block, size = [], 0
-    for r in qsel.toLocalIterator(prefetchPartitions=False):
-        if block and size + 8 * len(r["qvec"]) > max_bytes:
-            yield block
-            block, size = [], 0
-        block.append(r)
-        size += 8 * len(r["qvec"])
-    if block:
-        yield block
+    records = store.select(F.lit(0).alias("cell"), F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where("vec is not null")
+    asked = queries.select(F.lit(0).alias("cell"), F.col(qid_col).cast("long").alias("id"), F.col(qvec_col).alias("vec")).where("vec is not null")
+    number, width = asked.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    qtiles = tiles.packed(asked, max_query_bytes).select(F.col("cell").alias("q_cell"), F.col("tile").alias("q_tile"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
+    stiles = tiles.packed(records, tiles.STORE_TILE_BYTES)
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if 8 * number * (width or 0) <= broadcast_bytes(spark):
+        # measured: the store stays where it is
+        pairs = stiles.join(F.broadcast(qtiles), F.col("cell") == F.col("q_cell"))
+        groups = 1
+    else:
+        # every query tile goes to each group of store tiles; the planner's guess of the sides plays no part
+        side = stiles.withColumn("part", F.pmod(F.xxhash64("tile"), F.lit(groups)).cast("int"))
+        copies = qtiles.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        pairs = side.join(copies.hint("merge"), "part")
+    hits = tiles.ranked(tiles.search(pairs, records.schema["id"].dataType, k, metric), k, int(groups ** 0.5) if groups > 64 else 1)
+    return hits.withColumnRenamed("id", id_col)
+
+
+def broadcast_bytes(spark) -> int:
+    """The session's bound of what may be broadcast."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def hydrate(hits: DataFrame, store: DataFrame, cols: list[str], id_col: str = "id") -> DataFrame:
@@ -241,9 +128,15 @@ def report(hits: DataFrame, title_col: str = "title") -> DataFrame:
     )
 
 
+MAX_TURNS = 1 << 16
+
+
 def question_id() -> Column:
-    """number of a question from its conversation and turn (conversations have under 65,536 turns)."""
-    return (F.col("conv_id") * 65536 + F.col("turn")).cast("long").alias("qid")
+    """number of a question from its conversation and turn; a turn or number beyond its range is an error."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    fits = (turn >= 0) & (turn < MAX_TURNS) & (F.abs(conv) < (1 << 62) // MAX_TURNS)
+    number = (conv * MAX_TURNS + turn).cast("long")
+    return F.when(F.coalesce(fits, F.lit(True)), number).otherwise(F.raise_error(F.lit("no question number for this conv_id and turn")).cast("long")).alias("qid")
 
 
 def clean_questions(questions: DataFrame, text: str = "question") -> DataFrame:

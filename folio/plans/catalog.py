@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as X
 from folio.functions import urls as U
+from folio.operators import cells
 from folio.operators import enrich as E
 from folio.operators import pages as P
 from folio.operators import reports as R
@@ -25,6 +26,8 @@ from folio.operators.chunking import store_records
 from folio.operators.keywords import keywords
 from folio.operators.routing import analysis_route, context_limit
 from folio.plans import derived as D
+from folio.session import work_dir
+from folio.sources.urllist import read_url_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +112,13 @@ def ingest_outcome(spark, sf):
     return P.ingest_outcome(_t(spark, sf, "pages"))
 
 
+def ingest_order(spark, sf):
+    pages = _t(spark, sf, "pages")
+    listed = read_url_run(spark, D.url_files(pages, work_dir(spark, "url-files")))
+    arts = P.one_per_id(P.assemble(P.drop_incomplete(P.page_fields(P.fetchable(pages))), F.lit(None).cast("timestamp_ntz"), keep=("page_id",)))
+    return P.ordered_outcome(listed, arts)
+
+
 def page_links(spark, sf):
     return P.page_links(_t(spark, sf, "pages")).select("page_id", "pos", "href")
 
@@ -296,6 +306,14 @@ def knn_topk(spark, sf):
     return _round6(Q.knn(_vectors(spark, sf), _queries(spark, sf), k=Q.DEFAULT_K))
 
 
+def knn_approx(spark, sf):
+    """Every hundredth vector as a query against an index of all vectors, with the probes that its data need."""
+    store = _vectors(spark, sf)
+    queries = _queries(spark, sf).where(F.col("qid") % 100 == 0)
+    index = cells.build_cells(store, work_dir(spark, "cells"))
+    return _round6(index.search(queries, Q.DEFAULT_K, index.probes_for(queries, Q.DEFAULT_K)))
+
+
 KNN_WHERE = {"$or": [{"label": {"$in": [1, 2]}}, {"label": {"$gte": 7}}]}
 
 
@@ -423,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "drop_incomplete": drop_incomplete,
     "articles": articles,
     "ingest_outcome": ingest_outcome,
+    "ingest_order": ingest_order,
     "page_links": page_links,
     "page_links_abs": page_links_abs,
     "page_links_same_domain": page_links_same_domain,
@@ -451,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "enrich_articles": enrich_articles,
     "knn_topk": knn_topk,
     "knn_filtered": knn_filtered,
+    "knn_approx": knn_approx,
     "knn_hydrated": knn_hydrated,
     "retrieval_report": retrieval_report,
     "batch_questions": batch_questions,

@@ -41,6 +41,13 @@ def url_lines(pages: DataFrame) -> DataFrame:
     )
 
 
+def url_files(pages: DataFrame, path: str, files: int = 8) -> str:
+    """The URL-list lines written as text files under ``path``, their order that of ``line_no``."""
+    lines = url_lines(pages).repartitionByRange(files, "line_no").sortWithinPartitions("line_no")
+    lines.select("value").write.text(path)
+    return path
+
+
 def hub_links(orders: DataFrame) -> DataFrame:
     """Link lists of customer hub pages, one link per order, position = order key."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")

@@ -449,6 +449,11 @@ SQL["ingest_outcome"] = f"""SELECT count(*) AS attempted,
   count(*) - count(*) FILTER (WHERE {prefix_valid('url')} AND {html_title('html')} <> '' AND {html_text('html')} <> '') AS dropped
 FROM pages"""
 
+SQL["ingest_order"] = with_(LINES, PAGE_ARTICLES, f"""listed AS (SELECT pos, {strip('value')} AS url
+  FROM (SELECT row_number() OVER (ORDER BY line_no) - 1 AS pos, value FROM lines) WHERE starts_with(value, 'http') AND {strict_valid(strip('value'))}),
+one AS (SELECT id, arg_min(title, page_id) AS title FROM page_articles GROUP BY id)""") + """SELECT pos, l.url, o.id AS article_id, o.title, o.title IS NOT NULL AS kept
+FROM listed l LEFT JOIN one o ON o.id = sha256(l.url)"""
+
 LINKS = f"""links AS (SELECT page_id, url, CAST(h.pos - 1 AS INTEGER) AS pos, {unescape('h.href')} AS href
   FROM pages, unnest({hrefs('html')}) WITH ORDINALITY AS h(href, pos))"""
 

@@ -50,6 +50,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    """The optional training-text queries are tested against brute force in ``tests/llm``."""
-    assert set(catalog.QUERIES) == set(oracle.SQL) <= set(entry.queries())
+    """The optional training-text queries are tested against brute force in ``tests/llm``.
+
+    Approximate search has no SQL: its recall is measured in ``test_cells.py``.
+    """
+    assert set(catalog.QUERIES) - {"knn_approx"} == set(oracle.SQL) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -2,8 +2,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from folio.functions.tokens import bpe_counter, pandas_token_counter
-from folio.sources.urllist import read_url_list
+from folio.functions.tokens import pandas_token_counter
+from folio.sources.urllist import read_url_lines, read_url_list, read_url_run
 
 SAMPLE = """# a comment
 # another, with http://in.it
@@ -31,5 +31,24 @@ def test_pandas_token_counter_hook(spark):
     counter = pandas_token_counter(lambda s: len(s.split()))
     df = spark.createDataFrame([("a b c",), ("",), (None,)], "t string")
     assert [r.n for r in df.select(counter(F.col("t")).alias("n")).collect()] == [3, 0, None]
-    bpe = bpe_counter()
-    assert bpe is None or callable(bpe)
+
+
+def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
+    """Several files of many splits each, read by fewer tasks than splits."""
+    want = []
+    for name, n in (("b.txt", 700), ("a.txt", 1500), ("c.txt", 0), ("d.txt", 3)):
+        with open(os.path.join(tmp_path, name), "w", encoding="utf-8") as fh:
+            fh.writelines(f"https://{name[0]}.example.org/story/{i}\n" for i in range(n))
+    for name, n in (("a", 1500), ("b", 700), ("d", 3)):
+        want += [(i, f"https://{name}.example.org/story/{i}") for i in range(n)]
+    for most, cost in (("2k", "1k"), ("16k", "64"), ("128m", "4m")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        try:
+            rows = read_url_lines(spark, str(tmp_path)).orderBy("pos").collect()
+            run = read_url_run(spark, str(tmp_path)).orderBy("pos").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert [(r.line_no, r.value) for r in rows] == want
+        assert [r.pos for r in rows] == list(range(len(want))) and [r.url for r in run] == [v for _, v in want]
