@@ -3,7 +3,7 @@
 The store is a table of records ``(id, article_id, chunk_index, total_chunks,
 document, <metadata columns>, embedding)``.  These functions are pure: they
 take the current store and return the new one (or a lookup result);
-:mod:`folio.sources.store` persists them as snapshots.
+:mod:`folio.sources.store` persists them in versions.
 
 Joins against the store are keyed on ``id``.  The request side (ids to get
 or delete, newly arriving records) has no size bound of its own, so no
@@ -81,12 +81,14 @@ def insert_new(store: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(store.select("article_id").distinct(), "article_id", "left_anti").select(*incoming.columns)
 
 
-def outcome(incoming_articles: DataFrame) -> DataFrame:
-    """One row of success / failed counts; an empty batch gives zeros.
+def storable() -> Column:
+    """True if an article has something to embed (title and content are not empty)."""
+    return (F.length(F.coalesce(F.col("title"), F.lit(""))) > 0) & (F.length(F.coalesce(F.col("content"), F.lit(""))) > 0)
 
-    An article fails when it has nothing to embed (empty title or content).
-    """
-    ok = (F.length(F.coalesce(F.col("title"), F.lit(""))) > 0) & (F.length(F.coalesce(F.col("content"), F.lit(""))) > 0)
+
+def outcome(incoming_articles: DataFrame) -> DataFrame:
+    """One row of success / failed counts of a batch that is not written; an empty batch gives zeros."""
+    ok = storable()
     return incoming_articles.agg(
         F.count_if(ok).cast("bigint").alias("success"),
         F.count_if(~ok).cast("bigint").alias("failed"),

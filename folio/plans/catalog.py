@@ -27,6 +27,7 @@ from folio.operators.keywords import keywords
 from folio.operators.routing import analysis_route, context_limit
 from folio.plans import derived as D
 from folio.session import work_dir
+from folio.sources.store import ChunkStore, open_store
 from folio.sources.urllist import read_url_run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,18 +371,23 @@ def article_metadata(spark, sf):
     return S.metadata(_store(spark, sf))
 
 
+def _written(spark, records: DataFrame) -> ChunkStore:
+    """A new store on the shared folder that holds the records."""
+    store = open_store(spark, work_dir(spark, "store"))
+    store.append(records)
+    return store
+
+
 def store_append(spark, sf):
-    stored = _store(spark, sf, "a").where(F.col("lang") == "en")
-    incoming = _store(spark, sf, "b")
-    new = S.insert_new(stored, incoming)
-    cols = ["id", "article_id", "chunk_index", "document"]
-    return stored.select(*cols).unionByName(new.select(*cols))
+    store = _written(spark, _store(spark, sf, "a").where(F.col("lang") == "en"))
+    store.append(_store(spark, sf, "b"))
+    return store.df().select("id", "article_id", "chunk_index", "document")
 
 
 def store_outcome(spark, sf):
     docs = D.doc_fields(_t(spark, sf, "documents"))
     arts = P.assemble(docs.withColumn("_sa", D.scraped_at(F.col("doc_id"))), F.col("_sa"))
-    return S.outcome(arts)
+    return open_store(spark, work_dir(spark, "store")).store_articles(arts, STORE_TEST_MAX_TOKENS)
 
 
 def _requested_ids(spark, sf):
@@ -390,33 +396,34 @@ def _requested_ids(spark, sf):
 
 
 def store_get(spark, sf):
-    return S.get(_store(spark, sf), _doc_articles(spark, sf).select("id")).select("id", "document")
+    return _written(spark, _store(spark, sf)).get(_doc_articles(spark, sf).select("id")).select("id", "document")
 
 
 def store_exists(spark, sf):
-    return S.exists(_requested_ids(spark, sf), _store(spark, sf))
+    return _written(spark, _store(spark, sf)).exists(_requested_ids(spark, sf))
 
 
 def store_list(spark, sf):
-    return S.list_records(_store(spark, sf)).select("id", "title")
+    return _written(spark, _store(spark, sf)).list().select("id", "title")
 
 
 def store_delete(spark, sf):
-    store = _store(spark, sf)
+    store = _written(spark, _store(spark, sf))
     arts = _doc_articles(spark, sf)
-    by_article = S.delete(store, arts.where(F.col("lang") == "de").select(F.col("id").alias("article_id")), by="article_id")
-    by_id = S.delete(by_article, arts.select(F.concat(F.col("id"), F.lit("_chunk_1")).alias("id")))
-    return by_id.select("id", "article_id")
+    store.delete(arts.where(F.col("lang") == "de").select(F.col("id").alias("article_id")), by="article_id")
+    store.delete(arts.select(F.concat(F.col("id"), F.lit("_chunk_1")).alias("id")))
+    return store.df().select("id", "article_id")
 
 
 def store_count(spark, sf):
-    return S.count(_store(spark, sf))
+    return _written(spark, _store(spark, sf)).count()
 
 
 def store_reset(spark, sf):
-    store = _store(spark, sf)
-    before = S.count(store).select(F.col("records").alias("before"), F.lit(None).cast("bigint").alias("after"))
-    after = S.count(S.reset(store)).select(F.lit(None).cast("bigint").alias("before"), F.col("records").alias("after"))
+    store = _written(spark, _store(spark, sf))
+    before = store.count().select(F.col("records").alias("before"), F.lit(None).cast("bigint").alias("after"))
+    store.reset()
+    after = store.count().select(F.lit(None).cast("bigint").alias("before"), F.col("records").alias("after"))
     return before.unionByName(after).agg(F.max("before").alias("before"), F.max("after").alias("after"))
 
 

@@ -1,98 +1,173 @@
 """A named chunk store on any Hadoop-compatible filesystem (A15 and persistence of A7-A14).
 
-Layout: ``<root>/snapshots/<n>/`` holds Parquet files partitioned by
-``bucket`` (a hash of the article id, so id lookups prune folders), and
-``<root>/versions/`` has one small text file for each snapshot that was made
-live; the highest number is the live one.  Version files are only ever added,
-so no moment leaves a store without one, and a folder that has snapshots but no
-version is an error, never taken for a new store.
-
-Appends add files to the live snapshot (whole articles that are not stored yet,
-so a replayed batch adds nothing and two versions of an article never mix).
-Delete and reset write a new snapshot and then its version file, because a job
-cannot overwrite the files it is reading.  Readers that started before the
-switch keep reading the old snapshot.
+Layout: ``<root>/snapshots/commit=<c>/bucket=<b>/`` holds Parquet files, written
+once and never changed; ``bucket`` is a hash of the article id.
+``<root>/versions/<n>`` is the manifest of version ``n``: the schema, the number
+of buckets, and the files that are live.  The highest number is the live
+version; a folder that has snapshots but no version is an error, never taken for
+a new store.
+
+A write puts its files down first and then claims version ``n + 1`` by renaming a
+finished manifest to that name, which fails if another writer was there first
+(the filesystem's rename must not replace a file, as on HDFS).  The loser starts
+anew from the winner's version, so two writers never both win and no update is
+lost.  Its own files stay unused.
+
+Append, upsert and delete touch only the files that hold their articles: the
+buckets of the articles narrow the files down, and only files with a match are
+written anew.  All other files pass into the next version by name.  Lookups read
+the files of the buckets asked for; a small request is pushed down to Parquet,
+whose Bloom filters on ``id`` skip row groups.  Readers that began on an older
+version keep its files.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import json
+import re
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.operators import store as S
+from folio.operators.chunking import STORE_MAX_TOKENS, store_records
 
+# --- fixed values -----------------------------------------------------------
+ATTEMPTS = 20          # writers that were first so many times in a row make a write fail
+LOOKUP_IDS = 1000      # requests up to this size go into the plan as a filter
+CROWDED = 32           # files of a bucket from which compact() rewrites it
+# ---------------------------------------------------------------------------
 
-def _missing(error: AnalysisException) -> bool:
-    """True if a read failed as there is no such folder, or no data file in it."""
-    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+class LostRace(RuntimeError):
+    """Other writers claimed every version that this write tried to claim."""
 
 
 class ChunkStore:
-    """Handle on a store folder; every method returns DataFrames or counts."""
+    """Handle on a store folder; reads return DataFrames, writes counts."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None, buckets: int = S.STORE_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.buckets = buckets
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
 
     # -- versions -------------------------------------------------------------
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _names(self, folder: str) -> list[str]:
+        if not self._fs.exists(self._path(folder)):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))]
+
     def current_snapshot(self) -> int | None:
-        """Number of the live snapshot; None for a new store."""
-        try:
-            return self.spark.read.text(f"{self.root}/versions").agg(F.max(F.col("value").cast("int"))).first()[0]
-        except AnalysisException as e:
-            if not _missing(e):
-                raise
+        """Number of the live version; None for a new store."""
+        numbers = [int(n) for n in self._names("versions") if n.isdigit()]
+        if numbers:
+            return max(numbers)
+        if any(not n.startswith((".", "_")) for n in self._names("snapshots")):
+            raise ValueError(f"{self.root} holds snapshots but no version file")
+        return None
+
+    def _manifest(self) -> tuple[int | None, dict]:
+        n = self.current_snapshot()
+        if n is None:
+            return None, {"schema": self.schema and self.schema.jsonValue(), "buckets": self.buckets, "files": []}
+        about = json.loads(self.spark.read.text(f"{self.root}/versions/{n}", wholetext=True).first()[0])
+        self.buckets = about["buckets"]
+        if about["schema"]:
+            self.schema = T.StructType.fromJson(about["schema"])
+        return n, about
+
+    def _claim(self, n: int, manifest: dict) -> bool:
+        """Make ``manifest`` version ``n``; False if there is one already."""
+        mine = f"versions/.{uuid.uuid4().hex}"
+        self._fs.mkdirs(self._path("versions"))
+        out = self._fs.create(self._path(mine), False)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
         try:
-            self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.root}/snapshots")
-        except AnalysisException as e:
-            if not _missing(e):
+            won = not self._fs.exists(self._path(f"versions/{n}")) and self._fs.rename(self._path(mine), self._path(f"versions/{n}"))
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
                 raise
-            return None
-        raise ValueError(f"{self.root} holds snapshots but no version file")
-
-    def _snapshot_path(self, n: int) -> str:
-        return f"{self.root}/snapshots/{n}"
+            won = False
+        if not won:
+            self._fs.delete(self._path(mine), False)
+        return won
 
-    def _switch(self, n: int) -> None:
-        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/versions")
+    def _commit(self, change) -> object:
+        """Claim the next version with ``change(manifest) -> (files, result)``; begun anew whenever another writer was first."""
+        for _ in range(ATTEMPTS):
+            n, about = self._manifest()
+            if n is None:  # first, so that data never lie in a store without a version
+                self._claim(0, about)
+                continue
+            files, result = change(about)
+            if files == about["files"]:
+                return result
+            if self._claim(n + 1, {"schema": self.schema and self.schema.jsonValue(), "buckets": self.buckets, "files": files}):
+                return result
+        raise LostRace(f"{ATTEMPTS} versions of {self.root} were claimed by others")
 
     # -- reads ----------------------------------------------------------------
+    def _bucket(self, article_id: Column) -> Column:
+        return S.bucket_of(article_id, self.buckets)
+
+    def _in_buckets(self, files: list[str], buckets) -> list[str]:
+        wanted = {f"/bucket={b}/" for b in buckets}
+        return [f for f in files if re.search(r"/bucket=\d+/", f)[0] in wanted]
+
+    def _read(self, files: list[str]) -> DataFrame:
+        if self.schema is None:
+            raise ValueError("empty store without a schema")
+        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/snapshots")
+        return reader.parquet(*[f"{self.root}/{f}" for f in files])
+
     def is_open(self) -> bool:
         """True if the store has been written to."""
         return self.current_snapshot() is not None
 
     def df(self) -> DataFrame:
         """The live records (an empty frame with the schema when none were written)."""
-        n = self.current_snapshot()
-        if n is not None:
-            try:
-                return self.spark.read.parquet(self._snapshot_path(n))
-            except AnalysisException as e:
-                if not _missing(e):
-                    raise  # an empty snapshot has no data files, only its commit marker
-        if self.schema is None:
-            raise ValueError("empty store without a schema")
-        return self.spark.createDataFrame([], self.schema).withColumn("bucket", F.lit(None).cast("int"))
+        return self._read(self._manifest()[1]["files"]).select(*self.schema.names, "bucket")
 
-    def _touched(self, article_ids: DataFrame) -> DataFrame:
-        """Live records in the buckets of the given article ids (column ``article_id``).
+    def files(self) -> list[str]:
+        """The live files, relative to the store's folder."""
+        return self._manifest()[1]["files"]
 
-        The distinct buckets, at most ``STORE_BUCKETS`` numbers, go into the plan
-        as a filter on the partition column, so other folders are not read.
-        """
-        buckets = [r[0] for r in article_ids.select(S.bucket_of(F.col("article_id"))).distinct().collect() if r[0] is not None]
-        return self.df().where(F.col("bucket").isin(buckets))
+    def _touched(self, files: list[str], article_ids: DataFrame) -> list[str]:
+        """Files of the buckets of the given article ids; the distinct buckets are a few numbers at most."""
+        found = article_ids.select(self._bucket(F.col("article_id")).alias("b")).distinct().collect()
+        return self._in_buckets(files, [r["b"] for r in found if r["b"] is not None])
+
+    def _looked_up(self, ids: DataFrame) -> DataFrame:
+        """The records that a request can concern: of its buckets, and of its ids if they are few."""
+        files = self._manifest()[1]["files"]
+        few = ids.select("id", self._bucket(S.article_of(F.col("id"))).alias("b")).distinct().limit(LOOKUP_IDS + 1).collect()
+        if len(few) <= LOOKUP_IDS:
+            known = [r for r in few if r["id"] is not None]
+            buckets = sorted({r["b"] for r in known})
+            rows = self._read(self._in_buckets(files, buckets))
+            return rows.where(F.col("bucket").isin(buckets) & F.col("id").isin([r["id"] for r in known]))
+        return self._read(self._touched(files, ids.select(S.article_of(F.col("id")).alias("article_id"))))
 
     def get(self, ids: DataFrame) -> DataFrame:
         """The records with these ids (column ``id``)."""
-        return S.get(self._touched(ids.select(S.article_of(F.col("id")).alias("article_id"))), ids)
+        return S.get(self._looked_up(ids), ids).select(*self.schema.names, "bucket")
 
     def exists(self, ids: DataFrame) -> DataFrame:
         """A10: each requested id with a stored / not stored flag."""
-        return S.exists(ids, self._touched(ids.select(S.article_of(F.col("id")).alias("article_id"))))
+        return S.exists(ids, self._looked_up(ids))
 
     def list(self, limit: int | None = None) -> DataFrame:
         """All records ordered by id."""
@@ -103,54 +178,142 @@ class ChunkStore:
         return S.count(self.df())
 
     # -- writes ---------------------------------------------------------------
-    def _write(self, df: DataFrame, n: int, mode: str) -> None:
-        out = df.withColumn("bucket", S.bucket_of(F.col("article_id")))
+    def _write(self, rows: DataFrame) -> tuple[list[str], dict]:
+        """Put rows down as files of a new commit; their names, and the counts observed by the write itself."""
+        folder = f"snapshots/commit={uuid.uuid4().hex}"
+        seen = Observation()
+        out = rows.select(*self.schema.names).withColumn("bucket", self._bucket(F.col("article_id")))
+        out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col("chunk_index") == 0).alias("articles"))
         # adaptive execution joins small buckets in one task and splits large ones, so the number
-        # of tasks and files follows the size of the batch
-        out.hint("rebalance", F.col("bucket")).write.mode(mode).partitionBy("bucket").parquet(self._snapshot_path(n))
+        # of tasks and files follows the size of the rows
+        writer = out.hint("rebalance", F.col("bucket")).write.option("parquet.bloom.filter.enabled#id", "true")
+        writer.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+        written = self.spark.read.schema(self.schema).parquet(f"{self.root}/{folder}").inputFiles()
+        if not written:  # an empty plan may be cut down to nothing, its observation with it
+            return [], {"records": 0, "articles": 0}
+        return sorted(self._relative(f) for f in written), seen.get
+
+    @staticmethod
+    def _relative(path: str) -> str:
+        return path[path.rindex("/snapshots/") + 1:]
+
+    def _holding(self, files: list[str], keys: DataFrame, by: str) -> list[str]:
+        """Of ``files``, those with a row whose ``by`` is among the keys."""
+        if not files:
+            return []
+        rows = self._read(files).select(by, F.col("_metadata.file_path").alias("_file"))
+        found = rows.join(keys.select(by), by, "left_semi").select("_file").distinct().collect()   # at most the number of files
+        return sorted(self._relative(r["_file"]) for r in found)
 
     def append(self, records: DataFrame) -> int:
-        """A7 + A8: add the records of articles that are not stored; returns how many records.
+        """Add the records of articles that are not stored; returns how many records were written.
 
         Callers hand in one version of an article (see ``pages.one_per_id``).
         """
-        if self.schema is None:
-            self.schema = records.schema
-        n = self.current_snapshot()
-        if n is None:
-            n = 0
-            self._switch(n)  # first, so that data never lie in a store without a version
-        # both are used twice (buckets and rows; their number and the rows); a lost executor recomputes its part
-        batch = records.persist()
-        new = S.insert_new(self._touched(batch), batch).persist()
-        try:
-            added = new.count()
-            if added:
-                self._write(new, n, "append")
-            return added
-        finally:
-            new.unpersist()
-            batch.unpersist()
+        return self._append(records)["records"]
+
+    def _append(self, records: DataFrame) -> dict:
+        def change(about: dict):
+            if self.schema is None:
+                self.schema = records.schema
+            if not about["files"]:
+                files, seen = self._write(records)
+                return files, seen | {"known": 0}
+            # used twice (buckets and rows); a lost executor recomputes its part
+            batch = records.persist()
+            try:
+                stored = self._read(self._touched(about["files"], batch))
+                files, seen = self._write(S.insert_new(stored, batch))
+                handed = batch.agg(F.count_if(F.col("chunk_index") == 0)).first()[0]
+            finally:
+                batch.unpersist()
+            return about["files"] + files, seen | {"known": handed - seen["articles"]}
+        return self._commit(change)
+
+    def upsert(self, records: DataFrame, least: str | None = None) -> int:
+        """Put the records in place of their articles' stored ones; returns how many were written.
+
+        With ``least``, an article is replaced only by a version with a lesser value
+        of that column (one value an article), so batches may come in any order and
+        more than once, and the store ends with the least version of each.
+        """
+        def change(about: dict):
+            if self.schema is None:
+                self.schema = records.schema
+            batch = records.persist()
+            try:
+                touched = self._touched(about["files"], batch)
+                winners = batch
+                if least and touched:
+                    stored = self._read(touched).groupBy("article_id").agg(F.min(least).alias("_stored"))
+                    beaten = batch.join(stored, "article_id").where(F.col("_stored") <= F.col(least)).select("article_id").distinct()
+                    winners = batch.join(beaten, "article_id", "left_anti").select(*batch.columns).persist()
+                articles = winners.select("article_id").distinct()
+                old = self._holding(touched, articles, "article_id")
+                rest = S.delete(self._read(old), articles, by="article_id").select(*self.schema.names)
+                added = winners.count()
+                files, _ = self._write(rest.unionByName(winners.select(*self.schema.names))) if added else ([], None)
+                if winners is not batch:
+                    winners.unpersist()
+            finally:
+                batch.unpersist()
+            return [f for f in about["files"] if f not in set(old)] + files, added
+        return self._commit(change)
 
     def delete(self, ids: DataFrame, by: str = "id") -> None:
-        """New snapshot without the ids, then the version switch."""
-        n = self.current_snapshot()
-        if n is None:
-            return
-        kept = S.delete(self.df(), ids, by=by)
-        self.schema = kept.drop("bucket").schema
-        self._write(kept, n + 1, "overwrite")
-        self._switch(n + 1)
+        """The next version without the ids; only files that hold one of them are written anew."""
+        def change(about: dict):
+            if not about["files"]:
+                return about["files"], None
+            keys = ids.select(by).distinct()
+            article = F.col("article_id") if by == "article_id" else S.article_of(F.col("id"))
+            old = self._holding(self._touched(about["files"], keys.select(article.alias("article_id"))), keys, by)
+            files, _ = self._write(S.delete(self._read(old), keys, by=by)) if old else ([], None)
+            return [f for f in about["files"] if f not in set(old)] + files, None
+        if self.is_open():
+            self._commit(change)
 
     def reset(self) -> None:
-        """An empty snapshot with the same schema."""
-        n = self.current_snapshot()
-        base = self.df()
-        self.schema = base.drop("bucket").schema
-        self._write(base.limit(0), (n or 0) + 1, "overwrite")
-        self._switch((n or 0) + 1)
+        """A version without files and with the same schema."""
+        self._commit(lambda about: ([], None))
+
+    def compact(self, crowded: int = CROWDED) -> int:
+        """Write buckets of at least ``crowded`` files anew, as many small appends leave them; returns how many."""
+        def change(about: dict):
+            sizes: dict[str, int] = {}
+            for f in about["files"]:
+                b = re.search(r"/bucket=(\d+)/", f)[1]
+                sizes[b] = sizes.get(b, 0) + 1
+            full = [b for b, n in sizes.items() if n >= crowded]
+            if not full:
+                return about["files"], 0
+            old = self._in_buckets(about["files"], full)
+            files, _ = self._write(self._read(old))
+            return [f for f in about["files"] if f not in set(old)] + files, len(full)
+        return self._commit(change)
+
+    # -- articles -------------------------------------------------------------
+    def store_articles(self, articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, columns: list[str] | None = None) -> DataFrame:
+        """A7 + A8: chunk and append articles; one row ``(success, failed)``, zeros for an empty batch.
+
+        Articles without a title or content go to a side table
+        (:meth:`failed_articles`).  Both counts are observed by the writes
+        themselves; an article that is stored already counts as a success.
+        """
+        seen = Observation()
+        bad = articles.where(~S.storable()).observe(seen, F.count(F.lit(1)).alias("failed"))
+        folder = f"{self.root}/failed/commit={uuid.uuid4().hex}"
+        bad.write.parquet(folder)
+        failed = 0 if self.spark.read.schema(articles.schema).parquet(folder).isEmpty() else seen.get["failed"]
+        records = store_records(articles.where(S.storable()), max_tokens=max_tokens)
+        done = self._append(records.select(*columns) if columns else records)
+        return self.spark.createDataFrame([(done["articles"] + done["known"], failed)], "success bigint, failed bigint")
+
+    def failed_articles(self) -> DataFrame | None:
+        """The articles that :meth:`store_articles` could not store; None if it never ran."""
+        return self.spark.read.parquet(f"{self.root}/failed").drop("commit") if self._names("failed") else None
 
 
-def open_store(spark: SparkSession, root: str, schema: T.StructType | None = None) -> ChunkStore:
-    """Open the named store, or a new empty one when the folder has none."""
-    return ChunkStore(spark, root, schema)
+def open_store(spark: SparkSession, root: str, schema: T.StructType | None = None, buckets: int = S.STORE_BUCKETS) -> ChunkStore:
+    """Open the named store, or a new empty one when the folder has none (``buckets`` is fixed by its first version)."""
+    return ChunkStore(spark, root, schema, buckets)

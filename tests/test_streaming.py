@@ -30,3 +30,21 @@ def test_stream_equals_batch_over_several_files(spark):
     assert sorted(map(tuple, streamed.select(*key).collect())) == sorted(map(tuple, batch.select(*key).collect()))
     assert streamed.count() == first_count      # the re-crawled file added nothing
     assert os.path.basename(store_root)
+
+
+def test_least_page_wins_whatever_the_batches(spark):
+    """Each URL is crawled three times; the files arrive in two different orders."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").limit(20)
+    n = F.lit(1000)
+    crawls = [pages.withColumn("page_id", F.col("page_id") + k * n).withColumn("html", F.regexp_replace("html", "</title>", f" crawl {k}</title>")) for k in range(3)]
+    results = []
+    for order in ((2, 0, 1), (1, 2, 0)):
+        folder = work_dir(spark, "test-orders")
+        for k in order:
+            crawls[k].coalesce(1).write.mode("append").parquet(folder)
+        store = run_ingest(spark, folder, work_dir(spark, "test-order-store"), max_tokens=60, files_per_trigger=1)
+        results.append(sorted((r.id, r.page_id, r.title, r.document) for r in store.df().collect()))
+    fields = P.drop_incomplete(P.page_fields(P.fetchable(crawls[0].unionByName(crawls[1]).unionByName(crawls[2]))))
+    batch = store_records(P.one_per_id(P.assemble(fields, F.lit(None).cast("timestamp_ntz"), keep=("page_id",))), max_tokens=60)
+    want = sorted((r.id, r.page_id, r.title, r.document) for r in batch.collect())
+    assert results == [want, want] and len(want) >= 20
