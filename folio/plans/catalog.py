@@ -277,10 +277,10 @@ def merge_topics(spark, sf):
         "doc_id", F.coalesce(_bar(F.col("topics")), F.lit("")).alias("topics"))
 
 
-def _request_responses(spark, sf, requests: DataFrame) -> DataFrame:
+def _request_responses(spark, sf, requests: DataFrame, *keep: str) -> DataFrame:
     arts = _doc_articles(spark, sf).select(F.col("id").alias("request_id"), "doc_id", "lang", "source")
     return requests.select("request_id", "part").join(arts, "request_id").select(
-        "request_id", "part", D.planted_body(F.col("doc_id"), F.col("part"), F.col("lang"), F.col("source")).alias("body"))
+        "request_id", "part", D.planted_body(F.col("doc_id"), F.col("part"), F.col("lang"), F.col("source")).alias("body"), *keep)
 
 
 def enrich_articles(spark, sf):
@@ -438,6 +438,16 @@ def stream_questions(spark, sf):
     return run_questions_from_table(spark, sf, k=Q.QUESTION_K)
 
 
+def stream_enrich(spark, sf):
+    from folio.streaming.replies import run_replies
+    root = work_dir(spark, "stream-enrich")
+    store = _written(spark, _store(spark, sf))
+    requests = E.prompt_requests(_routed(spark, sf)).select("request_id", "part", "parts", "route")
+    replies = _request_responses(spark, sf, requests, "doc_id")
+    run_replies(store, D.request_files(requests, f"{root}/requests"), D.reply_files(replies, f"{root}/replies"), f"{root}/run")
+    return store.df().where("chunk_index = 0").select(F.col("article_id").alias("request_id"), "summary", _bar(F.col("topics")).alias("topics"))
+
+
 QUERIES: dict[str, Query] = {
     "url_list_scan": url_list_scan,
     "url_valid": url_valid,
@@ -493,4 +503,5 @@ QUERIES: dict[str, Query] = {
     "store_reset": store_reset,
     "stream_ingest": stream_ingest,
     "stream_questions": stream_questions,
+    "stream_enrich": stream_enrich,
 }

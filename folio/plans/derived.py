@@ -124,6 +124,27 @@ def merge_replies(articles: DataFrame) -> DataFrame:
     return articles.where(d % 3 != 2).select(F.col("id").alias("request_id"), body.alias("body"))
 
 
+def request_files(requests: DataFrame, path: str) -> str:
+    """Model requests as files of a stream, all asked at the run's start; one more, hours later, moves the watermark."""
+    at = F.lit(RUN_START).cast("timestamp")
+    rows = requests.select("request_id", "part", "parts", "route", at.alias("requested_at"))
+    last = requests.sparkSession.range(1).select(F.lit("last").alias("request_id"), F.lit(1).alias("part"), F.lit(1).alias("parts"), F.lit("single").alias("route"),
+                                                 (at + F.expr("interval 3 hours")).alias("requested_at"))
+    rows.unionByName(last).write.parquet(path)
+    return path
+
+
+def reply_files(replies: DataFrame, path: str) -> str:
+    """Replies ``(request_id, part, doc_id, body)`` as files of a stream: some never come, some come too late."""
+    at, d = F.lit(RUN_START).cast("timestamp"), F.col("doc_id")
+    minutes = F.when(d % 31 == 0, F.expr("interval 40 minutes")).otherwise(F.expr("interval 2 minutes"))
+    rows = replies.where(d % 29 != 0).select("request_id", "part", "body", (at + minutes).alias("replied_at"))
+    last = replies.sparkSession.range(1).select(F.lit("last").alias("request_id"), F.lit(1).alias("part"), F.lit("{}").alias("body"),
+                                                (at + F.expr("interval 3 hours")).alias("replied_at"))
+    rows.unionByName(last).write.parquet(path)
+    return path
+
+
 def long_texts(conversations: DataFrame) -> DataFrame:
     """Conversation texts in turn order joined by a blank line, one row per conversation.
 

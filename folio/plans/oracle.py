@@ -606,12 +606,18 @@ SQL["merge_summaries"] = with_(PART_RESP, recursive=True) + merge_summaries_sql(
 SQL["merge_topics"] = with_(PART_RESP, f"mt AS ({merge_topics_sql('parsed_parts', 'doc_id')})", recursive=True) + \
     "SELECT d.doc_id, coalesce(mt.topics, '') AS topics FROM documents d LEFT JOIN mt ON mt.doc_id = d.doc_id"
 
-ENRICH = f"""resp AS (SELECT request_id, part, route, {planted('doc_id', 'part', 'lang', 'source')} AS body FROM requests),
-resp_p AS (SELECT * FROM {parsed('resp')}),
+ENRICHED = f"""resp_p AS (SELECT * FROM {parsed('resp')}),
 e_single AS ({single_parse("(SELECT * FROM resp_p WHERE route = 'single')")}),
 e_parts AS ({part_parse("(SELECT * FROM resp_p WHERE route = 'parts')")}),
 e_ms AS ({merge_summaries_sql('e_parts', 'request_id')}),
 e_mt AS ({merge_topics_sql('e_parts', 'request_id')})"""
+REPLY = planted('doc_id', 'part', 'lang', 'source')
+ENRICH = f"""resp AS (SELECT request_id, part, route, {REPLY} AS body FROM requests),
+{ENRICHED}"""
+SQL["stream_enrich"] = with_(DOC_ARTICLES, ROUTED, REQUESTS, f"""resp AS (SELECT request_id, part, route, CASE WHEN doc_id % 29 <> 0 AND doc_id % 31 <> 0 THEN {REPLY} END AS body FROM requests),
+{ENRICHED}""", recursive=True) + """SELECT request_id, summary, array_to_string(topics, '|') AS topics FROM e_single
+UNION ALL
+SELECT s.request_id, s.summary, coalesce(t.topics, '') FROM e_ms s LEFT JOIN e_mt t ON t.request_id = s.request_id"""
 SQL["enrich_articles"] = with_(DOC_ARTICLES, ROUTED, REQUESTS, ENRICH, recursive=True) + """
 SELECT request_id, 'single' AS route, summary, array_to_string(topics, '|') AS topics FROM e_single
 UNION ALL

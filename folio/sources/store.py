@@ -260,6 +260,30 @@ class ChunkStore:
             return [f for f in about["files"] if f not in set(old)] + files, added
         return self._commit(change)
 
+    def annotate(self, values: DataFrame) -> int:
+        """Set columns of stored records from ``values``, one row per ``article_id``; returns how many articles were found.
+
+        Articles that are not stored are passed over.  Only files that hold one of the articles are written anew.
+        """
+        names = [c for c in values.columns if c != "article_id"]
+
+        def change(about: dict):
+            given = values.persist()
+            try:
+                touched = self._touched(about["files"], given) if about["files"] else []
+                old = self._holding(touched, given, "article_id")
+                if not old:
+                    return about["files"], 0
+                new = given.select("article_id", F.struct(*names).alias("_new"))
+                rows = self._read(old).join(new, "article_id", "left")
+                put = [F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in self.schema.names]
+                files, _ = self._write(rows.select(*put))
+                found = self._read(old).join(given, "article_id", "left_semi").select("article_id").distinct().count()
+            finally:
+                given.unpersist()
+            return [f for f in about["files"] if f not in set(old)] + files, found
+        return self._commit(change) if self.is_open() else 0
+
     def delete(self, ids: DataFrame, by: str = "id") -> None:
         """The next version without the ids; only files that hold one of them are written anew."""
         def change(about: dict):

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 
 SMALL = "/root/testdata/sf0.001"
-STREAMING = {"stream_ingest", "stream_questions"}
+STREAMING = {"stream_ingest", "stream_questions", "stream_enrich"}
 
 
 def _plan(spark, name):

@@ -48,3 +48,38 @@ def test_least_page_wins_whatever_the_batches(spark):
     batch = store_records(P.one_per_id(P.assemble(fields, F.lit(None).cast("timestamp_ntz"), keep=("page_id",))), max_tokens=60)
     want = sorted((r.id, r.page_id, r.title, r.document) for r in batch.collect())
     assert results == [want, want] and len(want) >= 20
+
+
+def test_replies_arrive_late_or_never(spark):
+    """Replies in time, in the wrong order, twice, too late and not at all; over several runs of one stream."""
+    from datetime import datetime, timedelta
+
+    from folio.operators.enrich import FAILED, FAILED_PART
+    from folio.sources.store import open_store
+    from folio.streaming.replies import REPLY_SCHEMA, REQUEST_SCHEMA, run_replies
+
+    at = lambda m: datetime(2025, 1, 1) + timedelta(minutes=m)
+    root = work_dir(spark, "test-replies")
+    store = open_store(spark, f"{root}/store")
+    store.append(spark.createDataFrame([(f"{a}_chunk_{c}", a, c, "text", None, []) for a in "abcde" for c in range(2)],
+                                       "id string, article_id string, chunk_index int, document string, summary string, topics array<string>"))
+    body = lambda s, *t: '{"summary": "%s", "topics": [%s]}' % (s, ", ".join(f'"{x}"' for x in t))
+
+    def arrive(requests, replies):
+        for name, rows, schema in (("requests", requests, REQUEST_SCHEMA), ("replies", replies, REPLY_SCHEMA)):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+        run_replies(store, f"{root}/requests", f"{root}/replies", f"{root}/run", "10 minutes", "1 minute", files_per_trigger=1)
+        return {r.article_id: (r.summary, r.topics) for r in store.df().where("chunk_index = 0").collect()}
+
+    first = arrive([("a", 1, 1, "single", at(0)), ("b", 1, 2, "parts", at(0)), ("b", 2, 2, "parts", at(0)), ("c", 1, 1, "single", at(1)), ("gone", 1, 1, "single", at(1))],
+                   [("a", 1, body("sum a", "x"), at(2)), ("b", 2, body("two", "Y", "z"), at(2)), ("gone", 1, body("g"), at(2))])
+    assert first["a"] == ("sum a", ["x"]) and first["b"] == (None, []) and first["c"] == (None, [])
+    second = arrive([("d", 1, 2, "parts", at(5)), ("d", 2, 2, "parts", at(5))],
+                    [("b", 1, body("one", "y"), at(6)), ("a", 1, body("again", "q"), at(7)), ("d", 1, body("d1", "t"), at(6))])
+    assert second["a"] == ("sum a", ["x"]) and second["b"] == ("one two", ["y", "z"]) and second["d"] == (None, [])
+    arrive([("e", 1, 1, "single", at(60))], [("e", 1, body("sum e"), at(61)), ("c", 1, body("too late"), at(59))])
+    last = arrive([("f", 1, 1, "single", at(120))], [("f", 1, body("f"), at(121))])   # moves the watermarks
+    assert last["c"] == (FAILED, []) and last["e"] == ("sum e", [])
+    assert last["d"] == ("d1 " + FAILED_PART.replace("{}", "2"), ["t"])
+    assert store.df().where("summary is null").count() == 0 and store.df().count() == 10
+    assert sorted({r.epoch for r in spark.read.parquet(f"{root}/run/settled").collect()})[0] == 0
