@@ -27,6 +27,7 @@ from folio.operators.keywords import keywords
 from folio.operators.routing import analysis_route, context_limit
 from folio.plans import derived as D
 from folio.session import work_dir
+from folio.sources.export import export
 from folio.sources.store import ChunkStore, open_store
 from folio.sources.urllist import read_url_run
 
@@ -170,6 +171,13 @@ def export_key(spark, sf):
                     X.file_key(X.py_strip(F.col("raw_title"))).alias("title_key"))
 
 
+def export_write(spark, sf):
+    """Page titles written to a folder for each domain and read back."""
+    pages = _t(spark, sf, "pages")
+    f = P.page_fields(pages).select("page_id", "url", X.py_strip(F.col("raw_title")).alias("title"), U.netloc(F.col("url")).alias("domain"))
+    return export(f, work_dir(spark, "export"), "domain")
+
+
 def batch_assign(spark, sf):
     pages = _t(spark, sf, "pages").select("page_id", U.netloc(F.col("url")).alias("domain"))
     return R.batch_assign(pages, "domain", "page_id", BATCH_SIZE).select("page_id", "domain", "batch_no", "batch_pos")
@@ -470,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "token_count": token_count,
     "email_audit": email_audit,
     "export_key": export_key,
+    "export_write": export_write,
     "batch_assign": batch_assign,
     "size_report": size_report,
     "duration_report": duration_report,

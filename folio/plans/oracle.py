@@ -512,6 +512,9 @@ def file_key(x: str) -> str:
 
 SQL["export_key"] = with_(FIELDS) + f"SELECT page_id, {file_key('url')} AS url_key, {file_key(strip('raw_title'))} AS title_key FROM fields"
 
+SQL["export_write"] = with_(FIELDS) + f"""SELECT page_id, url, {strip('raw_title')} AS title, {netloc('url')} AS domain,
+  {file_key(netloc('url'))} AS file_key FROM fields"""
+
 SQL["batch_assign"] = f"""SELECT page_id, domain, CAST((rn - 1) // {C.BATCH_SIZE} AS INTEGER) AS batch_no,
   CAST((rn - 1) % {C.BATCH_SIZE} AS INTEGER) AS batch_pos
 FROM (SELECT page_id, {netloc('url')} AS domain, row_number() OVER (PARTITION BY {netloc('url')} ORDER BY page_id) AS rn FROM pages)"""

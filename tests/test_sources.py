@@ -2,7 +2,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from folio.functions.text import file_key
 from folio.functions.tokens import pandas_token_counter
+from folio.session import work_dir
+from folio.sources.export import export, export_keys
 from folio.sources.urllist import read_url_lines, read_url_list, read_url_run
 
 SAMPLE = """# a comment
@@ -52,3 +55,23 @@ def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
             spark.conf.unset("spark.sql.files.openCostInBytes")
         assert [(r.line_no, r.value) for r in rows] == want
         assert [r.pos for r in rows] == list(range(len(want))) and [r.url for r in run] == [v for _, v in want]
+
+
+def test_export_keeps_names_apart(spark):
+    path = work_dir(spark, "test-export")
+    long = "https://x.org/" + "é" * 300
+    rows = [(1, "a/b"), (2, "a:b"), (3, "a|b"), (4, None), (5, ""), (6, " . "), (7, long), (8, long + "x"), (9, "plain"), (10, "plain")] + [(n, "hot") for n in range(20, 320)]
+    df = spark.createDataFrame(rows, "n long, name string")
+    out = export(df, path, "name", max_rows=100)
+    assert sorted((r.n, r.name) for r in out.collect()) == sorted(rows)
+    keys = {r.name: r.file_key for r in export_keys(spark, path).collect()}
+    assert len(keys) == len(set(keys.values())) == 9 and keys["a/b"] == "a_b" and keys["plain"] == "plain"
+    assert len([f for f in out.inputFiles() if "file_key=hot/" in f]) >= 3
+    # a later run with a name that comes before all others of its key: known names keep their folders
+    more = spark.createDataFrame([(11, "a*b"), (12, "a/b")], "n long, name string")
+    out = export(more, path, "name")
+    assert {r.name: r.file_key for r in export_keys(spark, path).collect()}.items() >= keys.items()
+    assert sorted((r.n, r.name) for r in out.where("n < 13").collect()) == sorted([(12, "a/b"), (11, "a*b"), *rows[1:10]])
+    again = export(more, path, "name")
+    assert again.count() == 300 + 11 and export_keys(spark, path).count() == 10
+    assert df.where("n = 2").select(file_key(F.col("name")).alias("k")).first().k == "a_b"
