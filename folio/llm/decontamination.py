@@ -12,7 +12,8 @@ A window begins at every word of a text and of an item (in scripts without
 blanks at every character), so an item is entered from all of its words and
 needs no word to be equal.  The length of the walks, the sampled steps and the
 votes go by the length of the item (``TIERS``); walks are made for the tiers
-that have items.  Places with enough votes pass a bound that loses nothing (an
+that have items, and a walk ends early when no item has its first sampled steps
+(which loses nothing).  Places with enough votes pass a bound that loses nothing (an
 edit touches at most q of an item's q-grams, so the others must be near the
 hit), and are then verified exactly: the least edit distance, in characters,
 between the item and any part of the text around the hit must be at most
@@ -43,7 +44,11 @@ LEAST_SIMILARITY = 0.8
 #: least characters of an item, steps of its walks, steps sampled, independent walks, least votes
 TIERS = ((60, 28, 14, 6, 2), (20, 16, 7, 6, 1), (6, 6, 3, 4, 1), (1, 1, 1, 1, 1))
 VOTE_CHARS = 40            # characters of an item for each vote asked for, above the least
+MOST_VOTES = 8             # votes asked for at most: in a long item with one-sided edits few anchors agree on a place
 NEAR = 10                  # characters between places that count as one
+LONG = 400                 # characters of an item from which a quarter of its edits may lie between them
+TEST_BITS = 20             # of a key, that select the walks worth finishing
+PLACE_BITS = 33            # of a place in a text (which may begin ahead of it) beside its text and item
 GRAMS = (2, 3)             # q-grams of the bound before verification
 BLOCK_ITEMS = 4096
 SLICE_BYTES = 1 << 20
@@ -113,15 +118,38 @@ class Symbols:
         return int(np.searchsorted(self.words, max(at, first)) - np.searchsorted(self.words, first))
 
 
-def walk_keys(low: np.ndarray, starts: np.ndarray, walk: list) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the sampled steps of the walks from ``starts``, and the last characters seen."""
-    keys, pointer, seen = np.zeros(len(starts), np.uint64), starts.astype(np.int32 if len(low) < 1 << 31 else np.int64), None
+def walk_keys(low: np.ndarray, starts: np.ndarray, walk: list, tests: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """Keys of the sampled steps of the walks from ``starts``, the last characters seen, and which walks these are.
+
+    With ``tests``, only walks whose key of the first ``n`` sampled steps passes
+    ``tests[n]``, for each such ``n``, are walked on; the others cannot meet the
+    tests' items.
+    """
+    which = np.arange(len(starts))
+    keys, pointer, seen = np.zeros(len(starts), np.uint64), starts.astype(np.int32 if len(low) < 1 << 31 else np.int64), low[starts]
+    sampled = 0
     for moves, numbers in walk:
         seen = low[pointer]
         if numbers is not None:
             keys += numbers[seen]
+            sampled += 1
+            if tests and sampled in tests:
+                on = np.flatnonzero(tests[sampled][(_mix(keys) >> np.uint64(64 - TEST_BITS)).astype(np.int64)])
+                which, keys, pointer, seen = which[on], keys[on], pointer[on], seen[on]
         pointer += moves[seen]
-    return _mix(keys), seen
+    return _mix(keys), seen, which
+
+
+def _tests(low: np.ndarray, starts: np.ndarray, walk: list) -> dict[int, np.ndarray]:
+    """For some numbers of sampled steps: the keys that the walks from ``starts`` have there, as marks by leading bits."""
+    steps = np.flatnonzero([n is not None for _, n in walk])
+    out = {}
+    for n in sorted({len(steps) * k // 7 for k in (3, 4, 5, 7)} - {0}):
+        keys, _, _ = walk_keys(low, starts, walk[:steps[n - 1] + 1])
+        marks = np.zeros(1 << TEST_BITS, bool)
+        marks[(keys >> np.uint64(64 - TEST_BITS)).astype(np.int64)] = True
+        out[n] = marks
+    return out
 
 
 def _grams(low: np.ndarray, q: int) -> np.ndarray:
@@ -170,18 +198,17 @@ class Index:
         size = (own.stop - own.start)[item] if len(items) else item
         least_size = np.array([t[0] for t in TIERS])
         tier = np.argmax(size[:, None] >= least_size[None, :], axis=1)
-        self.votes = [max(len(s) // VOTE_CHARS, next((t[4] for t in TIERS if len(s) >= t[0]), 1)) for s in self.lines]
-        self.tables = []                                     # (walk, keys, items, places in the items, quick test)
+        self.votes = np.array([max(min(len(s) // VOTE_CHARS, MOST_VOTES), next((t[4] for t in TIERS if len(s) >= t[0]), 1)) for s in self.lines])
+        self.near = np.array([max(NEAR, limit // 4) if len(s) >= LONG else NEAR for s, limit in zip(self.lines, self.limits)], np.int64)
+        self.tables = []                                     # (walk, keys, items, places in the items, tests)
         for k, walks in enumerate(_WALKS):
             mine = own.windows[tier == k]
             for walk in walks if len(mine) else ():
-                keys, seen = walk_keys(own.low, mine, walk)
+                keys, seen, _ = walk_keys(own.low, mine, walk)
                 whole = np.flatnonzero(seen)                 # walks that do not leave the item
                 order = whole[np.argsort(keys[whole], kind="stable")]
-                quick = np.zeros(1 << 20, bool)
-                quick[(keys[order] >> np.uint64(44)).astype(np.int64)] = True
                 text = own.text_of(mine[order])
-                self.tables.append((walk, keys[order], text, mine[order] - own.start[text], quick))
+                self.tables.append((walk, keys[order], text, mine[order] - own.start[text], _tests(own.low, mine[order], walk)))
         self.marks = [np.zeros(1 << 16, bool) for _ in GRAMS]
 
     def _possible(self, item: int, low: np.ndarray) -> bool:
@@ -204,23 +231,24 @@ class Index:
         own = Symbols(texts)
         text = own.text_of(own.windows)
         hits = []
-        for walk, table, items, before, quick in self.tables:
-            keys, _ = walk_keys(own.low, own.windows, walk)
-            some = np.flatnonzero(quick[(keys >> np.uint64(44)).astype(np.int64)])
-            lo, hi = (np.searchsorted(table, keys[some], side=s) for s in ("left", "right"))
+        for walk, table, items, before, tests in self.tables:
+            keys, _, some = walk_keys(own.low, own.windows, walk, tests)
+            lo, hi = (np.searchsorted(table, keys, side=s) for s in ("left", "right"))
             count = hi - lo
             entry = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)
             doc = np.repeat(text[some], count)
             hits.append(np.stack([doc * len(self.ids) + items[entry], np.repeat(own.windows[some], count) - own.start[doc] - before[entry]]))
         pair, at = np.concatenate(hits, axis=1)          # a place may begin ahead of its text, where words are missing
-        key = np.sort((pair << 31) + at + (1 << 20))     # places of one item in one text lie side by side
-        votes = np.searchsorted(key, key + NEAR, side="right") - np.searchsorted(key, key - NEAR, side="left")
-        key = np.unique(key[votes >= np.array(self.votes)[(key >> 31) % len(self.ids)]])
+        ahead = 1 << (PLACE_BITS - 1)
+        key = np.sort((pair << PLACE_BITS) + at + ahead)  # places of one item in one text lie side by side
+        item = (key >> PLACE_BITS) % len(self.ids)
+        votes = np.searchsorted(key, key + self.near[item], side="right") - np.searchsorted(key, key - self.near[item], side="left")
+        key = np.unique(key[votes >= self.votes[item]])
         best: dict[tuple[int, int], tuple[int, int]] = {}
         done: dict[tuple[int, int], int] = {}
         for k in key.tolist():
-            doc, item = divmod(k >> 31, len(self.ids))
-            first, at = int(own.start[doc]), (k & ((1 << 31) - 1)) - (1 << 20) + int(own.start[doc])
+            doc, item = divmod(k >> PLACE_BITS, len(self.ids))
+            first, at = int(own.start[doc]), (k & ((1 << PLACE_BITS) - 1)) - ahead + int(own.start[doc])
             if best.get((doc, item), (1,))[0] == 0 or at <= done.get((doc, item), -1 << 60):
                 continue
             size, limit = len(self.lines[item]), self.limits[item]
