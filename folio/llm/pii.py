@@ -2,7 +2,9 @@
 
 Entities are found by patterns: e-mail addresses, phone numbers, IPv4
 addresses, payment card numbers (with a right check digit), US social security
-numbers, and names after a form of address.  Each mention has a key (digits
+numbers, and names after a form of address and wherever they come again in the
+text.  A run of digits in groups is a card, or else what its parts are (so a
+telephone number beside another number is found; a date stays).  Each mention has a key (digits
 only, lower case) that is equal for equal entities however they are written,
 so coreference holds within and between texts.
 
@@ -27,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 from typing import Iterator
 
 import pyarrow as pa
@@ -54,15 +57,19 @@ SURROGATE_DOMAIN = "surrogate.invalid"
 
 KEY = b"folio surrogate key"   # a parameter: whoever holds it can redo the mapping
 MAX_DRAWS = 64
-GATE = r"@|[0-9]{3}-[0-9]{2}-|[0-9][0-9 ().\-]{5,}[0-9]|\b(?:" + "|".join(" ".join(TITLES.values()).split()) + r")\b"
+GATE = r"@|[0-9]{3}-[0-9]{2}-|[0-9][0-9 ().\-]{5,}[0-9]|(?<![\p{L}\p{N}_])(?:" + "|".join(" ".join(TITLES.values()).split()) + r")(?![\p{L}\p{N}_])"
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_PHONE = r"(?P<phone>(?<![\w(+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<!\w)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\w))"
+_SSN = r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
+#: What a run of digits can hold: cards as they are written, dates (which stay), telephone and social security numbers.
+_IN_RUN = re.compile(r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<by>[ -])\d{4}(?P=by)\d{4}(?P=by)\d{4}(?P<tail>(?P=by)\d{1,3})?|\d{4}(?P<of>[ -])\d{6}(?P=of)\d{4,5})(?!\w))"
+                     r"|(?P<date>(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-]))|" + _PHONE + "|" + _SSN)
 _PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d))"
-    r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
-    r"|(?P<phone>(?<![\w(+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<!\w)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\w))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
+    r"|(?P<run>(?<![\w-])\d(?:[ -]?\d){12,}(?![\w-]))"
+    r"|" + _PHONE + "|" + _SSN +
     r"|(?P<person>(?<!\w)(?:" + "|".join(" ".join(TITLES.values()).split()) + r")\.?\x20(?P<name>" + _NAME + r"(?:\x20" + _NAME + r")?))")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts.split()}
 
@@ -77,25 +84,66 @@ def _script(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _in_run(text: str, lo: int, hi: int) -> list[tuple[int, int, str, str]]:
+    """Entities of a run of digits in groups: one card, or what its parts are."""
+    found, at, plain = [], lo, True
+    while (m := _IN_RUN.search(text, at)) and m.start() < hi:
+        kind, end = "card" if m["card"] else m.lastgroup, m.end()
+        if kind == "card" and m["tail"] and _luhn(re.sub(r"\D", "", text[m.start():m.start("tail")])):
+            end = m.start("tail")   # sixteen digits, and another number beside them
+        key = re.sub(r"\D", "", text[m.start():end])
+        if kind == "card" and not _luhn(key):
+            at = m.start() + 1      # something else may begin inside
+            continue
+        plain = plain and kind == "card"
+        if kind != "date":
+            found.append((m.start(), end, kind, key))
+        at = end
+    digits = re.sub(r"\D", "", text[lo:hi])
+    if not found and plain and 13 <= len(digits) <= 19 and _luhn(digits):
+        return [(lo, hi, "card", digits)]
+    return found
+
+
 def mentions(text: str | None) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, key) of the entities of a text, in order and apart."""
-    out = []
-    for m in _PATTERN.finditer(text or ""):
+    """(start, end, kind, key) of the entities of a text, in order and apart.
+
+    A person is found behind a title; the words of that name count wherever else
+    they stand with a capital in the text.
+    """
+    text, out, at = text or "", [], 0
+    names: dict[str, str] = {}
+    while m := _PATTERN.search(text, at):
         kind, (lo, hi) = m.lastgroup, m.span()
+        at = hi
         if m["name"]:
             gender = _GENDER[re.match(r"\w+", m[0])[0]]
-            at = m.start("name")
+            begin = m.start("name")
             for k, word in enumerate(re.finditer(_NAME, m["name"])):
                 if not word[0][0].isupper():
                     break
                 whole = m["name"].count(" ") == 0
                 role = "surname" if k or whole else "given"   # a surname alone meets the one after a given name
-                out.append((at + word.start(), at + word.end(), f"{role}:{gender if role == 'given' else 'n'}:{_script(word[0])}", word[0].casefold()))
-            continue
-        key = m[0].lower() if kind == "email" else m[0] if kind == "ip" else re.sub(r"\D", "", m[0])
-        if kind == "card" and not _luhn(key):
-            continue
-        out.append((lo, hi, kind, key))
+                kind = f"{role}:{gender if role == 'given' else 'n'}:{_script(word[0])}"
+                out.append((begin + word.start(), begin + word.end(), kind, word[0].casefold()))
+                if len(word[0]) > 1:
+                    names.setdefault(word[0].casefold(), kind)
+        elif kind == "run":
+            found = _in_run(text, lo, hi)
+            out += found
+            at = max([hi, *(f[1] for f in found)])
+        else:
+            out.append((lo, hi, kind, m[0].lower() if kind == "email" else m[0] if kind == "ip" else re.sub(r"\D", "", m[0])))
+    if names:
+        taken = {f[0] for f in out}
+        spans = sorted((lo, hi) for lo, hi, *_ in out)
+        begins = [lo for lo, _ in spans]
+        for word in re.finditer(_NAME, text):
+            lo, key = word.start(), word[0].casefold()
+            before = bisect_right(begins, lo) - 1
+            if key in names and word[0][0].isupper() and lo not in taken and (before < 0 or spans[before][1] <= lo):
+                out.append((lo, word.end(), names[key], key))
+        out.sort()
     return out
 
 
