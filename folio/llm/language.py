@@ -160,11 +160,13 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     rows = rows.drop(l_).withColumn(p_, _likelihoods(table)(F.col(t_)))
     hosts, said = _levels(rows.select(F.col(h_).alias("host"), F.col(s_).alias("suffix"), F.col(d_).alias("declared"),
                                       _softmax(F.col(p_)).alias("p")), len(langs))
-    out = rows.join(hosts, rows[h_].eqNullSafe(hosts["host_key"]) & rows[s_].eqNullSafe(hosts["suffix_key"]), "left")
-    out = out.join(said, F.col(d_) == said["declared_key"], "left")
+    hk_, sk_, hl_, dk_, dl_ = unused(rows, "host_key", "suffix_key", "host_log", "declared_key", "declared_log")
+    hosts, said = hosts.toDF(hk_, sk_, hl_), said.toDF(dk_, dl_)
+    out = rows.join(hosts, F.col(h_).eqNullSafe(F.col(hk_)) & F.col(s_).eqNullSafe(F.col(sk_)), "left")
+    out = out.join(said, F.col(d_) == F.col(dk_), "left")
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     zero = F.array(*[F.lit(0.0)] * len(langs))
-    logs = add(add(F.col(p_), F.coalesce("host_log", zero)), F.coalesce("declared_log", zero))
+    logs = add(add(F.col(p_), F.coalesce(F.col(hl_), zero)), F.coalesce(F.col(dl_), zero))
     out = out.withColumn(p_, F.when(F.col(p_).isNotNull(), _softmax(logs)))
     best = F.array_max(p_)
     language = F.coalesce(F.get(F.array(*map(F.lit, langs)), (F.array_position(p_, best) - 1).cast("int")), F.lit(UNKNOWN))

@@ -31,10 +31,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import in_small_batches, ship, stored
+from folio.llm.base import in_small_batches, ship, stored, unused
 from folio.llm.components import components
 
 ship(__name__)
@@ -67,7 +67,7 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], names=["id", "copy", "fp"])
     return run
 
 
@@ -189,45 +189,57 @@ def links(fps: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     return routed.groupBy("range").applyInPandas(_join_range(cuts, budget), "u long, v long")
 
 
+def _rows(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """``(id, copy, fp)`` per row; ``copy`` tells the texts of one id apart."""
+    body = F.col(f"`{text}`")
+    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("id"), body.alias("text"), _copy(body).alias("copy"))
+    return stored(rows.mapInArrow(_fingerprints(shingle), "id long, copy long, fp long"), "simhash-rows")
+
+
+def _copy(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
+def _rooted(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, least, root)`` of the distinct fingerprints: the least id, and the number of the component."""
+    fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    roots = components(links(fps, max_bits))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: id, ``fp`` (long), ``component_id`` (least id reachable)."""
-    rows = in_small_batches(docs).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = stored(rows.mapInArrow(_fingerprints(shingle), "id long, fp long"), "simhash-rows")
-    fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = components(links(fps, max_bits))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rows = _rows(docs, id_col, text, shingle)
+    rooted = _rooted(rows, max_bits)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each group: the one with the least id.
+    """``docs`` with one row of each component: the one with the least id (rows without an id come last).
 
-    Rows that share an id are one document and leave one row.  Rows without an
-    id cannot be told apart: each different text of theirs leaves one row, and
-    none if a row with an id has that text's group.
+    Rows go because of their component, never because of their id: rows that share
+    an id and not a component all stay.  Of several texts of the least id one
+    stays, and of wholly equal rows one.
     """
-    labels = stored(near_duplicates(docs, id_col, text, shingle, max_bits).select(F.col(id_col).alias("id"), "component_id"), "simhash-labels")
-    key = F.col(f"`{id_col}`")
-    known = labels.where("id is not null")
-    gone = stored(known.where("id != component_id").select("id").distinct(), "simhash-gone")
-    out = docs.where(key.isNotNull()).join(gone, key == gone["id"], "left_anti")
-    if known.groupBy("id").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_col])
-    if labels.where("id is null").limit(1).count():
-        lone = docs.where(key.isNull())
-        fps = lone.withColumn("fp_", F.pandas_udf(_series(shingle), "long")(F.col(f"`{text}`")))
-        grouped = near_duplicates(docs, id_col, text, shingle, max_bits).where("component_id is not null").select(F.col("fp").alias("fp_")).distinct()
-        out = out.unionByName(fps.join(grouped, "fp_", "left_anti").drop("fp_").dropDuplicates([text]))
-    return out
-
-
-def _series(shingle: int):
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
-    return run
+    rows = _rows(docs, id_col, text, shingle)
+    kinds = rows.groupBy("id", "copy", "fp").agg(F.count(F.lit(1)).alias("n"))
+    own = F.struct(F.col("id").isNull().alias("lone"), "id", "copy", "fp")
+    kinds = stored(kinds.join(_rooted(rows, max_bits).select("fp", "root"), "fp").withColumn("own", own), "simhash-kinds")
+    first = kinds.groupBy("root").agg(F.min("own").alias("first"))
+    judged = stored(kinds.join(first, "root").select("id", "copy", "n", (F.col("own") != F.col("first")).alias("goes")), "simhash-judged")
+    k_, c_, i_, t_ = unused(docs, "key", "copy", "gone_id", "gone_copy")
+    keyed = docs.withColumn(k_, F.col(f"`{id_col}`").cast("long")).withColumn(c_, _copy(F.col(f"`{text}`")))
+    same = F.col(k_).eqNullSafe(F.col(i_)) & (F.col(c_) == F.col(t_))
+    out = keyed.join(judged.where("goes").select(F.col("id").alias(i_), F.col("copy").alias(t_)), same, "left_anti")
+    repeated = judged.where("not goes and n > 1").select(F.col("id").alias(i_), F.col("copy").alias(t_))
+    if repeated.limit(1).count():
+        # the rows of one id and text, of which any one stays
+        again = keyed.join(repeated, same, "left_semi").dropDuplicates([k_, c_])
+        out = out.join(repeated, same, "left_anti").unionByName(again)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

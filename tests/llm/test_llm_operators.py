@@ -351,3 +351,73 @@ def test_pipeline_stages(spark):
             assert after.columns == docs.columns and after.count() <= before.count(), name
             before = after
     assert {r.doc_id for r in after.select("doc_id").collect()} == {r.doc_id for r in before.select("doc_id").collect()}
+
+
+@pytest.mark.parametrize("size", [100, 400, 1500, 5000])
+def test_long_items_with_one_sided_edits(size):
+    """Items whose copies only lose or only gain characters drift apart from the places predicted by their anchors."""
+    rnd = random.Random(size)
+    vocabulary = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(2000)]
+    prose = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n // 5))[:n].strip()
+    items = [(i, prose(size)) for i in range(6)]
+    index = decontamination.Index(items)
+    found = want = 0
+    for share in (0.05, 0.1, 0.15):
+        for kind in ("drop", "add", "change", "mixed"):
+            texts = []
+            for _, t in items:
+                out = []
+                for c in t:
+                    what = (kind if kind != "mixed" else rnd.choice(("drop", "add", "change"))) if rnd.random() < share else "keep"
+                    out.append({"keep": c, "drop": "", "add": c + rnd.choice("xyz"), "change": rnd.choice("xyz")}[what])
+                texts.append(prose(300) + " " + "".join(out) + " " + prose(300))
+            near = {k for k, t in enumerate(texts) if decontamination.least_distance(index.lines[k], decontamination.Symbols([t]).line(0, len(t)), index.limits[k]) is not None}
+            got = {item for doc, item, *_ in index.find(texts) if doc == item}
+            found, want = found + len(got & near), want + len(near)
+    assert want >= 60 and found >= 0.9 * want, (found, want)
+
+
+def test_keep_one_drops_by_component_only(spark):
+    a, b, c = ("the quick brown fox jumps over the lazy dog again and again", "wholly different words stand in this other text of ours", "third text with its own words and nothing shared at all")
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, c), (None, c), (None, "lone text without any id but with words"), (None, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS fp_", "2 AS copy", "3 AS key", "4 AS gone_id", "5 AS n", "6 AS root")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (7, c), (None, "lone text without any id but with words"), (8, "")], key=str)
+
+
+def test_language_columns_do_not_clash(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("*", *[f"1 AS {c}" for c in ("host_key", "suffix_key", "host_log", "declared_key", "declared_log", "t", "p", "host", "label")])
+    rows = language.identify_documents(docs)
+    assert set(docs.columns) <= set(rows.columns)
+    plain = language.identify_documents(docs.select("doc_id", "text", "lang", "source"))
+    key = lambda df: sorted((r.doc_id, r.language, r.kept) for r in df.collect())
+    assert key(rows) == key(plain)
+
+
+def test_numbers_beside_each_other_are_all_found(spark):
+    """Every pair and triple of numbers side by side; each number keeps no digit string of its own in the new text."""
+    alone = {"phone": ["415-555-0100", "212 555 0147"], "ssn": ["123-45-6789", "321-54-9876"], "card": ["4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005"],
+             "none": ["1234", "2024-01-05", "17"]}
+    rnd = random.Random(12)
+    items = [(kind, v) for kind, vs in alone.items() for v in vs]
+    texts = [[a, b] for a in items for b in items] + [rnd.sample(items, 3) for _ in range(150)]
+    for parts in texts:
+        text = "see " + " ".join(v for _, v in parts) + " ok"
+        got = [(k, text[lo:hi]) for lo, hi, k, _ in pii.mentions(text)]
+        assert got == [p for p in parts if p[0] != "none"], (text, got)
+    docs = spark.createDataFrame([(i, "see " + " ".join(v for _, v in p) + " ok") for i, p in enumerate(texts)], "doc_id long, text string")
+    for r in pii.replace(docs).collect():
+        secrets = [v for k, v in texts[r.doc_id] if k != "none"]
+        assert r.n_replaced == len(secrets) and not any(v in r.text for v in secrets)
+        assert all(v in r.text for k, v in texts[r.doc_id] if v == "2024-01-05")
+
+
+def test_names_come_again(spark):
+    text = "Mr John Smith came. Smith said that John, SMITH and Smithson met Dr Müller; Müllers Mühle; a smith works."
+    new = pii.replace(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert new.n_replaced == 6 and not re.search(r"\b(John|Smith|SMITH|Müller)\b", new.text)
+    assert "Smithson" in new.text and "Müllers Mühle" in new.text and "a smith works" in new.text
+    names = re.match(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+), (\w+) and", new.text)
+    assert names[2] == names[3] == names[5].capitalize() and names[1] == names[4]
