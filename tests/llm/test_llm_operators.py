@@ -93,6 +93,40 @@ def test_sharding_keeps_groups_together(spark):
     assert sharding.shard(docs.limit(0), [F.col("text")], [F.col("doc_id")]).count() == 0
 
 
+def test_sharding_groups_stay_whole_where_they_fit(spark):
+    sizes = {"tenth": 100, "half": 500, "most": 900, "three": 3000}
+    edges = np.cumsum([0, *sizes.values()])
+    name = F.concat(F.lit("only "), F.col("id"))
+    for (k, _), lo, hi in zip(sizes.items(), edges, edges[1:]):
+        name = F.when((F.col("id") >= int(lo)) & (F.col("id") < int(hi)), F.lit(k)).otherwise(name)
+    name = F.when((F.col("id") >= 5000) & (F.col("id") < 8000), F.concat(F.lit("pair "), F.col("id") % 1500)).otherwise(name)
+    # the payload has names that the operator uses itself
+    docs = spark.range(24_000).select(F.col("id").alias("rid"), name.alias("gid"), F.lit(1).alias("n"), F.lit(2).alias("bucket"))
+    out = sharding.shard(docs, [F.col("gid")], [F.col(c) for c in docs.columns])
+    assert out.columns == [*docs.columns, "shard", "slot"]
+    rows, shards = out.collect(), defaultdict(set)
+    for r in rows:
+        shards[r.gid].add(r.shard)
+    assert sorted(r.rid for r in rows) == list(range(24_000)) and set(Counter(r.shard for r in rows).values()) == {1000}
+    assert all(sorted(x.slot for x in rows if x.shard == k) == list(range(1000)) for k in (0, 23))
+    assert [len(shards[k]) for k in sizes] == [1, 1, 1, 3]
+    pairs = [len(s) == 1 for t, s in shards.items() if t.startswith("pair")]
+    assert len(pairs) == 1500 and sum(pairs) >= 1490
+    cut, want = sharding.cut_edges(out, [F.col("gid")]).first(), 3000 * 2999 // 2 - 3 * (1000 * 999 // 2)
+    assert cut.pairs == sum(n * (n - 1) // 2 for n in sizes.values()) + 1500 and want <= cut.cut <= want + 10
+
+
+def test_sharding_odd_rows(spark, odd_docs, no_docs):
+    text = F.coalesce("text", F.lit(""))
+    rows = sharding.shard(odd_docs, [text], [F.col("doc_id"), F.col("lang"), text.alias("text")], shards=2).collect()
+    assert Counter(r.shard for r in rows) == {0: 5, 1: 4} and sorted(r.slot for r in rows) == sorted([*range(5), *range(4)])
+    assert len({r.shard for r in rows if r.text.startswith("same")}) == 1
+    every = sharding.shard(odd_docs, [F.lit(1)], [F.col("doc_id")], shards=2)      # one group of all rows
+    assert Counter(r.shard for r in every.collect()) == {0: 5, 1: 4}
+    assert sharding.shard(no_docs, [text], [F.col("doc_id")]).count() == 0
+    assert sharding.cut_edges(sharding.shard(no_docs, [text], [text.alias("t")]), [F.col("t")]).first().share is None
+
+
 def test_first_fit_decreasing_matches_a_plain_search():
     rnd = random.Random(5)
     for _ in range(30):
