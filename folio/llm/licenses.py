@@ -8,8 +8,12 @@ lines, in a comment block, or inside a longer sentence.  The best window of a
 template begins and ends with one of its bigrams, as others at the ends only
 lower the coefficient; every such window of up to ``(2 - t) / t`` times the
 template's length is scored.  The whole text, its lines and the sentences of its
-lines are units of any length besides, as they may repeat bigrams.  Two bounds
-prune without loss:
+lines are units of any length besides, as they may repeat bigrams.
+
+Licences share wording, so one notice can match templates of several.  Of templates
+of different licences whose best windows overlap only the one with the greatest
+coefficient is kept, from the best downwards; a template that has no window but
+matches a unit is kept as it is.  Two bounds prune without loss:
 
 * size: a coefficient of ``t`` needs ``|A|`` between ``t / (2 - t)`` and
   ``(2 - t) / t`` times ``|B|``;
@@ -35,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.base import unused
+from folio.operators.chunking import let
 
 # --- fixed values -----------------------------------------------------------
 TEMPLATES = (
@@ -48,6 +53,13 @@ TEMPLATES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSD", "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -121,7 +133,7 @@ def _units(text: Column) -> Column:
 
 
 def _window_scores(text: Column, templates, least: float) -> Column:
-    """(dice, template) of the best window of each template that has one."""
+    """(dice, template, first and last bigram) of the best window of each template that has one; the first of equals."""
     sets = [_template_bigrams(t) for _, t in templates]
     every = sorted({g for grams in sets for g in grams})
 
@@ -142,14 +154,17 @@ def _window_scores(text: Column, templates, least: float) -> Column:
 
             begins = F.filter(F.sequence(F.lit(1), F.size(m) - (need - 1)), lambda k: close(k, k + (need - 1)))
             from_one = lambda k: F.array_max(F.transform(
-                F.filter(F.sequence(k + (need - 1), F.least(F.size(m), k + (longest - 1))), lambda e: close(k, e)), lambda e: dice(k, e)))
+                F.filter(F.sequence(k + (need - 1), F.least(F.size(m), k + (longest - 1))), lambda e: close(k, e)),
+                lambda e: F.struct(dice(k, e).alias("dice"), (-at(k)).alias("lo"), (-at(e)).alias("hi"))))
             return F.when(F.size(m) >= need, F.array_max(F.transform(begins, from_one)))
 
         return F.transform(F.array(F.filter(marked, lambda x: x["g"].isin(own))), best)[0]
 
     def of_text(grams: Column) -> Column:
         marks = F.filter(F.transform(grams, lambda g, i: F.struct(i.alias("i"), g.alias("g"))), lambda x: x["g"].isin(every))
-        each = lambda m: F.array(*[F.struct(of_template(grams, m, i).alias("dice"), F.lit(i).alias("i")) for i in range(len(sets))])
+        one = lambda m, i: let(of_template(grams, m, i), lambda b: F.struct(
+            b["dice"].alias("dice"), F.lit(i).alias("i"), (-b["lo"]).alias("lo"), (-b["hi"]).alias("hi")))
+        each = lambda m: F.array(*[one(m, i) for i in range(len(sets))])
         return F.transform(F.array(marks), each)[0]
 
     pairs = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
@@ -157,13 +172,34 @@ def _window_scores(text: Column, templates, least: float) -> Column:
     return F.filter(F.transform(F.array(grams), of_text)[0], lambda s: s["dice"] >= least)
 
 
-def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: float = LEAST_DICE) -> DataFrame:
-    """``docs`` with ``licences``: array of (licence, dice), the best unit or window of each licence found."""
+def _best_of_spans(hits: Column, templates) -> Column:
+    """``hits`` without those whose window overlaps a better one of another licence; as many as templates at most."""
+    names = list(dict.fromkeys(n for n, _ in templates))
+    licence = lambda x: F.get(F.lit([names.index(n) for n, _ in templates]), x["i"])
+    beats = lambda y, x: (licence(y) != licence(x)) & (y["lo"] <= x["hi"]) & (x["lo"] <= y["hi"])
+
+    def choose(hs: Column) -> Column:
+        placed = F.array_sort(F.transform(F.filter(hs, lambda h: h["lo"].isNotNull()), lambda h: F.struct(
+            (-h["dice"]).alias("low"), h["i"].alias("i"), h["lo"].alias("lo"), h["hi"].alias("hi"))))
+        none = F.array().cast("array<struct<low:double,i:int,lo:int,hi:int>>")
+        kept = let(placed, lambda ps: F.aggregate(ps, none, lambda acc, x: F.when(
+            F.exists(acc, lambda y: beats(y, x)), acc).otherwise(F.concat(acc, F.array(x)))))
+        lost = lambda ks, h: F.exists(hs, lambda g: (g["i"] == h["i"]) & g["lo"].isNotNull()) & ~F.exists(ks, lambda k: k["i"] == h["i"])
+        return let(kept, lambda ks: F.filter(hs, lambda h: ~lost(ks, h)))
+
+    return let(hits, choose)
+
+
+def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: float = LEAST_DICE, every: bool = False) -> DataFrame:
+    """``docs`` with ``licences``: array of (licence, dice), the best unit or window of each licence found.
+
+    With ``every``, licences whose windows overlap a better one's are listed too.
+    """
     grams = [(name, _template_bigrams(t)) for name, t in templates]
     low = min(len(g) for _, g in grams) * least / (2 - least)
     ratio = (2 - least) / least
 
-    gate = _gate(templates, least)
+    gate, nowhere = _gate(templates, least), F.lit(None).cast("int")
 
     def scores(words: Column) -> Column:
         """(dice, template) of every template within the size bound."""
@@ -172,7 +208,8 @@ def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: fl
             each = [F.when(n.between(math.ceil(len(g) / ratio - 1e-9), math.floor(len(g) * ratio + 1e-9)),
                            F.lit(2.0) * F.size(F.array_intersect(b, F.array(*map(F.lit, g)))) / (n + F.lit(len(g))))
                     for _, g in grams]
-            return F.array(*[F.struct(F.coalesce(e, F.lit(0.0)).alias("dice"), F.lit(i).alias("i")) for i, e in enumerate(each)])
+            return F.array(*[F.struct(F.coalesce(e, F.lit(0.0)).alias("dice"), F.lit(i).alias("i"), nowhere.alias("lo"), nowhere.alias("hi"))
+                             for i, e in enumerate(each)])
         return F.transform(F.array(_bigrams(words)), one)[0]
 
     t_, h_ = unused(docs, "lowered", "hits")
@@ -181,7 +218,8 @@ def licences(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: fl
     # a unit with more words than the bound can still have few distinct bigrams, so only the lower bound applies to words
     hits = F.filter(F.flatten(F.transform(sized, scores)), lambda s: s["dice"] >= least)
     hits = F.concat(hits, _window_scores(F.col(t_), templates, least))
-    empty = F.array().cast("array<struct<dice:double,i:int>>")
+    hits = hits if every else _best_of_spans(hits, templates)
+    empty = F.array().cast("array<struct<dice:double,i:int,lo:int,hi:int>>")
     out = docs.select("*", F.inline(F.array(F.struct(F.lower(F.col(f"`{text}`")).alias(t_)))))
     out = out.select("*", F.inline(F.array(F.struct(F.when(_passes(F.col(t_), gate), hits).otherwise(empty).alias(h_)))))
     names = list(dict.fromkeys(n for n, _ in grams))

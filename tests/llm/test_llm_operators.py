@@ -266,7 +266,7 @@ def test_licences_match_brute_force(spark):
     grams = lambda s: {(a, b) for w in [re.sub(r"[^\w]+|_", " ", s.lower()).split()] for a, b in zip(w, w[1:])}
     cases = ["Tale of old.\nReleased under the MIT License.", "licensed UNDER cc by-nc 4.0", "This work is licensed under nothing at all",
              "Redistribution and use in source or binary forms, with or without modification, are permitted provided that the following conditions are met:", ""]
-    rows = licenses.licences(spark.createDataFrame([(c,) for c in cases], "text string")).collect()
+    rows = licenses.licences(spark.createDataFrame([(c,) for c in cases], "text string"), every=True).collect()
     for r in rows:
         want = {}
         for unit in {r.text, *r.text.split("\n")}:
@@ -288,7 +288,7 @@ def test_licences_wrapped_and_embedded(spark):
     cases = [header(2, ""), header(6, "# "), header(8, " * "), header(10, "// "), header(2, "").replace("free of charge", "at no cost"),
              "Copyright 2020 Foo, released under the MIT License.", "We note that the code, licensed under the Apache License, Version 2.0, is short.",
              filler + " the above copyright notice", "the software " * 200 + "this work is " * 200]
-    rows = licenses.licences(spark.createDataFrame(list(enumerate(cases)), "k int, text string")).collect()
+    rows = licenses.licences(spark.createDataFrame(list(enumerate(cases)), "k int, text string"), every=True).collect()
     for r in rows:
         w, want = wordlist(r.text), {}
         for name, t in licenses.TEMPLATES:
@@ -304,6 +304,19 @@ def test_licences_wrapped_and_embedded(spark):
         assert bool(want) == (r.k < 7)
 
 
+def test_licences_one_for_each_notice(spark):
+    """Notices that share their wording give one licence each, alone, reworded or one after the other."""
+    long = {n: t for n, t in licenses.TEMPLATES if len(t) > 100}
+    own = [(n, t) for n, t in licenses.TEMPLATES if n in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "Unlicense", "BSD-3-Clause")]
+    filler = " ".join(f"word{i}" for i in range(60))
+    cases = [("x\n * " + t.replace(" of ", "\n * of ") + "\n" + filler, {n}) for n, t in own]
+    cases += [(t.replace("at your option", "if you want"), {n}) for n, t in own]
+    cases += [(f"{long['GPL-2.0']} {filler} {long['LGPL-3.0']} {long['AGPL-3.0']}", {"GPL-2.0", "LGPL-3.0", "AGPL-3.0"}),
+              (f"{long['MIT']} {long['MIT']}", {"MIT"}), (long["BSD"], {"BSD"}), (filler, set()), ("", set()), (None, set())]
+    rows = licenses.licences(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "k int, text string")).collect()
+    assert [({x.licence for x in r.licences}, r.k) for r in sorted(rows, key=lambda r: r.k)] == [(w, k) for k, (_, w) in enumerate(cases)]
+
+
 def test_edit_distance_to_any_part():
     def plain(a, t):
         row = [0] * (len(t) + 1)
