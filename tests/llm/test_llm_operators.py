@@ -409,6 +409,33 @@ def test_language(spark, odd_docs, no_docs):
     assert np.mean([bool(r.declared_agrees) for r in pages]) > 0.97
 
 
+def test_language_of_held_out_texts(spark):
+    """Texts without a declared language or host, told by a model that is trained on the others."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", F.col("lang").alias("true"))
+    seen = F.col("doc_id") % 2 == 0
+    rows = language.identify(docs.withColumn("lang", F.when(seen, F.col("true"))), "text", F.col("lang")).where(~seen).collect()
+    assert len(rows) > 40 and len({r.true for r in rows}) > 1
+    assert np.mean([r.language == r.true for r in rows]) > 0.97
+
+
+def test_pipeline_odd_rows(spark, odd_docs, no_docs):
+    """Null ids, repeated rows, empty and very long texts, and an empty table, through every stage but packing."""
+    import corpus_pipeline
+
+    plain = spark.read.parquet(f"{SMALL}/documents.parquet").select(odd_docs.columns).where("doc_id < 40")
+    docs = plain.withColumn("doc_id", F.col("doc_id") + 100).unionAll(odd_docs)
+    before = Counter((r.doc_id, r.text) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, SMALL).collect()
+        ids = Counter(r.doc_id for r in rows)
+        assert all(n <= sum(m for (d, _), m in before.items() if d == k) for k, n in ids.items()), name
+        if name != "pii_surrogates":
+            assert not Counter((r.doc_id, r.text) for r in rows) - before, name
+        if name == "simhash_near_dedup":
+            assert sum((r.text or "").startswith("same text") for r in rows) == 1
+        assert stage(spark, no_docs, SMALL).columns == no_docs.columns, name
+
+
 def test_language_has_every_label_at_any_size(spark):
     n = F.col("id")
     text = F.when(n < 3, F.concat(F.lit("τα λόγια του κειμένου "), n)).when(n < 30_000, F.lit("the very common line")).otherwise(F.concat(F.lit("plain words "), n))
