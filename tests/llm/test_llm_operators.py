@@ -463,12 +463,81 @@ def test_lm_scores(spark, texts, odd_docs, no_docs):
     assert lm.score(odd_docs).count() == 9 and lm.score(no_docs).count() == 0
 
 
-def test_lm_probabilities_sum_to_one():
+def small_model(size=900, inside=30):
+    """A vocabulary of that size and a model of it with random counts."""
     rng = np.random.default_rng(1)
-    m = lm.Model(rng.dirichlet(np.ones(lm.OUTPUTS)))
-    one, two, norm = m.tables()
-    a, z = 17, lm.START
-    assert np.exp(one[a] + two[z] - norm[a, z]).sum() == pytest.approx(1)
+    v = lm.Vocabulary([f"w{i}".encode() for i in range(size + 50)], size, lm.grouped(rng.integers(-1, 9, size), lm.OWN, inside))
+    m = lm.Model(rng.dirichlet(np.ones(v.outputs)))
+    words, norms = np.zeros((size, lm.WIDTH + 1), np.float32), np.zeros((v.inputs, v.outputs))
+    for c in range(lm.FIRST + lm.OWN, v.outputs):
+        members = np.flatnonzero(v.classes == c)
+        assert 0 < len(members) <= inside
+        vectors, bias, norms[:, c] = lm.fit_class(m.near(), rng.poisson(0.5, (v.inputs, len(members))).astype(float))
+        words[members] = np.column_stack([vectors, bias])
+    return v, (m.tables(), m.near(), words, norms)
+
+
+def test_lm_probabilities_sum_to_one():
+    v, parts = small_model()
+    places = np.append(np.arange(v.size), [-1, -1])       # every word, one outside, the end
+    w = np.append(v.classes, [lm.RARE, lm.END])
+    for a, z in ((17, v.start), (lm.RARE, 200 % v.outputs), (v.start, v.start)):
+        p = np.exp(lm._log_probabilities(v, parts, places, w, np.full(len(w), a), np.full(len(w), z)))
+        assert p.sum() == pytest.approx(1, abs=1e-4) and (p > 0).all()
+
+
+def test_lm_score_is_the_sum_over_words():
+    """A text's score, from the parameters by a plain sum over the vocabulary at each level."""
+    v, parts = small_model()
+    (one, two, _), near, words, _ = parts
+    text = [3, 500, -1, 899, 920, 130, 131, 0]            # places: own class, shared, unknown, outside the vocabulary
+    got = lm._log_probabilities(v, parts, *lm._lines(v, [np.array(text), np.array([], np.int64)])).tolist()
+    want = []
+    for line in (text, []):
+        cls = [v.start, v.start, *(int(v.classes[p]) if 0 <= p < v.size else lm.RARE for p in line), lm.END]
+        for i in range(2, len(cls)):
+            a, z, c = cls[i - 1], cls[i - 2], cls[i]
+            x = math.log(math.exp(one[a, c] + two[z, c]) / sum(math.exp(one[a, k] + two[z, k]) for k in range(v.outputs)))
+            if c >= lm.FIRST + lm.OWN:
+                s = {int(q): math.exp(float(near[a] @ words[q, :-1] + words[q, -1])) for q in np.flatnonzero(v.classes == c)}
+                x += math.log(s[line[i - 2]] / sum(s.values()))
+            want.append(x)
+    assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_lm_words_of_a_class_follow_their_context():
+    """The second level tells words of one class apart by the class before them."""
+    rng = np.random.default_rng(2)
+    near = rng.normal(0, 1, (20, lm.WIDTH))
+    share = rng.dirichlet(np.full(12, 0.2), 20)
+    vectors, bias, norm = lm.fit_class(near, np.array([rng.multinomial(400, p) for p in share]).astype(float))
+    fresh = np.array([rng.multinomial(400, p) for p in share])
+    log_p = near @ vectors.T + bias - norm[:, None]
+    plain = np.log(fresh.sum(0) / fresh.sum())
+    assert (fresh * log_p).sum() > 0.75 * (fresh * plain).sum()
+    assert np.exp(log_p).sum(1) == pytest.approx(1)
+
+
+def test_lm_counts_of_classes(spark):
+    """Favourite predecessors and class triples against a plain count; the vocabulary grows with the text."""
+    rnd = random.Random(5)
+    heads = [f"h{i}" for i in range(lm.OWN)]
+    lines = [" ".join(x for _ in range(40) for x in (lambda i: (heads[i], f"x{i}_{rnd.randrange(9)}"))(rnd.randrange(lm.OWN))) for _ in range(300)]
+    counts = Counter(w for t in lines for w in t.encode().split())
+    known = sorted(counts, key=lambda w: (-counts[w], w))
+    v = lm.Vocabulary(known, len(known), np.zeros(0, np.int64))
+    codes = Counter(int(c) for x in lm._followers(v, [v.places(lm.tokens(t)) for t in lines]) for c in x)
+    got = lm.favourites(spark.createDataFrame(list(codes.items()), "code long, n long"), np.array([counts[w] for w in known]))
+    for place, w in enumerate(known[lm.OWN:], lm.OWN):
+        if w.startswith(b"x"):
+            assert known[got[place]] == b"h" + w[1:].split(b"_")[0]
+    v = lm.Vocabulary(known, len(known), lm.grouped(got, lm.OWN, 30))
+    triples, pairs = lm._triples_and_pairs(v, [v.places(lm.tokens(lines[0])), np.array([], np.int64)])
+    cls = [int(v.classes[v.place[w]]) for w in lines[0].encode().split()]
+    line = [v.start, v.start, *cls, lm.END]
+    assert triples.tolist() == [(z * v.inputs + a) * v.outputs + w for z, a, w in zip(line, line[1:], line[2:])] + [(v.start * v.inputs + v.start) * v.outputs + lm.END]
+    shared = [(a, v.place[w]) for a, c, w in zip(line[1:], cls, lines[0].encode().split()) if c >= lm.FIRST + lm.OWN]
+    assert (-1 - pairs).tolist() == [a * v.size + p for a, p in shared]
 
 
 def test_pipeline_stages(spark):
