@@ -208,35 +208,49 @@ class Model:
         rng = np.random.default_rng(seed)
         n = len(unigram)
         self.p = {"R": rng.normal(0, 0.1, (n + 1, WIDTH)), "Q": rng.normal(0, 0.1, (n, WIDTH)),
-                  "A": np.ones(WIDTH), "B": np.full(WIDTH, 0.5), "bias": np.log(unigram)}
+                  "A": np.ones((1, WIDTH)), "B": np.full((1, WIDTH), 0.5), "bias": np.log(unigram)[:, None]}
         self.sums = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.noise = unigram
 
-    def train(self, codes: np.ndarray, counts: np.ndarray, rng) -> None:
+    def narrowed(self) -> Model:
+        """The same in single precision, in which tasks train."""
+        for x in (self.p, self.sums):
+            x.update({k: v.astype(np.float32) for k, v in x.items()})
+        self.shift = (math.log(NOISE) + np.log(self.noise)).astype(np.float32)
+        self.bounds = np.cumsum(self.noise)[:-1]
+        return self
+
+    def step(self, name: str, rows: np.ndarray, grad: np.ndarray) -> None:
+        """Adagrad step of the given rows; gradients of one row are added up."""
+        order = np.argsort(rows, kind="stable")
+        ranked = rows[order]
+        first = np.flatnonzero(np.diff(ranked, prepend=-1))
+        rows, g = ranked[first], np.add.reduceat(grad[order], first, axis=0)
+        self.sums[name][rows] += g * g
+        self.p[name][rows] += RATE * g / np.sqrt(self.sums[name][rows] + np.float32(1e-8))
+
+    def train(self, codes: np.ndarray, weight: np.ndarray, rng) -> None:
         """One minibatch of weighted triples: noise-contrastive gradient, Adagrad step."""
         p, n = self.p, len(self.noise)
         w, rest = codes % n, codes // n
         a, z = rest % (n + 1), rest // (n + 1)
-        weight = counts
         ra, rz = p["R"][a], p["R"][z]
         context = ra * p["A"] + rz * p["B"]
-        drawn = rng.choice(n, NOISE, p=self.noise)
-        shift = math.log(NOISE) + np.log(self.noise)
-        data = (context * p["Q"][w]).sum(1) + p["bias"][w] - shift[w]
-        fake = context @ p["Q"][drawn].T + p["bias"][drawn] - shift[drawn]
+        drawn = np.searchsorted(self.bounds, rng.random(NOISE), side="right")
+        of_w, of_drawn, bias = p["Q"][w], p["Q"][drawn], p["bias"][:, 0] - self.shift
+        data = (context * of_w).sum(1) + bias[w]
+        fake = context @ of_drawn.T + bias[drawn]
         d = weight / (1 + np.exp(np.clip(data, -30, 30)))                     # towards the data
         f = -weight[:, None] / (1 + np.exp(np.clip(-fake, -30, 30)))          # away from the noise
-        g_context = d[:, None] * p["Q"][w] + f @ p["Q"][drawn]
-        grad = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(grad["Q"], w, d[:, None] * context)
-        np.add.at(grad["Q"], drawn, f.T @ context)
-        grad["bias"] = np.bincount(w, d, n) + np.bincount(drawn, f.sum(0), n)
-        np.add.at(grad["R"], a, g_context * p["A"])
-        np.add.at(grad["R"], z, g_context * p["B"])
-        grad["A"], grad["B"] = (g_context * ra).sum(0), (g_context * rz).sum(0)
-        for k, g in grad.items():
-            self.sums[k] += g * g
-            p[k] = p[k] + RATE * g / np.sqrt(self.sums[k] + 1e-8)
+        g_context = d[:, None] * of_w + f @ of_drawn
+        both = np.concatenate([w, drawn])
+        steps = (("Q", both, np.concatenate([d[:, None] * context, f.T @ context])),
+                 ("bias", both, np.concatenate([d, f.sum(0)])[:, None]),
+                 ("R", np.concatenate([a, z]), np.concatenate([g_context * p["A"], g_context * p["B"]])),
+                 ("A", np.zeros(1, int), (g_context * ra).sum(0)[None]),
+                 ("B", np.zeros(1, int), (g_context * rz).sum(0)[None]))
+        for step in steps:
+            self.step(*step)
 
     def near(self) -> np.ndarray:
         """The vector of each class as the context right before a word."""
@@ -245,7 +259,7 @@ class Model:
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores by each context class, and the log normaliser of each pair of them (a sum of products of exponentials)."""
         p = self.p
-        one = self.near() @ p["Q"].T + p["bias"]
+        one = self.near() @ p["Q"].T + p["bias"][:, 0]
         two = (p["R"] * p["B"]) @ p["Q"].T
         top_one, top_two = one.max(axis=1), two.max(axis=1)
         norm = np.log(np.exp(one - top_one[:, None]) @ np.exp(two - top_two[:, None]).T) + top_one[:, None] + top_two
@@ -257,9 +271,10 @@ def _train_share(blob, mean: float):
         params, sums, noise = pickle.loads(blob.value)
         model = Model(noise)
         model.p, model.sums = params, sums
+        model.narrowed()
         rng, rows = np.random.default_rng(11), 0
         for b in batches:
-            codes, counts = b.column(0).to_numpy().astype(np.int64), b.column(1).to_numpy() / (mean * BATCH)
+            codes, counts = b.column(0).to_numpy().astype(np.int64), (b.column(1).to_numpy() / (mean * BATCH)).astype(np.float32)
             for lo in range(0, len(codes), BATCH):
                 model.train(codes[lo:lo + BATCH], counts[lo:lo + BATCH], rng)
             rows += len(codes)
@@ -269,7 +284,7 @@ def _train_share(blob, mean: float):
 
 
 def fit(triples: DataFrame, outputs: int) -> Model:
-    """The first level from all triples ``(code, n)``; at most MAX_SHARES parameter sets come to the driver a round."""
+    """The first level from all triples ``(code, n)``; the driver holds one share's parameters beside their sum."""
     sc = triples.sparkSession.sparkContext
     counts = np.full(outputs, 0.5)
     for r in triples.groupBy((F.col("code") % outputs).alias("w")).agg(F.sum("n").alias("n")).collect():
@@ -283,11 +298,15 @@ def fit(triples: DataFrame, outputs: int) -> Model:
     shares = cut.repartition(min(MAX_SHARES, rows // SHARE_ROWS + 1), "code", "piece").sortWithinPartitions(F.xxhash64("code", "piece")).select("code", "n")
     for _ in range(ROUNDS):
         blob = sc.broadcast(pickle.dumps((model.p, model.sums, model.noise)))
-        got = [(r["rows"], pickle.loads(r["params"])) for r in shares.mapInArrow(_train_share(blob, mean), "rows long, params binary").collect()]
-        if not got:
+        # each share's parameters are written, and read one after another into the weighted mean
+        made = stored(shares.mapInArrow(_train_share(blob, mean), "rows long, params binary"), "lm-shares")
+        rows, sums = 0, None
+        for r in made.toLocalIterator():
+            got = [{k: r["rows"] * v.astype(float) for k, v in x.items()} for x in pickle.loads(r["params"])]
+            rows, sums = rows + r["rows"], [{k: s[k] + g[k] for k in g} for s, g in zip(sums, got)] if sums else got
+        if not sums:
             break
-        total = sum(n for n, _ in got)
-        model.p, model.sums = ({k: sum(n * x[i][k] for n, x in got) / total for k in model.p} for i in (0, 1))
+        model.p, model.sums = ({k: v / rows for k, v in x.items()} for x in sums)
     return model
 
 
@@ -409,8 +428,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     n_words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     total = n_words + texts
     size = min(kinds, math.ceil(SPREAD * total ** (1 / 3)))
-    top = [(bytes(r["word"]), r["c"]) for r in vocabulary.orderBy(F.desc("c"), "word").limit(max(HEAD, size)).collect()]
-    head, head_counts = [w for w, _ in top], np.array([c for _, c in top] or [0], float)
+    top = vocabulary.orderBy(F.desc("c"), "word").limit(max(HEAD, size)).toArrow()
+    head, head_counts = top["word"].to_pylist(), np.array(top["c"].to_numpy() if top.num_rows else [0], float)
     known = sc.broadcast(pickle.dumps((head[:size], size, np.zeros(0, np.int64))))
     followers = train.mapInArrow(_count_codes(known, _followers), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     own = min(OWN, size)
