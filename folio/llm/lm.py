@@ -29,7 +29,7 @@ the noise term of each context summed over the whole class in place of a draw.
 Counting and scoring words does not need the whole word list in a task.  The
 most frequent words (``HEAD``, or the vocabulary where that is larger) are known
 everywhere; the others, by now rare, are joined with their counts by word and
-added up by text.  The vocabulary takes 33 numbers a word: 1 MB for 10 million
+added up by text.  The vocabulary takes 33 numbers a word: 2 MB for 10 million
 tokens, some 300 MB for 100 TB of text.
 
 Defined cases: a null text has the end token only.  A null id counts as the
