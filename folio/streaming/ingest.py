@@ -65,5 +65,5 @@ def run_ingest(spark: SparkSession, folder: str, store_root: str, glob: str = "*
 def run_ingest_from_table(spark: SparkSession, sf_dir: str, max_tokens: int = STORE_MAX_TOKENS) -> DataFrame:
     """The registered query: stream the ``pages`` table into a fresh store, return its records."""
     root = work_dir(spark, "stream-ingest")
-    store = run_ingest(spark, sf_dir, root, glob="pages.parquet", max_tokens=max_tokens)
+    store = run_ingest(spark, f"{sf_dir.rstrip('/')}/pages.parquet", root, max_tokens=max_tokens)
     return store.df().select("id", "article_id", "chunk_index", "total_chunks", "document")

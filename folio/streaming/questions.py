@@ -37,7 +37,7 @@ def run_questions_from_table(spark: SparkSession, sf_dir: str, k: int = Q.QUESTI
     emb = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     vectors = emb.select(F.col("vec_id").alias("conv_id"), "embedding")
-    stream = spark.readStream.schema(CONV_SCHEMA).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(CONV_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
     query = (
         stream.writeStream.foreachBatch(answer_batch(store, vectors, f"{root}/hits", k))
         .option("checkpointLocation", f"{root}/_checkpoint")

@@ -83,3 +83,18 @@ def test_replies_arrive_late_or_never(spark):
     assert last["d"] == ("d1 " + FAILED_PART.replace("{}", "2"), ["t"])
     assert store.df().where("summary is null").count() == 0 and store.df().count() == 10
     assert sorted({r.epoch for r in spark.read.parquet(f"{root}/run/settled").collect()})[0] == 0
+
+
+def test_streams_read_tables_of_many_files(spark, tmp_path):
+    """A table may be a folder of part files or one file; a stream reads it whole either way."""
+    from folio.plans import catalog
+    spark.read.parquet(f"{SMALL}/pages.parquet").limit(9).repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.read.parquet(f"{SMALL}/conversations.parquet").where("conv_id < 6").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.read.parquet(f"{SMALL}/embeddings.parquet").limit(50).write.parquet(f"{tmp_path}/embeddings.parquet")
+    pages = spark.read.parquet(f"{tmp_path}/pages.parquet")
+    fields = P.drop_incomplete(P.page_fields(P.fetchable(pages)))
+    arts = P.one_per_id(P.assemble(fields, F.current_timestamp().cast("timestamp_ntz"), keep=("page_id",)))
+    want = store_records(arts, max_tokens=catalog.STORE_TEST_MAX_TOKENS).select("id").collect()
+    assert want and sorted(r.id for r in catalog.stream_ingest(spark, str(tmp_path)).collect()) == sorted(r.id for r in want)
+    asked = {(r.qid, r.rank, r.id) for r in catalog.batch_questions(spark, str(tmp_path)).collect()}
+    assert asked and {(r.qid, r.rank, r.id) for r in catalog.stream_questions(spark, str(tmp_path)).collect()} == asked
