@@ -5,7 +5,8 @@ queries.  Rows become tiles where they are read, without a shuffle.  A join then
 brings query tiles and store tiles together, and each pair of tiles is one
 matrix product.  A task keeps the best ``k`` of each query over all its pairs
 and hands them on, so no (query, record) pair ever is a row.  What it keeps is
-bounded: beyond ``MAX_KEPT`` hits it hands on what it has and starts anew.
+bounded: one query tile where the pairs come by query tile, else ``MAX_KEPT``
+hits, beyond which it hands on what it has and starts anew.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def best_of_tiles(q: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, metric:
     return _first(k, at, found, d)
 
 
-def _search(k: int, metric: str, text_ids: bool):
+def _search(k: int, metric: str, text_ids: bool, by_query: bool):
     def matrix(data: bytes, rows: int) -> np.ndarray:
         return np.frombuffer(data, np.float64).reshape(rows, -1)
 
@@ -162,10 +163,13 @@ def _search(k: int, metric: str, text_ids: bool):
         for b in batches:
             for r in range(b.num_rows):
                 tile, qids, qvecs, ids, vecs = (b.column(c)[r] for c in range(5))
-                qids = qids.values.to_numpy()
+                qids = qids.values.to_numpy().copy()   # a view would keep the whole batch while the hits are kept
                 ids = np.array(ids.as_py()) if text_ids else ids.values.to_numpy()
                 q, s = matrix(qvecs.as_py(), len(qids)), matrix(vecs.as_py(), len(ids))
                 before = kept.get(tile.as_py())
+                if by_query and not before:   # the pairs of the query tile before are over
+                    yield from hand_on()
+                    kept, total = {}, 0
                 hits = best_of_tiles(q, s, ids, k, metric, before and before[1])
                 total += len(hits[0]) - (len(before[1][0]) if before else 0)
                 kept[tile.as_py()] = [qids, hits]
@@ -176,13 +180,16 @@ def _search(k: int, metric: str, text_ids: bool):
     return run
 
 
-def search(pairs: DataFrame, id_type: T.DataType, k: int, metric: str) -> DataFrame:
-    """Pairs of tiles ``(q_tile, q_ids, q_vecs, ids, vecs)`` -> candidates ``(qid, id, distance)``."""
+def search(pairs: DataFrame, id_type: T.DataType, k: int, metric: str, by_query: bool = False) -> DataFrame:
+    """Pairs of tiles ``(q_tile, q_ids, q_vecs, ids, vecs)`` -> candidates ``(qid, id, distance)``.
+
+    ``by_query`` says that the pairs of a query tile come one after another.
+    """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
     schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("id", id_type), T.StructField("distance", T.DoubleType())])
     columns = pairs.select("q_tile", "q_ids", "q_vecs", "ids", "vecs")
-    return columns.mapInArrow(_search(k, metric, isinstance(id_type, T.StringType)), schema)
+    return columns.mapInArrow(_search(k, metric, isinstance(id_type, T.StringType), by_query), schema)
 
 
 def ranked(candidates: DataFrame, k: int, branches: int = 1) -> DataFrame:

@@ -88,3 +88,47 @@ def test_large_query_sets_stay_off_the_driver(spark, vectors):
         assert sorted(map(tuple, df.collect())) == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_of_groups_follow_the_cores(spark, vectors, monkeypatch):
+    """Copies of tiles do not grow with the shuffle partitions, and a large store only gets more groups of its own."""
+    from folio.operators import retrieval as R
+    queries = vectors.select(F.col("id").alias("qid"), "embedding")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        a, b = R._groups(spark, 1000)
+        assert a * b <= 2 * R.TASKS_PER_CORE * cores + 4 and max(a, b) <= (R.TASKS_PER_CORE * cores) ** 0.5 + 1
+        assert R._groups(spark, 100 * R.STORE_GROUP_BYTES)[0] == 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want = sorted(map(tuple, Q.knn(vectors, queries, 7).collect()))
+    monkeypatch.setattr(R, "STORE_GROUP_BYTES", 20_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert sorted(map(tuple, Q.knn(vectors, queries, 7, max_query_bytes=20_000).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_kept_hits_hold_no_batches():
+    """The hits of a query tile are handed on when its pairs are over, and do not keep the tile's batch in memory."""
+
+    import pyarrow as pa
+
+    from folio.operators import tiles
+    rng, seen = np.random.default_rng(3), []
+
+    def batches():
+        for t in range(6):
+            for s in range(2):
+                q, v = rng.normal(size=(4, 3)), rng.normal(size=(5, 3))
+                lists = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
+                yield pa.RecordBatch.from_arrays([pa.array([t]), lists(np.arange(4) + 4 * t), pa.array([q.tobytes()]), lists(np.arange(5) + 5 * s), pa.array([v.tobytes()])],
+                                                 names=["q_tile", "q_ids", "q_vecs", "ids", "vecs"])
+            seen.append(t)
+    got = []
+    for b in tiles._search(2, "l2sq", False, True)(batches()):
+        got.append((len(seen), sorted(set(b.column(0).to_pylist()))))
+    assert [g[1] for g in got] == [list(range(4 * t, 4 * t + 4)) for t in range(6)]
+    assert [g[0] for g in got] == [1, 2, 3, 4, 5, 6]      # each before the tile after the next is read
