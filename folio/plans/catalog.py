@@ -367,28 +367,28 @@ def context_pack(spark, sf):
 
 
 # ---------------------------------------------------------------- A6-A14: store
-def _store(spark, sf, version: str = "a"):
+def _articles(spark, sf, version: str = "a"):
     arts = _doc_articles(spark, sf)
     if version == "b":
         # a re-scrape whose text gained a sentence
         arts = arts.withColumn("content", F.concat(F.col("content"), F.lit(" Updated.")))
-    return store_records(arts, max_tokens=STORE_TEST_MAX_TOKENS)
+    return arts
 
 
 def article_metadata(spark, sf):
-    return S.metadata(_store(spark, sf))
+    return S.metadata(store_records(_articles(spark, sf), max_tokens=STORE_TEST_MAX_TOKENS))
 
 
-def _written(spark, records: DataFrame) -> ChunkStore:
-    """A new store on the shared folder that holds the records."""
+def _written(spark, articles: DataFrame) -> ChunkStore:
+    """A new store on the shared folder that holds the articles' records."""
     store = open_store(spark, work_dir(spark, "store"))
-    store.append(records)
+    store.append_articles(articles, STORE_TEST_MAX_TOKENS)
     return store
 
 
 def store_append(spark, sf):
-    store = _written(spark, _store(spark, sf, "a").where(F.col("lang") == "en"))
-    store.append(_store(spark, sf, "b"))
+    store = _written(spark, _articles(spark, sf, "a").where(F.col("lang") == "en"))
+    store.append_articles(_articles(spark, sf, "b"), STORE_TEST_MAX_TOKENS)
     return store.df().select("id", "article_id", "chunk_index", "document")
 
 
@@ -404,31 +404,32 @@ def _requested_ids(spark, sf):
 
 
 def store_get(spark, sf):
-    return _written(spark, _store(spark, sf)).get(_doc_articles(spark, sf).select("id")).select("id", "document")
+    return _written(spark, _articles(spark, sf)).get(_doc_articles(spark, sf).select("id")).select("id", "document")
 
 
 def store_exists(spark, sf):
-    return _written(spark, _store(spark, sf)).exists(_requested_ids(spark, sf))
+    return _written(spark, _articles(spark, sf)).exists(_requested_ids(spark, sf))
 
 
 def store_list(spark, sf):
-    return _written(spark, _store(spark, sf)).list().select("id", "title")
+    return _written(spark, _articles(spark, sf)).list().select("id", "title")
 
 
 def store_delete(spark, sf):
-    store = _written(spark, _store(spark, sf))
+    store = _written(spark, _articles(spark, sf))
     arts = _doc_articles(spark, sf)
     store.delete(arts.where(F.col("lang") == "de").select(F.col("id").alias("article_id")), by="article_id")
+    store.vacuum()   # the store is the query's own
     store.delete(arts.select(F.concat(F.col("id"), F.lit("_chunk_1")).alias("id")))
     return store.df().select("id", "article_id")
 
 
 def store_count(spark, sf):
-    return _written(spark, _store(spark, sf)).count()
+    return _written(spark, _articles(spark, sf)).count()
 
 
 def store_reset(spark, sf):
-    store = _written(spark, _store(spark, sf))
+    store = _written(spark, _articles(spark, sf))
     before = store.count().select(F.col("records").alias("before"), F.lit(None).cast("bigint").alias("after"))
     store.reset()
     after = store.count().select(F.lit(None).cast("bigint").alias("before"), F.col("records").alias("after"))
@@ -449,10 +450,10 @@ def stream_questions(spark, sf):
 def stream_enrich(spark, sf):
     from folio.streaming.replies import run_replies
     root = work_dir(spark, "stream-enrich")
-    store = _written(spark, _store(spark, sf))
+    store = _written(spark, _articles(spark, sf))
     requests = E.prompt_requests(_routed(spark, sf)).select("request_id", "part", "parts", "route")
     replies = _request_responses(spark, sf, requests, "doc_id")
-    run_replies(store, D.request_files(requests, f"{root}/requests"), D.reply_files(replies, f"{root}/replies"), f"{root}/run")
+    run_replies(store, D.request_files(requests, f"{root}/requests"), D.reply_files(replies, f"{root}/replies"), f"{root}/run", vacuum=True)
     return store.df().where("chunk_index = 0").select(F.col("article_id").alias("request_id"), "summary", _bar(F.col("topics")).alias("topics"))
 
 

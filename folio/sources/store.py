@@ -18,7 +18,7 @@ buckets of the articles narrow the files down, and only files with a match are
 written anew.  All other files pass into the next version by name.  Lookups read
 the files of the buckets asked for; a small request is pushed down to Parquet,
 whose Bloom filters on ``id`` skip row groups.  Readers that began on an older
-version keep its files.
+version keep its files until ``vacuum()`` is called.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from folio.operators.chunking import STORE_MAX_TOKENS, store_records
 ATTEMPTS = 20          # writers that were first so many times in a row make a write fail
 LOOKUP_IDS = 1000      # requests up to this size go into the plan as a filter
 CROWDED = 32           # files of a bucket from which compact() rewrites it
+KEY_BYTES = 1 << 23    # keys that a rewrite takes to the files at once
 # ---------------------------------------------------------------------------
 
 
@@ -162,8 +163,15 @@ class ChunkStore:
         return self._read(self._touched(files, ids.select(S.article_of(F.col("id")).alias("article_id"))))
 
     def get(self, ids: DataFrame) -> DataFrame:
-        """The records with these ids (column ``id``)."""
-        return S.get(self._looked_up(ids), ids).select(*self.schema.names, "bucket")
+        """The records with these ids (column ``id``).
+
+        Ids are looked up before any text is read, so a request that is mostly unknown,
+        or asks for few records, does not shuffle the texts of all others.
+        """
+        rows = self._looked_up(ids)
+        found = S.get(rows.select("id"), ids).distinct()
+        size = found.agg(F.sum(F.octet_length("id") + 64)).first()[0] or 0
+        return S.get(rows, F.broadcast(found) if size <= KEY_BYTES else ids).select(*self.schema.names, "bucket")
 
     def exists(self, ids: DataFrame) -> DataFrame:
         """A10: each requested id with a stored / not stored flag."""
@@ -178,21 +186,54 @@ class ChunkStore:
         return S.count(self.df())
 
     # -- writes ---------------------------------------------------------------
-    def _write(self, rows: DataFrame) -> tuple[list[str], dict]:
-        """Put rows down as files of a new commit; their names, and the counts observed by the write itself."""
+    def _write(self, rows: DataFrame, spread: bool = True) -> tuple[list[str], dict]:
+        """Put rows down as files of a new commit; their names, and the counts observed by the write itself.
+
+        Without ``spread`` rows stay in their tasks, for rows that lie by bucket already.
+        """
         folder = f"snapshots/commit={uuid.uuid4().hex}"
         seen = Observation()
-        out = rows.select(*self.schema.names).withColumn("bucket", self._bucket(F.col("article_id")))
+        if spread or "bucket" not in rows.columns:
+            rows = rows.withColumn("bucket", self._bucket(F.col("article_id")))
+        out = rows.select(*self.schema.names, "bucket")
         out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col("chunk_index") == 0).alias("articles"))
         # adaptive execution joins small buckets in one task and splits large ones, so the number
         # of tasks and files follows the size of the rows
-        writer = out.hint("rebalance", F.col("bucket")).write.option("parquet.bloom.filter.enabled#id", "true")
+        writer = (out.hint("rebalance", F.col("bucket")) if spread else out).write.option("compression", "zstd")
+        # a filter as large as the file's ids need, not of the fixed largest size
+        writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.partitionBy("bucket").parquet(f"{self.root}/{folder}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.root}/{folder}").inputFiles()
         if not written:  # an empty plan may be cut down to nothing, its observation with it
             return [], {"records": 0, "articles": 0}
         return sorted(self._relative(f) for f in written), seen.get
 
+    def _rewrite(self, old: list[str], keys: DataFrame, change) -> list[str]:
+        """New files of ``change(rows, keys)`` for the rows of ``old``; ``keys`` has ``article_id`` or ``id`` and what ``change`` needs.
+
+        Both meet bucket by bucket, several small buckets together, as many keys at a time as
+        may be broadcast: the rows, which hold the texts, are not shuffled.  Only the keys of a
+        bucket that has more than that meet its rows by Spark's own choice of a join.
+        """
+        article = F.col("article_id") if "article_id" in keys.columns else S.article_of(F.col("id"))
+        keys = keys.withColumn("_bucket", self._bucket(article)).persist()
+        try:
+            size = F.sum(F.octet_length(F.to_json(F.struct("*"))) + 64).alias("size")
+            sizes = {r["_bucket"]: r["size"] for r in keys.groupBy("_bucket").agg(size).collect()}   # a few numbers
+            todo = sorted({int(re.search(r"/bucket=(\d+)/", f)[1]) for f in old})
+            files: list[str] = []
+            while todo:
+                some, held = [], 0
+                while todo and (not some or held + sizes.get(todo[0], 0) <= KEY_BYTES):
+                    held += sizes.get(todo[0], 0)
+                    some.append(todo.pop(0))
+                part = keys.where(F.col("_bucket").isin(some)).drop("_bucket")
+                few = held <= KEY_BYTES
+                files += self._write(change(self._read(self._in_buckets(old, some)), F.broadcast(part) if few else part), spread=not few)[0]
+            return files
+        finally:
+            keys.unpersist()
+
     @staticmethod
     def _relative(path: str) -> str:
         return path[path.rindex("/snapshots/") + 1:]
@@ -219,17 +260,50 @@ class ChunkStore:
             if not about["files"]:
                 files, seen = self._write(records)
                 return files, seen | {"known": 0}
-            # used twice (buckets and rows); a lost executor recomputes its part
-            batch = records.persist()
+            # the articles are kept, not their texts
+            articles = records.groupBy("article_id").agg(F.count_if(F.col("chunk_index") == 0).alias("n")).persist()
             try:
-                stored = self._read(self._touched(about["files"], batch))
-                files, seen = self._write(S.insert_new(stored, batch))
-                handed = batch.agg(F.count_if(F.col("chunk_index") == 0)).first()[0]
+                stored = self._read(self._touched(about["files"], articles))
+                files, seen = self._write(S.insert_new(stored, records))
+                handed = articles.agg(F.sum("n")).first()[0] or 0
             finally:
-                batch.unpersist()
+                articles.unpersist()
             return about["files"] + files, seen | {"known": handed - seen["articles"]}
         return self._commit(change)
 
+    def append_articles(self, articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, columns: list[str] | None = None) -> int:
+        """A7 with D1 + D4: chunk the articles that are not stored and add their records; returns how many.
+
+        Callers hand in one version of an article, as for :meth:`append`.  Articles
+        go to their buckets before they are chunked: records repeat the title, and
+        with ``columns`` None hold all columns of the article but its whole text,
+        of which a record's document is a part.
+        """
+        return self._append_articles(articles, max_tokens, columns)["records"]
+
+    def _append_articles(self, articles: DataFrame, max_tokens: int, columns: list[str] | None) -> dict:
+        def change(about: dict):
+            new, known = articles, 0
+            if about["files"]:
+                ids = articles.select(F.col("id").alias("article_id"))
+                stored = self._read(self._touched(about["files"], ids)).select("article_id").distinct()
+                known = ids.join(stored, "article_id", "left_semi").count()
+                new = S.insert_new(stored, articles.withColumn("article_id", F.col("id"))).drop("article_id")
+            records = store_records(self._dealt(new), max_tokens=max_tokens)
+            if self.schema is None:
+                self.schema = records.select(*(columns or [c for c in records.columns if c not in ("content", "bucket")])).schema
+            files, seen = self._write(records, spread=False)
+            return about["files"] + files, seen | {"known": known}
+        return self._commit(change)
+
+    def _dealt(self, articles: DataFrame) -> DataFrame:
+        """The articles by bucket, a large bucket in several tasks: chunking is the work, so the tasks follow the cores too."""
+        conf = self.spark.conf
+        tasks = max(int(conf.get("spark.sql.shuffle.partitions")), 2 * self.spark.sparkContext.defaultParallelism)
+        shares = -(-4 * tasks // self.buckets)
+        out = articles.withColumn("bucket", self._bucket(F.col("id")))
+        return out.repartition(tasks, "bucket", F.pmod(F.xxhash64(F.lit("share"), F.col("id")), F.lit(shares))).sortWithinPartitions("bucket")
+
     def upsert(self, records: DataFrame, least: str | None = None) -> int:
         """Put the records in place of their articles' stored ones; returns how many were written.
 
@@ -250,9 +324,9 @@ class ChunkStore:
                     winners = batch.join(beaten, "article_id", "left_anti").select(*batch.columns).persist()
                 articles = winners.select("article_id").distinct()
                 old = self._holding(touched, articles, "article_id")
-                rest = S.delete(self._read(old), articles, by="article_id").select(*self.schema.names)
                 added = winners.count()
-                files, _ = self._write(rest.unionByName(winners.select(*self.schema.names))) if added else ([], None)
+                files = self._write(winners)[0] if added else []
+                files += self._rewrite(old, articles, lambda rows, keys: S.delete(rows, keys, by="article_id")) if old else []
                 if winners is not batch:
                     winners.unpersist()
             finally:
@@ -274,10 +348,9 @@ class ChunkStore:
                 old = self._holding(touched, given, "article_id")
                 if not old:
                     return about["files"], 0
-                new = given.select("article_id", F.struct(*names).alias("_new"))
-                rows = self._read(old).join(new, "article_id", "left")
                 put = [F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in self.schema.names]
-                files, _ = self._write(rows.select(*put))
+                new = given.select("article_id", F.struct(*names).alias("_new"))
+                files = self._rewrite(old, new, lambda rows, keys: rows.join(keys, "article_id", "left").select(*put))
                 found = self._read(old).join(given, "article_id", "left_semi").select("article_id").distinct().count()
             finally:
                 given.unpersist()
@@ -292,7 +365,7 @@ class ChunkStore:
             keys = ids.select(by).distinct()
             article = F.col("article_id") if by == "article_id" else S.article_of(F.col("id"))
             old = self._holding(self._touched(about["files"], keys.select(article.alias("article_id"))), keys, by)
-            files, _ = self._write(S.delete(self._read(old), keys, by=by)) if old else ([], None)
+            files = self._rewrite(old, keys, lambda rows, some: S.delete(rows, some, by=by)) if old else []
             return [f for f in about["files"] if f not in set(old)] + files, None
         if self.is_open():
             self._commit(change)
@@ -316,6 +389,21 @@ class ChunkStore:
             return [f for f in about["files"] if f not in set(old)] + files, len(full)
         return self._commit(change)
 
+    def vacuum(self) -> int:
+        """Remove the files that only earlier versions name; returns how many were named.
+
+        For a store that no reader has open on an earlier version.  Files of a write
+        that has not claimed its version yet are named nowhere, and stay.
+        """
+        n, about = self._manifest()
+        if n is None:
+            return 0
+        texts = self.spark.read.text([f"{self.root}/versions/{i}" for i in map(int, filter(str.isdigit, self._names("versions"))) if i < n], wholetext=True) if n else None
+        old = {f for r in (texts.collect() if texts else []) for f in json.loads(r[0])["files"]} - set(about["files"])
+        for f in sorted(old):
+            self._fs.delete(self._path(f), False)
+        return len(old)
+
     # -- articles -------------------------------------------------------------
     def store_articles(self, articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, columns: list[str] | None = None) -> DataFrame:
         """A7 + A8: chunk and append articles; one row ``(success, failed)``, zeros for an empty batch.
@@ -329,8 +417,7 @@ class ChunkStore:
         folder = f"{self.root}/failed/commit={uuid.uuid4().hex}"
         bad.write.parquet(folder)
         failed = 0 if self.spark.read.schema(articles.schema).parquet(folder).isEmpty() else seen.get["failed"]
-        records = store_records(articles.where(S.storable()), max_tokens=max_tokens)
-        done = self._append(records.select(*columns) if columns else records)
+        done = self._append_articles(articles.where(S.storable()), max_tokens, columns)
         return self.spark.createDataFrame([(done["articles"] + done["known"], failed)], "success bigint, failed bigint")
 
     def failed_articles(self) -> DataFrame | None:

@@ -48,8 +48,8 @@ def finished(rows: DataFrame) -> DataFrame:
     return E.enrich(once.select("request_id", "part", "parts", "route"), once.where("body is not null").select("request_id", "part", "body"))
 
 
-def settle_batch(store: ChunkStore, root: str):
-    """``foreachBatch`` body: keep the settled parts, enrich what is complete, annotate the store."""
+def settle_batch(store: ChunkStore, root: str, vacuum: bool = False):
+    """``foreachBatch`` body: keep the settled parts, enrich what is complete, annotate the store (``vacuum``: and remove its old files)."""
     def fn(batch: DataFrame, epoch_id: int) -> None:
         spark, path = store.spark, f"{root}/settled"
         batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path)
@@ -57,6 +57,8 @@ def settle_batch(store: ChunkStore, root: str):
         ids = rows.where(F.col("epoch") == epoch_id).select("request_id").distinct()
         done = finished(rows.join(ids, "request_id", "left_semi"))
         store.annotate(done.select(F.col("request_id").alias("article_id"), "summary", "topics"))
+        if vacuum:
+            store.vacuum()
     return fn
 
 
@@ -68,16 +70,17 @@ def _stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: in
 
 
 def run_replies(store: ChunkStore, requests: str, replies: str, root: str, wait: str = WAIT, delay: str = DELAY,
-                files_per_trigger: int | None = None) -> DataFrame:
+                files_per_trigger: int | None = None, vacuum: bool = False) -> DataFrame:
     """Run both streams over what is in the folders ``requests`` and ``replies`` now; the settled parts so far.
 
     ``root`` holds the checkpoint and the settled parts; a later run goes on there.
+    ``vacuum`` is for a store without other readers: each batch leaves the files of its last version only.
     """
     spark = store.spark
     spark.createDataFrame([], T.StructType.fromDDL(SETTLED_SCHEMA)).write.mode("append").partitionBy("epoch").parquet(f"{root}/settled")
     joined = settled(_stream(spark, requests, REQUEST_SCHEMA, files_per_trigger), _stream(spark, replies, REPLY_SCHEMA, files_per_trigger), wait, delay)
     query = (
-        joined.writeStream.foreachBatch(settle_batch(store, root))
+        joined.writeStream.foreachBatch(settle_batch(store, root, vacuum))
         .option("checkpointLocation", f"{root}/_checkpoint").outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folio.operators.chunking import store_records
 from folio.session import work_dir
 from folio.sources.store import ChunkStore, LostRace, open_store
 
@@ -120,3 +121,45 @@ def test_counts_come_from_the_write(spark):
 def test_buckets_are_fixed_by_the_first_version(spark, store):
     again = ChunkStore(spark, store.root, buckets=3)
     assert again.append(_articles(spark, range(100))) == 0 and again.buckets == 16
+
+
+def test_store_holds_each_text_once_and_does_not_shuffle_records(spark):
+    """Records of a long article hold its parts, not the whole text in each; appended in another order of buckets than before."""
+    cols = "id string, title string, content string, lang string"
+    text = lambda i, n: " ".join(f"word{i}x{j}." for j in range(n))
+    arts = spark.createDataFrame([(f"k{i}", "title", text(i, 300), "en") for i in range(40)] + [(None, "title", "no id", "en")], cols)
+    st = open_store(spark, work_dir(spark, "test-whole-texts"), buckets=8)
+    first = st.append_articles(arts.where("id < 'k2' or id is null"), 40)
+    assert "content" not in st.df().columns and first == st.df().count()
+    assert st.append_articles(arts.where("id is not null"), 40) == st.df().count() - first > 0
+    assert st.append_articles(arts.where("id is not null"), 40) == 0
+    want = {(r.id, r.document) for r in store_records(arts, max_tokens=40).collect()}
+    assert {(r.id, r.document) for r in st.df().collect()} == want and st.df().count() == len(want)
+    assert {r.bucket for r in st.df().select("article_id", "bucket").distinct().collect()} == set(range(8))
+    assert st.df().where(st._bucket(F.col("article_id")) != F.col("bucket")).count() == 0
+
+
+def test_rewrites_meet_their_keys_in_portions(spark, store, monkeypatch):
+    """As many keys at a time as fit; a bucket with more than that by a join of Spark's choice."""
+    for most in (1, 1200):
+        monkeypatch.setattr("folio.sources.store.KEY_BYTES", most)
+        st = open_store(spark, work_dir(spark, "test-portions"), buckets=16)
+        st.append(_articles(spark, range(100)))
+        gone = spark.range(0, 100, 3).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("article_id"))
+        before = {(r.id, r.article_id) for r in st.df().collect()}
+        drop = {r.article_id for r in gone.collect()}
+        st.delete(gone, by="article_id")
+        assert {(r.id, r.article_id) for r in st.df().collect()} == {x for x in before if x[1] not in drop}
+        assert st.df().where(st._bucket(F.col("article_id")) != F.col("bucket")).count() == 0
+        asked = st.df().select("id")
+        assert st.get(asked).count() == st.df().count()
+
+
+def test_vacuum_removes_what_only_earlier_versions_name(spark, store):
+    store.append(_articles(spark, range(200, 230)))
+    before = set(store.files())
+    store.delete(spark.createDataFrame([("a200",)], "article_id string"), by="article_id")
+    rows, gone = _ids(store), len(before - set(store.files()))
+    assert gone and store.vacuum() == gone and _ids(store) == rows
+    store.append(_articles(spark, range(300, 303)))
+    assert len(_ids(store)) > len(rows)
