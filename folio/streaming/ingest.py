@@ -34,6 +34,11 @@ def page_stream(spark: SparkSession, folder: str, glob: str = "*.parquet", files
     return reader.parquet(folder)
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    """The table for a stream, one file or a folder of part files: Spark takes a path that is no pattern for a folder."""
+    return f"{sf_dir.rstrip('/')}/[{name[0]}]{name[1:]}.parquet"
+
+
 def ingest_batch(store: ChunkStore, max_tokens: int = STORE_MAX_TOKENS):
     def fn(batch: DataFrame, epoch_id: int) -> None:
         fields = P.drop_incomplete(P.page_fields(P.fetchable(batch)))
@@ -65,5 +70,5 @@ def run_ingest(spark: SparkSession, folder: str, store_root: str, glob: str = "*
 def run_ingest_from_table(spark: SparkSession, sf_dir: str, max_tokens: int = STORE_MAX_TOKENS) -> DataFrame:
     """The registered query: stream the ``pages`` table into a fresh store, return its records."""
     root = work_dir(spark, "stream-ingest")
-    store = run_ingest(spark, f"{sf_dir.rstrip('/')}/pages.parquet", root, max_tokens=max_tokens)
+    store = run_ingest(spark, table_path(sf_dir, "pages"), root, max_tokens=max_tokens)
     return store.df().select("id", "article_id", "chunk_index", "total_chunks", "document")

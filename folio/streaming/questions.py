@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from folio.operators import retrieval as Q
 from folio.session import work_dir
+from folio.streaming.ingest import table_path
 
 HIT_SCHEMA = "qid bigint, rank int, id bigint, distance double, question string, epoch int"
 CONV_SCHEMA = "conv_id bigint, turn bigint, role string, text string"
@@ -37,7 +38,7 @@ def run_questions_from_table(spark: SparkSession, sf_dir: str, k: int = Q.QUESTI
     emb = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     vectors = emb.select(F.col("vec_id").alias("conv_id"), "embedding")
-    stream = spark.readStream.schema(CONV_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    stream = spark.readStream.schema(CONV_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(table_path(sf_dir, "conversations"))
     query = (
         stream.writeStream.foreachBatch(answer_batch(store, vectors, f"{root}/hits", k))
         .option("checkpointLocation", f"{root}/_checkpoint")

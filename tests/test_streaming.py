@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from folio.operators import pages as P
@@ -85,12 +86,18 @@ def test_replies_arrive_late_or_never(spark):
     assert sorted({r.epoch for r in spark.read.parquet(f"{root}/run/settled").collect()})[0] == 0
 
 
-def test_streams_read_tables_of_many_files(spark, tmp_path):
+@pytest.mark.parametrize("files", [1, 3])
+def test_streams_read_tables_of_one_or_many_files(spark, tmp_path, files):
     """A table may be a folder of part files or one file; a stream reads it whole either way."""
     from folio.plans import catalog
-    spark.read.parquet(f"{SMALL}/pages.parquet").limit(9).repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
-    spark.read.parquet(f"{SMALL}/conversations.parquet").where("conv_id < 6").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.read.parquet(f"{SMALL}/pages.parquet").limit(9).repartition(files).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.read.parquet(f"{SMALL}/conversations.parquet").where("conv_id < 6").repartition(files).write.parquet(f"{tmp_path}/conversations.parquet")
     spark.read.parquet(f"{SMALL}/embeddings.parquet").limit(50).write.parquet(f"{tmp_path}/embeddings.parquet")
+    if files == 1:
+        for t in ("pages", "conversations"):
+            (part,) = (tmp_path / f"{t}.parquet").glob("part-*.parquet")
+            (tmp_path / f"{t}.parquet").rename(tmp_path / f"{t}-folder")
+            (tmp_path / f"{t}-folder" / part.name).rename(tmp_path / f"{t}.parquet")
     pages = spark.read.parquet(f"{tmp_path}/pages.parquet")
     fields = P.drop_incomplete(P.page_fields(P.fetchable(pages)))
     arts = P.one_per_id(P.assemble(fields, F.current_timestamp().cast("timestamp_ntz"), keep=("page_id",)))
