@@ -27,6 +27,7 @@ TokenFn = Callable[[Column], Column]
 # --- fixed values -----------------------------------------------------------
 STORE_MAX_TOKENS = 8000        # record budget of the chunk store
 TITLE_MARGIN = 10              # kept free next to the title on the long path
+TITLE_SEP = "\n\n"             # between title and text of a document
 ANALYSIS_MAX_TOKENS = 3000     # default budget of the paragraph chunker
 ANALYSIS_RESERVE = 1000        # kept free for prompt and reply
 # ---------------------------------------------------------------------------
@@ -217,6 +218,30 @@ def add_paragraph_chunks(df: DataFrame, content: str, max_tokens=ANALYSIS_MAX_TO
     return df.withColumn(out, col if only is None else F.when(only, col))
 
 
+def _cut_article(max_tokens: int, tokens: TokenFn) -> Column:
+    """``struct(whole, texts)`` of an article: its content, or the chunks of a content that is too long."""
+    title, content = F.col("title"), F.col("content")
+
+    def with_title_tokens(tt: Column) -> Column:
+        # the default counter is additive over the blank-line join: no second pass
+        full_tokens = (tt + tokens(content)) if tokens is token_count else tokens(F.concat(title, F.lit(TITLE_SEP), content))
+        budget = F.lit(max_tokens) - tt - F.lit(TITLE_MARGIN)
+        return F.when(full_tokens <= max_tokens, F.struct(F.lit(True).alias("whole"), F.array(content).alias("texts"))) \
+            .otherwise(F.struct(F.lit(False).alias("whole"), sentence_chunks(content, budget, tokens).alias("texts")))
+
+    return let(tokens(title), with_title_tokens)
+
+
+def chunk_id(article_id: Column, chunk_index: Column) -> Column:
+    """The record id of a chunk."""
+    return F.concat(article_id, F.lit("_chunk_"), chunk_index.cast("string"))
+
+
+def titled(text: Column) -> Column:
+    """The document of a record: title, blank line, text."""
+    return F.concat(F.col("title"), F.lit(TITLE_SEP), text)
+
+
 def store_records(articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, tokens: TokenFn = token_count,
                   id_col: str = "id") -> DataFrame:
     """D1 + D4: one store record per article, or one per chunk when it is too long.
@@ -227,33 +252,55 @@ def store_records(articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, token
     ``title + blank line + chunk`` under ``<id>_chunk_<i>``.  Adds
     ``article_id``, ``chunk_index``, ``total_chunks`` and ``document``.
     """
-    title, content = F.col("title"), F.col("content")
-    sep = F.lit("\n\n")
-
-    def with_title_tokens(tt: Column) -> Column:
-        # the default counter is additive over the blank-line join: no second pass
-        full_tokens = (tt + tokens(content)) if tokens is token_count else tokens(F.concat(title, sep, content))
-        budget = F.lit(max_tokens) - tt - F.lit(TITLE_MARGIN)
-        return F.when(full_tokens <= max_tokens, F.struct(F.lit(True).alias("whole"), F.array(F.concat(title, sep, content)).alias("docs"))) \
-            .otherwise(F.struct(F.lit(False).alias("whole"), F.transform(
-                sentence_chunks(content, budget, tokens), lambda c: F.concat(title, sep, c)).alias("docs")))
-
     def records(p: Column) -> Column:
-        return F.transform(p["docs"], lambda d, i: F.struct(
-            i.alias("chunk_index"), F.size(p["docs"]).alias("total_chunks"), d.alias("document"),
-            p["whole"].alias("_whole"),
+        return F.transform(p["texts"], lambda c, i: F.struct(
+            i.alias("chunk_index"), F.size(p["texts"]).alias("total_chunks"), c.alias("_text"), p["whole"].alias("_whole"),
         ))
 
-    # inline is a generator, so the fold runs once per article whatever the later projections need
-    recs = let(tokens(title), lambda tt: let(with_title_tokens(tt), records))
+    # inline is a generator, so the fold runs once per article whatever the later projections need;
+    # the title is put before each text after it, so no row holds all copies of its title
     return (
-        articles.select("*", F.inline(recs))
+        articles.select("*", F.inline(let(_cut_article(max_tokens, tokens), records)))
+        .withColumn("document", titled(F.col("_text")))
         .withColumn("article_id", F.col(id_col))
-        .withColumn(
-            id_col,
-            F.when(F.col("_whole"), F.col(id_col)).otherwise(
-                F.concat(F.col(id_col), F.lit("_chunk_"), F.col("chunk_index").cast("string"))
-            ),
+        .withColumn(id_col, F.when(F.col("_whole"), F.col(id_col)).otherwise(chunk_id(F.col(id_col), F.col("chunk_index"))))
+        .drop("_whole", "_text")
+    )
+
+
+def packed_records(articles: DataFrame, max_tokens: int = STORE_MAX_TOKENS, tokens: TokenFn = token_count,
+                   id_col: str = "id") -> DataFrame:
+    """The records of :func:`store_records`, the chunks of an article in one row.
+
+    ``_parts`` holds ``(i, text)`` of each chunk in the order of the record ids, and is
+    null for an article that is whole; what differs between chunks (id, chunk_index,
+    document) is null where ``_parts`` is not.  So a title is there once, not once a chunk.
+    """
+    def row(p: Column) -> Column:
+        # ids of one article differ in the digits at their end
+        parts = F.array_sort(F.transform(p["texts"], lambda c, i: F.struct(i.cast("string").alias("k"), i.alias("i"), c.alias("text"))))
+        return F.struct(
+            F.when(p["whole"], F.element_at(p["texts"], 1)).alias("_text"), F.size(p["texts"]).alias("total_chunks"),
+            F.when(~p["whole"], F.transform(parts, lambda x: F.struct(x["i"].alias("i"), x["text"].alias("text")))).alias("_parts"),
         )
-        .drop("_whole")
+
+    whole = F.col("_parts").isNull()
+    return (
+        articles.select("*", F.inline(F.array(let(_cut_article(max_tokens, tokens), row))))
+        .where(F.col("total_chunks") > 0)
+        .withColumn("chunk_index", F.when(whole, F.lit(0)))
+        .withColumn("document", F.when(whole, titled(F.col("_text"))))
+        .withColumn("article_id", F.col(id_col))
+        .withColumn(id_col, F.when(whole, F.col(id_col)))
+        .drop("_text")
     )
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """One row per record of rows some of which are packed (see :func:`packed_records`)."""
+    many = F.col("_p").isNotNull()
+    kinds = {f.name: f.dataType for f in rows.schema}
+    made = {"id": chunk_id(F.col("article_id"), F.col("_p.i")), "chunk_index": F.col("_p.i"), "document": titled(F.col("_p.text"))}
+    names = [c for c in rows.columns if c != "_parts"]
+    out = rows.select(*names, F.explode_outer("_parts").alias("_p"))
+    return out.select(*[F.when(many, made[c]).otherwise(F.col(c)).cast(kinds[c]).alias(c) if c in made else F.col(c) for c in names])

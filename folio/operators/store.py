@@ -100,6 +100,14 @@ def get(store: DataFrame, ids: DataFrame) -> DataFrame:
     return store.join(ids.select("id"), "id", "left_semi")
 
 
+def by_article(ids: DataFrame) -> DataFrame:
+    """Distinct record ids by the article in them: ``(article_id, _ids, _numbers)``, with the numbers of those that are ids of chunks."""
+    article = article_of(F.col("id"))
+    number = F.nullif(F.regexp_extract("id", r"_chunk_(0|[1-9][0-9]{0,8})\z", 1), F.lit("")).cast("int")
+    rows = ids.where("id is not null").select("id", article.alias("article_id"), number.alias("n"))
+    return rows.groupBy("article_id").agg(F.collect_set("id").alias("_ids"), F.collect_set("n").alias("_numbers"))
+
+
 def exists(ids: DataFrame, store: DataFrame) -> DataFrame:
     """A10: each requested id with a stored / not stored flag.
 
@@ -126,10 +134,10 @@ def delete(store: DataFrame, ids: DataFrame, by: str = "id") -> DataFrame:
     return store.join(ids.select(F.col(by)), by, "left_anti")
 
 
-def count(store: DataFrame) -> DataFrame:
-    """Number of records (chunks) and of distinct articles."""
+def count(store: DataFrame, records: Column | None = None) -> DataFrame:
+    """Number of records (chunks) and of distinct articles; ``records`` is the number of records in a row, if not one."""
     return store.agg(
-        F.count(F.lit(1)).cast("bigint").alias("records"),
+        F.coalesce(F.sum(F.lit(1) if records is None else records), F.lit(0)).cast("bigint").alias("records"),
         F.countDistinct("article_id").cast("bigint").alias("articles"),
     )
 

@@ -412,7 +412,7 @@ def store_exists(spark, sf):
 
 
 def store_list(spark, sf):
-    return _written(spark, _articles(spark, sf)).list().select("id", "title")
+    return _written(spark, _articles(spark, sf)).list(columns=["id", "title"])
 
 
 def store_delete(spark, sf):

@@ -17,8 +17,14 @@ Append, upsert and delete touch only the files that hold their articles: the
 buckets of the articles narrow the files down, and only files with a match are
 written anew.  All other files pass into the next version by name.  Lookups read
 the files of the buckets asked for; a small request is pushed down to Parquet,
-whose Bloom filters on ``id`` skip row groups.  Readers that began on an older
-version keep its files until ``vacuum()`` is called.
+whose Bloom filters on ``id`` and ``article_id`` skip row groups.  Readers that
+began on an older version keep its files until ``vacuum()`` is called.
+
+The chunks of an article that :meth:`ChunkStore.append_articles` adds are one row of
+a file (:func:`~folio.operators.chunking.packed_records`): every record's document
+begins with the article's title, which may be as long as the text, so records would
+hold, sort and move it once a chunk.  Such rows become records when they are read,
+and are changed as they are.  Records that are handed in as such stay rows.
 """
 
 from __future__ import annotations
@@ -33,13 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.operators import store as S
-from folio.operators.chunking import STORE_MAX_TOKENS, store_records
+from folio.operators.chunking import STORE_MAX_TOKENS, chunk_id, packed_records, store_records, unpacked
 
 # --- fixed values -----------------------------------------------------------
 ATTEMPTS = 20          # writers that were first so many times in a row make a write fail
 LOOKUP_IDS = 1000      # requests up to this size go into the plan as a filter
 CROWDED = 32           # files of a bucket from which compact() rewrites it
 KEY_BYTES = 1 << 23    # keys that a rewrite takes to the files at once
+PARTS = T.StructField("_parts", T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("text", T.StringType())])))
+PACKED = {"id", "article_id", "chunk_index", "title", "document"}   # columns without which rows cannot be packed
 # ---------------------------------------------------------------------------
 
 
@@ -126,21 +134,31 @@ class ChunkStore:
         return [f for f in files if re.search(r"/bucket=\d+/", f)[0] in wanted]
 
     def _read(self, files: list[str]) -> DataFrame:
+        """The rows of the files: records, or an article's records in one row."""
         if self.schema is None:
             raise ValueError("empty store without a schema")
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        schema = T.StructType([*self.schema.fields, PARTS, T.StructField("bucket", T.IntegerType())])
         if not files:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/snapshots")
         return reader.parquet(*[f"{self.root}/{f}" for f in files])
 
+    def _records(self, rows: DataFrame) -> DataFrame:
+        """One row per record."""
+        return unpacked(rows) if PACKED <= set(self.schema.names) else rows.drop(PARTS.name)
+
+    @staticmethod
+    def _in_row() -> Column:
+        """How many records a row holds."""
+        return F.when(F.col(PARTS.name).isNull(), 1).otherwise(F.size(PARTS.name))
+
     def is_open(self) -> bool:
         """True if the store has been written to."""
         return self.current_snapshot() is not None
 
     def df(self) -> DataFrame:
         """The live records (an empty frame with the schema when none were written)."""
-        return self._read(self._manifest()[1]["files"]).select(*self.schema.names, "bucket")
+        return self._records(self._read(self._manifest()[1]["files"])).select(*self.schema.names, "bucket")
 
     def files(self) -> list[str]:
         """The live files, relative to the store's folder."""
@@ -152,16 +170,28 @@ class ChunkStore:
         return self._in_buckets(files, [r["b"] for r in found if r["b"] is not None])
 
     def _looked_up(self, ids: DataFrame) -> DataFrame:
-        """The records that a request can concern: of its buckets, and of its ids if they are few."""
+        """The rows that a request can concern: of its buckets, and of its ids if they are few."""
         files = self._manifest()[1]["files"]
-        few = ids.select("id", self._bucket(S.article_of(F.col("id"))).alias("b")).distinct().limit(LOOKUP_IDS + 1).collect()
+        few = ids.select("id", S.article_of(F.col("id")).alias("a"), self._bucket(S.article_of(F.col("id"))).alias("b")).distinct().limit(LOOKUP_IDS + 1).collect()
         if len(few) <= LOOKUP_IDS:
             known = [r for r in few if r["id"] is not None]
             buckets = sorted({r["b"] for r in known})
-            rows = self._read(self._in_buckets(files, buckets))
-            return rows.where(F.col("bucket").isin(buckets) & F.col("id").isin([r["id"] for r in known]))
+            rows = self._read(self._in_buckets(files, buckets)).where(F.col("bucket").isin(buckets))
+            return rows.where(F.col("id").isin([r["id"] for r in known]) | F.col("article_id").isin(sorted({r["a"] for r in known})))
         return self._read(self._touched(files, ids.select(S.article_of(F.col("id")).alias("article_id"))))
 
+    def _chosen(self, rows: DataFrame, asked: DataFrame, keep: bool) -> DataFrame:
+        """The rows' records that are among ``asked`` (see ``store.by_article``), or without ``keep`` all others."""
+        listed = F.col("_ids").isNotNull()
+        whole = F.col(PARTS.name).isNull()
+        found = F.coalesce(F.array_contains("_ids", F.col("id")), F.lit(False))
+        parts = F.filter(PARTS.name, lambda p: F.coalesce(F.array_contains("_numbers", p["i"]), F.lit(False)) == F.lit(keep))
+        # a row that is a record goes by its own id, as a request does
+        both = rows.withColumn("_asked", F.coalesce(S.article_of(F.col("id")), F.col("article_id")))
+        both = both.join(asked.withColumnRenamed("article_id", "_asked"), "_asked", "inner" if keep else "left")
+        both = both.withColumn(PARTS.name, F.when(listed, parts).otherwise(F.col(PARTS.name)))
+        return both.where(F.when(whole, found == F.lit(keep)).otherwise(F.size(PARTS.name) > 0)).select(*rows.columns)
+
     def get(self, ids: DataFrame) -> DataFrame:
         """The records with these ids (column ``id``).
 
@@ -169,21 +199,49 @@ class ChunkStore:
         or asks for few records, does not shuffle the texts of all others.
         """
         rows = self._looked_up(ids)
-        found = S.get(rows.select("id"), ids).distinct()
+        found = S.get(self._records(rows).select("id"), ids).distinct()
         size = found.agg(F.sum(F.octet_length("id") + 64)).first()[0] or 0
-        return S.get(rows, F.broadcast(found) if size <= KEY_BYTES else ids).select(*self.schema.names, "bucket")
+        asked = S.by_article(found)
+        return self._records(self._chosen(rows, F.broadcast(asked) if size <= KEY_BYTES else asked, True)).select(*self.schema.names, "bucket")
 
     def exists(self, ids: DataFrame) -> DataFrame:
         """A10: each requested id with a stored / not stored flag."""
-        return S.exists(ids, self._looked_up(ids))
+        return S.exists(ids, self._records(self._looked_up(ids)))
 
-    def list(self, limit: int | None = None) -> DataFrame:
-        """All records ordered by id."""
-        return S.list_records(self.df(), limit)
+    def list(self, limit: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """All records ordered by id; with ``columns``, these only, and texts are not moved if the document is not among them.
+
+        Rows are ordered by their least id and become records after that, in order, as
+        the ids of an article lie together.  Other ids come between them only if they have
+        the same root, the part before the first ``_chunk_``; packed rows that share their
+        root are unpacked before.
+        """
+        rows = self._read(self._manifest()[1]["files"])
+        wanted = columns or [*self.schema.names, "bucket"]
+        if limit is not None or not PACKED <= set(self.schema.names):
+            return S.list_records(self.df(), limit).select(*wanted)
+        if "document" not in wanted:
+            bare = F.transform(PARTS.name, lambda p: F.struct(p["i"].alias("i"), F.lit(None).cast("string").alias("text")))
+            rows = rows.withColumn(PARTS.name, bare)
+        packed = F.col(PARTS.name).isNotNull()
+        rooted = rows.withColumn("_root", F.substring_index(F.coalesce("id", "article_id"), "_chunk_", 1))
+        shared = rooted.where("_root is not null").groupBy("_root").agg(F.count(F.lit(1)).alias("n"), F.max(packed).alias("p")).where("n > 1 and p").select("_root")
+        if not shared.isEmpty():
+            apart = rooted.join(shared.withColumn("_shared", F.lit(True)), "_root", "left")
+            split = F.when(packed & F.col("_shared"), F.transform(PARTS.name, lambda p: F.array(p))).otherwise(F.array(PARTS.name))
+            rows = apart.select(*[c for c in rows.columns if c != PARTS.name], F.explode(split).alias(PARTS.name))
+        first = F.when(packed, chunk_id(F.col("article_id"), F.col(PARTS.name)[0]["i"])).otherwise(F.col("id"))
+        # their number is given: it follows the records that the rows become, not the size of the rows
+        ordered = rows.withColumn("_first", first).repartitionByRange(self._tasks(), "_first").sortWithinPartitions("_first")
+        return self._records(ordered).select(*wanted)
+
+    def _tasks(self) -> int:
+        """Tasks of work on articles that their size does not show: chunking, or records that repeat a title."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 2 * self.spark.sparkContext.defaultParallelism)
 
     def count(self) -> DataFrame:
         """Number of records and of articles."""
-        return S.count(self.df())
+        return S.count(self._read(self._manifest()[1]["files"]), self._in_row())
 
     # -- writes ---------------------------------------------------------------
     def _write(self, rows: DataFrame, spread: bool = True) -> tuple[list[str], dict]:
@@ -195,13 +253,16 @@ class ChunkStore:
         seen = Observation()
         if spread or "bucket" not in rows.columns:
             rows = rows.withColumn("bucket", self._bucket(F.col("article_id")))
-        out = rows.select(*self.schema.names, "bucket")
-        out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(F.col("chunk_index") == 0).alias("articles"))
+        parts = F.col(PARTS.name) if PARTS.name in rows.columns else F.lit(None).cast(PARTS.dataType)
+        out = rows.select(*self.schema.names, parts.alias(PARTS.name), "bucket")
+        first = F.when(F.col(PARTS.name).isNull(), F.col("chunk_index") == 0).otherwise(F.exists(PARTS.name, lambda p: p["i"] == 0))
+        out = out.observe(seen, F.coalesce(F.sum(self._in_row()), F.lit(0)).alias("records"), F.count_if(first).alias("articles"))
         # adaptive execution joins small buckets in one task and splits large ones, so the number
         # of tasks and files follows the size of the rows
         writer = (out.hint("rebalance", F.col("bucket")) if spread else out).write.option("compression", "zstd")
         # a filter as large as the file's ids need, not of the fixed largest size
-        writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.enabled#article_id", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.partitionBy("bucket").parquet(f"{self.root}/{folder}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.root}/{folder}").inputFiles()
         if not written:  # an empty plan may be cut down to nothing, its observation with it
@@ -242,7 +303,8 @@ class ChunkStore:
         """Of ``files``, those with a row whose ``by`` is among the keys."""
         if not files:
             return []
-        rows = self._read(files).select(by, F.col("_metadata.file_path").alias("_file"))
+        rows = self._read(files).withColumn("_file", F.col("_metadata.file_path"))
+        rows = (self._records(rows) if by == "id" else rows).select(by, "_file")
         found = rows.join(keys.select(by), by, "left_semi").select("_file").distinct().collect()   # at most the number of files
         return sorted(self._relative(r["_file"]) for r in found)
 
@@ -289,20 +351,20 @@ class ChunkStore:
                 stored = self._read(self._touched(about["files"], ids)).select("article_id").distinct()
                 known = ids.join(stored, "article_id", "left_semi").count()
                 new = S.insert_new(stored, articles.withColumn("article_id", F.col("id"))).drop("article_id")
-            records = store_records(self._dealt(new), max_tokens=max_tokens)
             if self.schema is None:
-                self.schema = records.select(*(columns or [c for c in records.columns if c not in ("content", "bucket")])).schema
-            files, seen = self._write(records, spread=False)
+                made = store_records(articles, max_tokens=max_tokens).columns
+                self.schema = store_records(articles, max_tokens=max_tokens).select(*(columns or [c for c in made if c not in ("content", "bucket")])).schema
+            pack = packed_records if PACKED <= set(self.schema.names) else store_records
+            files, seen = self._write(pack(self._dealt(new), max_tokens=max_tokens), spread=False)
             return about["files"] + files, seen | {"known": known}
         return self._commit(change)
 
     def _dealt(self, articles: DataFrame) -> DataFrame:
         """The articles by bucket, a large bucket in several tasks: chunking is the work, so the tasks follow the cores too."""
-        conf = self.spark.conf
-        tasks = max(int(conf.get("spark.sql.shuffle.partitions")), 2 * self.spark.sparkContext.defaultParallelism)
+        tasks = self._tasks()
         shares = -(-4 * tasks // self.buckets)
         out = articles.withColumn("bucket", self._bucket(F.col("id")))
-        return out.repartition(tasks, "bucket", F.pmod(F.xxhash64(F.lit("share"), F.col("id")), F.lit(shares))).sortWithinPartitions("bucket")
+        return out.repartition(tasks, "bucket", F.pmod(F.xxhash64(F.lit("share"), F.col("id")), F.lit(shares)))
 
     def upsert(self, records: DataFrame, least: str | None = None) -> int:
         """Put the records in place of their articles' stored ones; returns how many were written.
@@ -350,7 +412,14 @@ class ChunkStore:
                     return about["files"], 0
                 put = [F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in self.schema.names]
                 new = given.select("article_id", F.struct(*names).alias("_new"))
-                files = self._rewrite(old, new, lambda rows, keys: rows.join(keys, "article_id", "left").select(*put))
+                kept = [F.col(c) for c in (PARTS.name, "bucket")]
+
+                def annotated(rows: DataFrame, keys: DataFrame) -> DataFrame:
+                    if PACKED & set(names):   # what a packed row has no value of, or makes documents of
+                        rows = self._records(rows).withColumn(PARTS.name, F.lit(None).cast(PARTS.dataType))
+                    return rows.join(keys, "article_id", "left").select(*put, *kept)
+
+                files = self._rewrite(old, new, annotated)
                 found = self._read(old).join(given, "article_id", "left_semi").select("article_id").distinct().count()
             finally:
                 given.unpersist()
@@ -365,7 +434,11 @@ class ChunkStore:
             keys = ids.select(by).distinct()
             article = F.col("article_id") if by == "article_id" else S.article_of(F.col("id"))
             old = self._holding(self._touched(about["files"], keys.select(article.alias("article_id"))), keys, by)
-            files = self._rewrite(old, keys, lambda rows, some: S.delete(rows, some, by=by)) if old else []
+            if by == "id":
+                keys = S.by_article(keys)
+                files = self._rewrite(old, keys, lambda rows, some: self._chosen(rows, some, False)) if old else []
+            else:
+                files = self._rewrite(old, keys, lambda rows, some: S.delete(rows, some, by=by)) if old else []
             return [f for f in about["files"] if f not in set(old)] + files, None
         if self.is_open():
             self._commit(change)

@@ -163,3 +163,64 @@ def test_vacuum_removes_what_only_earlier_versions_name(spark, store):
     assert gone and store.vacuum() == gone and _ids(store) == rows
     store.append(_articles(spark, range(300, 303)))
     assert len(_ids(store)) > len(rows)
+
+
+ARTICLES = "id string, title string, content string"
+
+
+def _long_titled(n, title="a long title. " * 200):
+    return [(i, title, " ".join(f"w{i}x{j}" for j in range(n)) + ".") for i in ("p", "q", None)] + [("short", "t", "few words"), ("none", "t", None)]
+
+
+def test_chunks_of_an_article_are_one_row_of_a_file(spark):
+    """A title of any length is stored once an article, not once a chunk; the records are the same."""
+    arts = spark.createDataFrame(_long_titled(120), ARTICLES)
+    st = open_store(spark, work_dir(spark, "test-packed"), buckets=4)
+    want = sorted((r.id or "", r.article_id or "", r.chunk_index, r.total_chunks, r.title, r.document) for r in store_records(arts, max_tokens=60).collect())
+    assert len(want) > 300 and st.append_articles(arts, 60) == len(want)
+    files = [f"{st.root}/{f}" for f in st.files()]
+    assert spark.read.parquet(*files).count() == 5                                                # one row an article with records
+    assert sorted((r.id or "", r.article_id or "", r.chunk_index, r.total_chunks, r.title, r.document) for r in st.df().collect()) == want
+    assert tuple(st.count().first()) == (len(want), 4)                                            # a null id is no article
+    assert st.append_articles(arts.where("id is not null"), 60) == 0
+
+
+def test_list_is_in_order_whatever_the_ids(spark):
+    """Chunk ids in the order of text, articles that lie between the chunks of others, and repeated ones."""
+    rows = [r for r in _long_titled(30, "t") if r[2]]
+    rows += [(i, "t", " ".join(f"z{j}" for j in range(30)) + ".") for i in ("p", "p_chunk_1a", "p_chunk_1", "p_b", "p_chunk", "pa")]
+    st = open_store(spark, work_dir(spark, "test-list"), buckets=4)
+    st.append_articles(spark.createDataFrame(rows, ARTICLES), 13)
+    st.append(st.df().limit(1).drop("bucket").withColumn("article_id", F.lit("p_c")).withColumn("id", F.lit("p_chunk_15")))
+    key = lambda x: (x is not None, (x or "").encode())
+    ids = [r.id for r in st.list().collect()]
+    assert len(ids) == st.df().count() > 100 and ids == sorted((r.id for r in st.df().collect()), key=key)
+    assert [(r.id, r.title) for r in st.list(columns=["id", "title"]).collect()] == [(i, "t") for i in ids]
+    assert [r.id for r in st.list(limit=40).collect()] == ids[:40]
+    plan = st.list(columns=["id", "title"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange rangepartitioning")                     # records are made after the shuffle
+
+
+def test_chunks_of_packed_rows_are_found_and_deleted(spark, monkeypatch):
+    arts = spark.createDataFrame([r for r in _long_titled(30, "t")], ARTICLES)
+    st = open_store(spark, work_dir(spark, "test-parts"), buckets=4)
+    st.append_articles(arts, 13)
+    every = {r.id: r.document for r in st.df().where("id is not null").collect()}
+    ids = lambda names: spark.createDataFrame([(n,) for n in names], "id string")
+    asked = ["p_chunk_1", "p_chunk_10", "p_chunk_10", "p_chunk_01", "p", "q_chunk_9999999999", "short", None]
+    for most in (1 << 23, 1):
+        monkeypatch.setattr("folio.sources.store.KEY_BYTES", most)
+        for few in (1000, 2):
+            monkeypatch.setattr("folio.sources.store.LOOKUP_IDS", few)
+            assert sorted((r.id, r.document) for r in st.get(ids(asked)).collect()) == [(i, every[i]) for i in ("p_chunk_1", "p_chunk_10", "short")]
+            assert {r.id for r in st.exists(ids(asked)).where("exists").collect()} == {"p_chunk_1", "p_chunk_10", "short"}
+    gone = {"short", *(i for i in every if i.startswith("q_chunk_")), "p_chunk_1"}
+    nulls = st.df().where("id is null").count()
+    st.delete(ids([*gone, "p_chunk_01", None]))
+    assert {r.id: r.document for r in st.df().where("id is not null").collect()} == {i: d for i, d in every.items() if i not in gone}
+    assert st.df().where("id is null").count() == nulls > 0
+    st.annotate(spark.createDataFrame([("p", "other")], "article_id string, title string"))
+    assert {r.title for r in st.df().where("article_id = 'p'").collect()} == {"other"}
+    assert {r.id: r.document for r in st.df().where("article_id = 'p'").collect()} == {i: d for i, d in every.items() if i[0] == "p" and i not in gone}
+    st.delete(spark.createDataFrame([("p",)], "article_id string"), by="article_id")
+    assert [r.id for r in st.df().where("id is not null").collect()] == ["none"] and st.count().first().records == nulls + 1
