@@ -113,7 +113,7 @@ def _knn(store, queries, k, metric, where, id_col, vec_col, qid_col, qvec_col, m
 
 def _groups(spark, store_bytes: int) -> tuple[int, int]:
     """Numbers of store groups and query groups: as many pairs as the cores need, more only for a store whose groups would be too large."""
-    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism   # not the shuffle partitions, which a session may raise with its input
     groups = max(2, math.ceil(tasks ** 0.5), math.ceil(store_bytes / STORE_GROUP_BYTES))
     return groups, max(math.ceil(tasks ** 0.5), math.ceil(tasks / groups))
 

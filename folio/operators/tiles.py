@@ -41,11 +41,22 @@ def vectors_of(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def to_bytes(matrix: np.ndarray, floats: bool) -> bytes:
+    """A matrix of doubles as bytes; one that was made of floats as floats, half as many, and a byte that makes their number odd."""
+    return b"f" + matrix.astype(np.float32).tobytes() if floats else matrix.tobytes()
+
+
+def to_matrix(data: bytes, rows: int) -> np.ndarray:
+    """The matrix of doubles that :func:`to_bytes` got."""
+    values = np.frombuffer(data, np.float32, offset=1).astype(np.float64) if len(data) % 2 else np.frombuffer(data, np.float64)
+    return values.reshape(rows, -1)
+
+
 def _packer(max_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
         held: list[tuple[pa.Array, np.ndarray]] = []
-        rows, cell = 0, None
+        rows, cell, floats = 0, None, False
 
         def tile() -> pa.RecordBatch:
             nonlocal held, rows, number
@@ -53,7 +64,7 @@ def _packer(max_bytes: int):
             data = np.concatenate([h[1] for h in held])
             out = pa.RecordBatch.from_arrays([
                 pa.array([cell], pa.int64()), pa.array([(task << 32) + number], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([data.tobytes()], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([to_bytes(data, floats)], pa.binary()),
             ], names=["cell", "tile", "ids", "vecs"])
             held, rows, number = [], 0, number + 1
             return out
@@ -61,7 +72,7 @@ def _packer(max_bytes: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            cells, vecs = b.column(0).to_numpy(), vectors_of(b.column(2))
+            cells, vecs, floats = b.column(0).to_numpy(), vectors_of(b.column(2)), pa.types.is_float32(b.column(2).type.value_type)
             most = max(1, max_bytes // max(1, 8 * vecs.shape[1]))
             cuts = np.flatnonzero(np.diff(cells)) + 1
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cells)]):
@@ -148,9 +159,6 @@ def best_of_tiles(q: np.ndarray, s: np.ndarray, ids: np.ndarray, k: int, metric:
 
 
 def _search(k: int, metric: str, text_ids: bool, by_query: bool):
-    def matrix(data: bytes, rows: int) -> np.ndarray:
-        return np.frombuffer(data, np.float64).reshape(rows, -1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list] = {}   # query tile -> its ids and best hits
         total = 0
@@ -165,7 +173,7 @@ def _search(k: int, metric: str, text_ids: bool, by_query: bool):
                 tile, qids, qvecs, ids, vecs = (b.column(c)[r] for c in range(5))
                 qids = qids.values.to_numpy().copy()   # a view would keep the whole batch while the hits are kept
                 ids = np.array(ids.as_py()) if text_ids else ids.values.to_numpy()
-                q, s = matrix(qvecs.as_py(), len(qids)), matrix(vecs.as_py(), len(ids))
+                q, s = to_matrix(qvecs.as_py(), len(qids)), to_matrix(vecs.as_py(), len(ids))
                 before = kept.get(tile.as_py())
                 if by_query and not before:   # the pairs of the query tile before are over
                     yield from hand_on()

@@ -132,3 +132,29 @@ def test_kept_hits_hold_no_batches():
         got.append((len(seen), sorted(set(b.column(0).to_pylist()))))
     assert [g[1] for g in got] == [list(range(4 * t, 4 * t + 4)) for t in range(6)]
     assert [g[0] for g in got] == [1, 2, 3, 4, 5, 6]      # each before the tile after the next is read
+
+
+def test_tiles_of_floats_take_half_the_bytes_of_doubles(spark):
+    """What goes through the shuffle is as wide as the given components; distances are the same."""
+    from folio.operators import tiles
+    rng = np.random.default_rng(5)
+    rows = [(0, i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 16)).astype(np.float32))] + [(0, 99, [float("nan")] * 16)]
+    got = {}
+    for kind, size in (("float", 4), ("double", 8)):
+        made = tiles.packed(spark.createDataFrame(rows, f"cell long, id long, vec array<{kind}>").coalesce(1), 1 << 20).collect()
+        assert sum(len(r.vecs) for r in made) <= size * 16 * 41 + len(made)
+        got[kind] = np.concatenate([tiles.to_matrix(bytes(r.vecs), len(r.ids)) for r in made])
+    assert np.array_equal(got["float"], got["double"], equal_nan=True) and got["float"].dtype == np.float64
+
+
+def test_pairs_of_groups_do_not_follow_the_shuffle_partitions(spark):
+    """A session that raises its partitions with the input does not get more copies of each tile."""
+    from folio.operators import retrieval as R
+    found = set()
+    try:
+        for partitions in ("2", "8", "1000"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found.add(R._groups(spark, 1000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(found) == 1
